@@ -750,6 +750,33 @@ def q_distinct_routes(spark, d):
 O_DISTINCT_ROUTES = "SELECT DISTINCT user_id FROM events"
 
 
+# ---------------------------------------------------------------- streaming
+
+def q_stream_enrich(spark, d):
+    """The enrichment as a stream (file source, availableNow),
+    written by an idempotent foreachBatch sink and read back. Output: clicks
+    whose bucket the final watermark has closed, with the latest error/view."""
+    from ..streaming import jobs
+    out = jobs.run_to_table(jobs.enrich_events_stream(spark, d), "stream_enrich")
+    return out.select("event_id", ntz("bucket").alias("bucket"), "value", "err_event_id", "err_value",
+                      "view_event_id", "view_value")
+
+
+O_STREAM_ENRICH = O_ENRICH_HOUR_LATEST.replace(
+    "WHERE c.event_type = 'click'",
+    """WHERE c.event_type = 'click' AND c.bucket < (SELECT min(mb) FROM (
+        SELECT max(bucket) AS mb FROM b WHERE event_type IN ('click', 'error', 'view') GROUP BY event_type))""")
+
+
+def q_stream_dedup(spark, d):
+    from ..streaming import jobs
+    out = jobs.run_to_table(jobs.dedup_events_stream(spark, d), "stream_dedup")
+    return out.select("event_id", "user_id", ntz("ts").alias("ts"), "value")
+
+
+O_STREAM_DEDUP = "SELECT DISTINCT event_id, user_id, ts, value FROM events"
+
+
 # ---------------------------------------------------------------- flagship
 
 def flagship(spark, d):
@@ -832,6 +859,8 @@ QUERIES = {
     "recent_track": q_recent_track,
     "route_track": q_route_track,
     "distinct_routes": q_distinct_routes,
+    "stream_enrich": q_stream_enrich,
+    "stream_dedup": q_stream_dedup,
 }
 
 ORACLES = {
@@ -875,4 +904,6 @@ ORACLES = {
     "recent_track": O_RECENT_TRACK,
     "route_track": O_ROUTE_TRACK,
     "distinct_routes": O_DISTINCT_ROUTES,
+    "stream_enrich": O_STREAM_ENRICH,
+    "stream_dedup": O_STREAM_DEDUP,
 }
