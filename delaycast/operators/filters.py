@@ -25,7 +25,7 @@ def recent(df: DataFrame, ts_col: str, seconds: float, within: DataFrame | None
 
 def regex_contains_ci(text, pattern) -> Column:
     """case-insensitive regex containment with a per-row pattern."""
-    return as_col(text).rlike(F.concat(F.lit("(?i)"), as_col(pattern)))
+    return F.rlike(as_col(text), F.concat(F.lit("(?i)"), as_col(pattern)))
 
 
 def quote_regex(c) -> Column:
