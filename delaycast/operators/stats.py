@@ -8,9 +8,8 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.scalars import nan_to_null
 from .joins import sized_broadcast
@@ -45,8 +44,9 @@ def pivot_mean(df: DataFrame, index: str, columns: str, value: str, values: list
 
 def bounds(df: DataFrame, col: str) -> tuple[Column, Column]:
     """A7 as scalar subqueries (lazy, one tiny job each at execution)."""
-    mm = df.select(F.min(F.col(col)).alias("lo"), F.max(F.col(col)).alias("hi"))
-    return mm.select("lo").scalar(), mm.select("hi").scalar()
+    mm = df.select(F.struct(F.min(F.col(col)).alias("lo"), F.max(F.col(col)).alias("hi")).alias("b"))
+    b = mm.scalar()   # one subquery, referenced twice (reused)
+    return b["lo"], b["hi"]
 
 
 def histogram(df: DataFrame, col: str, bins: int, lo=None, hi=None, digits: int = 6) -> DataFrame:
@@ -156,11 +156,20 @@ def bounding_box(df: DataFrame, cols: list[str]) -> list[Column]:
 
 def global_index(df: DataFrame, order: list[str], name: str = "_idx") -> DataFrame:
     """0-based position of each row in ``order`` without a single-partition
-    window: range-partitioned sort + RDD zipWithIndex (partition offsets)."""
-    sorted_df = df.orderBy(*[F.col(c) for c in order])
-    schema = StructType(sorted_df.schema.fields + [StructField(name, LongType(), False)])
-    rdd = sorted_df.rdd.zipWithIndex().map(lambda ri: tuple(ri[0]) + (ri[1],))
-    return df.sparkSession.createDataFrame(rdd, schema)
+    window: range-partitioned sort, position inside each partition from
+    ``monotonically_increasing_id``, plus the row count of all earlier
+    partitions (a table of one row per partition, broadcast)."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cols = [F.col(c) for c in order]
+    parts = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+             .withColumn("_pid", F.spark_partition_id().cast("long"))
+             .withColumn("_mid", F.monotonically_increasing_id()))
+    counts = parts.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    out = parts.join(F.broadcast(offsets), "_pid")
+    local = F.col("_mid") - F.shiftleft(F.col("_pid"), 33)
+    return out.withColumn(name, F.col("_off") + local).drop("_pid", "_mid", "_off")
 
 
 def factorize(df: DataFrame, col: str, order: list[str], out: str | None = None,
@@ -175,4 +184,4 @@ def factorize(df: DataFrame, col: str, order: list[str], out: str | None = None,
     codes = global_index(first, [f"_f{i}" for i in range(len(order))] + [col], "_code")
     codes = codes.select(col, F.col("_code").alias(out))
     j = df.join(sized_broadcast(codes), col, "left")
-    return j.withColumn(out, F.coalesce(F.col(out), F.lit(null_code).cast("long")))
+    return j.select(*df.columns, F.coalesce(F.col(out), F.lit(null_code).cast("long")).alias(out))
