@@ -767,6 +767,10 @@ def q_model_score(spark, d):
                        T.minutes_to_nearest_midnight("ts").cast("double").alias("time"),
                        F.hour("ts").cast("double").alias("hour"),
                        F.col("value_next").alias("delay_15min"))
+    # the fit scans its input once per stage and tree level: keep the
+    # (small, per user-day) feature frame materialised instead of re-running
+    # the dedup + self join each time
+    feats = feats.persist()
     model, pred, r2 = ML.train(feats, ["value", "k", "time", "hour"], ["event_type"])
     return pred.select("user_id", ntz("day").alias("day"), "delay_15min", "prediction",
                        F.lit(r2).alias("r2"))

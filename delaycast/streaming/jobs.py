@@ -25,15 +25,31 @@ def events_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataF
     return src.withColumn("ts", T.to_ts("ts"))
 
 
+def default_state_partitions(spark: SparkSession) -> int:
+    """State partitions of a new stream: half the default parallelism (at
+    least 2). Each partition commits every stateful operator's store each
+    batch, so more partitions than cores only adds commit cost."""
+    return max(2, spark.sparkContext.defaultParallelism // 2)
+
+
 def run_to_table(df: DataFrame, name: str, key_col: str | None = None,
-                 order: list[str] | None = None) -> DataFrame:
+                 order: list[str] | None = None, state_partitions: int | None = None) -> DataFrame:
     """Run a streaming frame with availableNow into a checkpointed, batch-id
     keyed Parquet sink under the shared checkpoint folder; return the result
-    as a batch frame. Replays overwrite their own batch folder (K3)."""
+    as a batch frame. Replays overwrite their own batch folder (K3).
+
+    ``state_partitions`` is fixed in the checkpoint at the first start (the
+    query clones the session settings when it starts)."""
     spark = df.sparkSession
     base = S.shared_dir(spark, name)
-    q = K.start_stream(df, f"{base}/_checkpoint", foreach_batch=K.batch_writer(f"{base}/out", key_col, order),
-                       trigger={"availableNow": True}, query_name=None)
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions or default_state_partitions(spark)))
+    try:
+        q = K.start_stream(df, f"{base}/_checkpoint",
+                           foreach_batch=K.batch_writer(f"{base}/out", key_col, order),
+                           trigger={"availableNow": True}, query_name=None)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
     q.awaitTermination()
     try:
         out = spark.read.parquet(f"{base}/out")
@@ -43,7 +59,8 @@ def run_to_table(df: DataFrame, name: str, key_col: str | None = None,
 
 
 def enrich_events_stream(spark: SparkSession, sf_dir: str, watermark: str = "20 seconds",
-                         salt_buckets: int = 8) -> DataFrame:
+                         salt_buckets: int | None = None) -> DataFrame:
+    salt_buckets = salt_buckets or default_state_partitions(spark)
     ev = events_stream(spark, sf_dir).withColumn("bucket", T.next_hour_bucket("ts"))
     clicks = ev.where(F.col("event_type") == "click").select("event_id", "user_id", "bucket", "value")
     feed = lambda t: ev.where(F.col("event_type") == t).select("bucket", "ts", "event_id", "value")
