@@ -713,8 +713,8 @@ def q_recent_track(spark, d):
     route = FL.equals(ev, "user_id", ROUTE_USER)
     pts = FL.recent(route, "ts", 86_400)
     pts = A.factorize(pts, "event_type", ["ts", "event_id"], "vehicle_code")
-    box = route.select(*A.bounding_box(route, ["value", "k"]))
-    lo_v, hi_v, lo_k, hi_k = [box.select(c).scalar() for c in box.columns]
+    box = route.select(F.struct(*A.bounding_box(route, ["value", "k"]))).scalar()   # one subquery
+    lo_v, hi_v, lo_k, hi_k = [box[c] for c in ["min_value", "max_value", "min_k", "max_k"]]
     return pts.select("event_id", ntz("ts").alias("ts"), "value", "k", "vehicle_code",
                       lo_v.alias("min_value"), hi_v.alias("max_value"),
                       lo_k.alias("min_k"), hi_k.alias("max_k"))

@@ -79,9 +79,9 @@ def recent_track(t: DataFrame, route_value: str, minutes: int = 5, route: str =
         T.to_ts(ts).alias("_t"), C.to_number(lat).alias("lat"), C.to_number(lon).alias("lon"),
         F.col(vehicle).alias("vehicle"))
     pts = A.factorize(FL.recent(r, "_t", minutes * 60), "vehicle", ["_t", "vehicle"], "vehicle_code")
-    box = r.select(*A.bounding_box(r, ["lat", "lon"]))
+    box = r.select(F.struct(*A.bounding_box(r, ["lat", "lon"]))).scalar()
     return pts.select("_t", "lat", "lon", "vehicle", "vehicle_code",
-                      *[box.select(c).scalar().alias(c) for c in box.columns])
+                      *[box[c].alias(c) for c in ["min_lat", "max_lat", "min_lon", "max_lon"]])
 
 
 def route_track(t: DataFrame, route_value: str, route: str = "routeShortName", ts: str = "generated",
