@@ -105,3 +105,22 @@ def expected_stop_coords(pos: DataFrame, timetable: DataFrame, stops: DataFrame,
                       tiebreak=["stop_sequence", "stop_id"], prefix="next_")
     return out.withColumnRenamed("next_stop_lat", "lat_15min").withColumnRenamed("next_stop_lon", "lon_15min") \
               .drop("_start", "_code", "_at", "next__arrive")
+
+
+def serving_features(table: DataFrame) -> DataFrame:
+    """C22 + C17 + C11: the stream table's columns renamed/typed to the model
+    inputs (``model.SERVING_FEATURES``); same rule for ``time`` as training."""
+    from .model import SERVING_FEATURES  # noqa: F401  (documents the contract)
+    ts = T.to_ts("bus_generated")
+    cols = {
+        "speed": C.to_number("bus_speed"), "delay": C.to_number("bus_delay"),
+        "lat": C.to_number("bus_lat"), "lon": C.to_number("bus_lon"),
+        "time": T.minutes_to_nearest_midnight(ts).cast("double"),
+    }
+    for side, pre in (("actual", "act_"), ("forecast", "for_")):
+        cols[f"temperature_{side}"] = F.col(pre + "temperature").cast("double")
+        cols[f"cloud_cover_{side}"] = F.col(pre + "cloud_cover").cast("double")
+        cols[f"wind_speed_{side}"] = F.col(pre + "speed").cast("double")
+        cols[f"wind_angle_{side}"] = F.col(pre + "angle").cast("double")
+        cols[f"precipitation_total_{side}"] = F.col(pre + "precipitation_total").cast("double")
+    return table.withColumns(cols)

@@ -75,3 +75,30 @@ def dedup_events_stream(spark: SparkSession, sf_dir: str, watermark: str = "20 s
     ev = events_stream(spark, sf_dir).select("event_id", "user_id", "ts", "value")
     both = ev.unionByName(ev).withWatermark("ts", watermark)
     return both.dropDuplicates(["event_id", "ts"])
+
+
+def production_stream(bus_msgs: DataFrame, obs_msgs: DataFrame, fc_msgs: DataFrame, model,
+                      out_path: str, checkpoint: str, watermark: str = "20 seconds",
+                      salt_buckets: int | None = None, trigger: dict | None = None):
+    """The full stream: three message feeds -> flatten -> enrich (T1-T5) ->
+    serving features (C22) -> model transform (M8, JVM) -> keyed upsert sink
+    written per micro-batch by the executors (K3), one query (T7), explicit
+    checkpoint (T10). Returns the running ``StreamingQuery``."""
+    from ..plans.features import serving_features
+    from ..plans.model import SERVING_FEATURES
+    from .enrich import flatten_forecast, flatten_observation, flatten_positions, stream_table
+    spark = bus_msgs.sparkSession
+    table = stream_table(flatten_positions(bus_msgs), flatten_observation(obs_msgs), flatten_forecast(fc_msgs),
+                         watermark, salt_buckets or default_state_partitions(spark))
+    scored = model.transform(serving_features(table))
+    keep = [c for c in table.columns] + ["prediction"]
+    out = scored.select(*keep)
+    return K.start_stream(out, checkpoint, foreach_batch=K.batch_writer(out_path, "row_key", ["bus_timestamp_utc"]),
+                          trigger=trigger or {"availableNow": True})
+
+
+def stop_gracefully(query, timeout_s: float = 60.0) -> None:
+    """Let the running batch finish (bounded wait), then stop."""
+    query.awaitTermination(timeout_s)
+    if query.isActive:
+        query.stop()

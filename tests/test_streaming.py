@@ -99,3 +99,26 @@ def test_batch_and_stream_agree(spark, tmp_path):
     assert got["1"] == (2.0, 5.5) and got["3"] == (3.0, 6.5)
     assert got["4"] == (None, 7.5) and got["5"] == (4.0, None)
     assert batch.count() == 5                                # duplicate removed, no fan-out
+
+
+def test_production_stream_scores_and_upserts(spark, tmp_path):
+    """Three feeds -> enrich -> serving features -> fitted pipeline -> keyed sink."""
+    from delaycast.plans import model as ML
+    from delaycast.plans.features import serving_features
+    from delaycast.streaming import jobs
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    base = str(tmp_path)
+    _feeds(base)
+    read = lambda p: spark.read.text(p)
+    batch = E.stream_table(E.flatten_positions(read(f"{base}/bus")), E.flatten_observation(read(f"{base}/obs")),
+                           E.flatten_forecast(read(f"{base}/fc")), watermark=None)
+    train = serving_features(batch).withColumn(ML.LABEL, F.col("delay") + 1.0)
+    model = ML.build_pipeline(ML.SERVING_FEATURES, num_trees=5, max_depth=2).fit(train)
+    q = jobs.production_stream(_stream(spark, f"{base}/bus"), _stream(spark, f"{base}/obs"),
+                               _stream(spark, f"{base}/fc"), model, f"{base}/out", f"{base}/ck", salt_buckets=2)
+    q.awaitTermination()
+    out = spark.read.parquet(f"{base}/out")
+    rows = out.collect()
+    assert {r.bus_vehicleId for r in rows} == {"1", "2", "3"}
+    assert all(r.prediction is not None for r in rows)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
