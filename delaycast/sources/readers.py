@@ -44,7 +44,7 @@ def message_text(df: DataFrame, col: str = "value") -> DataFrame:
 
 def read_files_by_name(spark: SparkSession, directory: str, glob: str, fmt: str = "parquet",
                        schema: StructType | None = None, ignore_corrupt: bool = True,
-                       recursive: bool = False) -> DataFrame:
+                       recursive: bool = False, merge_schema: bool = False) -> DataFrame:
     """One multi-file scan of the files whose name matches ``glob``.
 
     The name filter runs in the file listing (no per-file plans, no driver
@@ -55,6 +55,10 @@ def read_files_by_name(spark: SparkSession, directory: str, glob: str, fmt: str
         r = r.option("ignoreCorruptFiles", "true")
     if recursive:
         r = r.option("recursiveFileLookup", "true")
+    if merge_schema:
+        # footers of all selected files are read in parallel; corrupt ones are
+        # skipped, so one bad file cannot hide the schema of the others
+        r = r.option("mergeSchema", "true")
     if schema is not None:
         r = r.schema(schema)
     return r.load(directory)
