@@ -224,8 +224,9 @@ def q_midnight_features(spark, d):
 
 
 O_MIDNIGHT_FEATURES = """
-SELECT event_id, day(ts) AS day, hour(ts) AS hour, minute(ts) AS minute,
-       1440 - (hour(ts) * 60 + minute(ts)) AS minutes_left,
+SELECT event_id, CAST(day(ts) AS INTEGER) AS day, CAST(hour(ts) AS INTEGER) AS hour,
+       CAST(minute(ts) AS INTEGER) AS minute,
+       CAST(1440 - (hour(ts) * 60 + minute(ts)) AS INTEGER) AS minutes_left,
        CAST(least((((86400000000 - epoch_us(ts) % 86400000000) // 1000000) % 86400) // 60,
                   (epoch_us(ts) % 86400000000) // 60000000) AS INTEGER) AS minutes_to_midnight
 FROM events"""
@@ -581,7 +582,7 @@ def q_avg_by_hour(spark, d):
 
 
 O_AVG_BY_HOUR = """
-SELECT hour(ts) AS hour, round(avg(value), 6) AS avg_delay FROM events
+SELECT CAST(hour(ts) AS INTEGER) AS hour, round(avg(value), 6) AS avg_delay FROM events
 WHERE ts IS NOT NULL GROUP BY hour(ts)"""
 
 

@@ -68,3 +68,15 @@ def test_route_filter_and_projection_pushed_to_scan(spark):
 def test_key_range_pushes_implied_time_range(spark):
     plan = E.queries()["key_range_scan"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts," in plan and "LessThanOrEqual(ts," in plan
+
+
+_TYPES = {"LongType()": "BIGINT", "IntegerType()": "INTEGER", "DoubleType()": "DOUBLE", "StringType()": "VARCHAR",
+          "TimestampNTZType()": "TIMESTAMP", "BooleanType()": "BOOLEAN", "DateType()": "DATE"}
+
+
+@pytest.mark.parametrize("name", [n for n in E.oracle_sql() if n not in STREAMING])
+def test_output_types_match_oracle(spark, duck, name):
+    spark_types = {f.name: _TYPES.get(repr(f.dataType), repr(f.dataType))
+                   for f in E.queries()[name](spark, SF).schema.fields}
+    rel = duck.sql(E.oracle_sql()[name])
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
