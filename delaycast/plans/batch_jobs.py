@@ -75,7 +75,7 @@ def weather_table(raw: DataFrame) -> DataFrame:
 
 
 def load_positions_hour(spark: SparkSession, src_dir: str, out_path: str,
-                        anchor: dt.datetime | None = None, prefix: str = "Act_position") -> DataFrame:
+                        anchor: dt.datetime | None = None, prefix: str = R.POSITIONS_PREFIX) -> DataFrame:
     """PB: files of the look-back hour -> positions table (upsert by key)."""
     date, hour, _ = lookback(anchor)
     raw = _scan(spark, src_dir, R.hourly_glob(prefix, date, hour), schemas.POSITIONS)
@@ -85,7 +85,7 @@ def load_positions_hour(spark: SparkSession, src_dir: str, out_path: str,
 
 
 def load_weather_day(spark: SparkSession, src_dir: str, out_path: str,
-                     anchor: dt.datetime | None = None, prefix: str = "Act_weather") -> DataFrame:
+                     anchor: dt.datetime | None = None, prefix: str = R.OBSERVATION_PREFIX) -> DataFrame:
     """WB: observation files of the look-back day -> weather table."""
     _, _, day = lookback(anchor)
     raw = _scan(spark, src_dir, R.daily_glob(prefix, day), schemas.OBSERVATION)

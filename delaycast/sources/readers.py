@@ -10,6 +10,11 @@ from pyspark.sql.types import StructType
 from .. import schemas
 from ..functions.timeops import shift
 
+# File-name prefixes of the stored feeds (name-based selection).
+POSITIONS_PREFIX = "Act_position"
+OBSERVATION_PREFIX = "Act_weather"
+FORECAST_PREFIX = "FC_weather"
+
 
 # ---------------------------------------------------------------- streams
 
@@ -75,14 +80,14 @@ def daily_glob(prefix: str, date: str) -> str:
 
 
 def read_positions(spark: SparkSession, directory: str, date: str | None = None,
-                   prefix: str = "Act_position") -> DataFrame:
+                   prefix: str = POSITIONS_PREFIX) -> DataFrame:
     """All history, or one day, of the position Parquet files."""
     glob = daily_glob(prefix, date) if date else f"*{prefix}*"
     return read_files_by_name(spark, directory, glob, recursive=True)
 
 
 def read_weather(spark: SparkSession, directory: str, date: str | None = None,
-                 obs_prefix: str = "Act_weather", fc_prefix: str = "FC_weather") -> tuple[DataFrame, DataFrame]:
+                 obs_prefix: str = OBSERVATION_PREFIX, fc_prefix: str = FORECAST_PREFIX) -> tuple[DataFrame, DataFrame]:
     """Observation and forecast files split by name; a date filters both
     (the notebook filtered only observations - documented difference)."""
     og = daily_glob(obs_prefix, date) if date else f"*{obs_prefix}_*"

@@ -26,9 +26,9 @@ def test_positions_and_weather_loads(spark, tmp_path):
     msgs = [positions_message([vehicle(generated="2024-01-01T10:05:00Z", vehicleId="1"),
                                vehicle(generated="2024-01-01T10:05:00Z", vehicleId="2")]),
             positions_message([vehicle(generated="2024-01-01T10:05:00Z", vehicleId="1", delay="99")])]
-    _write_json_parquet(f"{src}/warsaw/Act_position_2024-01-01-10_x.parquet", msgs, schemas.POSITIONS)
-    _write_json_parquet(f"{src}/warsaw/Act_position_2024-01-01-11_x.parquet", msgs[:1], schemas.POSITIONS)
-    with open(f"{src}/warsaw/Act_position_2024-01-01-10_bad.parquet", "wb") as f:
+    _write_json_parquet(f"{src}/positions/Act_position_2024-01-01-10_x.parquet", msgs, schemas.POSITIONS)
+    _write_json_parquet(f"{src}/positions/Act_position_2024-01-01-11_x.parquet", msgs[:1], schemas.POSITIONS)
+    with open(f"{src}/positions/Act_position_2024-01-01-10_bad.parquet", "wb") as f:
         f.write(b"corrupt")
     B.load_positions_hour(spark, src, f"{out}/positions", anchor=dt.datetime(2024, 1, 1, 12, 15))
     B.load_positions_hour(spark, src, f"{out}/positions", anchor=dt.datetime(2024, 1, 1, 12, 15))   # re-run
