@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timeops import US_PER_S, epoch_micros, floor_div, shift
+from ..functions.timeops import US_PER_S, epoch_micros, shift
 from .dedup import latest_by_key
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -83,9 +83,15 @@ def shift_self_join(df: DataFrame, keys: list[str], time_col: str, shift_seconds
 _SENTINEL = (1 << 63) - 1
 
 
+def floor_div_col(x, w):
+    """Exact floor division by a (positive, per-row) bigint width."""
+    return ((x - F.pmod(x, w)) / w).cast("bigint")
+
+
 def asof_next(left: DataFrame, right: DataFrame, keys: list[str], left_time: str,
               right_time: str, right_cols: list[str], tiebreak: list[str],
-              prefix: str = "next_", bucket_seconds: int = 86_400) -> DataFrame:
+              prefix: str = "next_", bucket_seconds: int = 86_400,
+              max_rows_per_bucket: int = 2_000_000) -> DataFrame:
     """J6 core: for every left row, the first right row with equal ``keys``
     and ``right_time >= left_time`` (ties broken by ``tiebreak`` ascending).
 
@@ -95,6 +101,12 @@ def asof_next(left: DataFrame, right: DataFrame, keys: list[str], left_time: str
     "carry" (the first right row of the next non-empty bucket) is injected,
     computed from per-bucket minima (map-side combined) with a window over
     the small (key, bucket) table. Every left row is kept (left outer).
+
+    Hot keys: a first map-side-combined pass counts rows and time span per
+    key; a key whose rows would put more than ``max_rows_per_bucket`` into
+    one bucket gets a proportionally finer bucket width (table of hot keys
+    only: at most total rows / ``max_rows_per_bucket`` entries). Bucketing
+    stays monotonic in time per key, so the carry logic is unchanged.
     """
     w_us = bucket_seconds * US_PER_S
     lt = epoch_micros(F.col(left_time))
@@ -110,13 +122,25 @@ def asof_next(left: DataFrame, right: DataFrame, keys: list[str], left_time: str
 
     L = left.where(lvalid).select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        lt.alias("_t"), floor_div(lt, w_us).alias("_b"), F.lit(1).alias("_side"),
+        lt.alias("_t"), F.lit(1).alias("_side"),
         F.struct(*[F.col(c) for c in lcols]).alias("_l"))
     R = right.where(valid & F.col(right_time).isNotNull()).select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        rt.alias("_t"), floor_div(rt, w_us).alias("_b"), rpay.alias("_r"), rorder.alias("_o"))
+        rt.alias("_t"), rpay.alias("_r"), rorder.alias("_o"))
     kc = [f"_k{i}" for i in range(len(keys))]
 
+    # per-key bucket width: finer for keys that would overfill a bucket
+    both = L.select(*kc, "_t").unionByName(R.select(*kc, "_t"))
+    per_key = both.groupBy(*kc).agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_lo"),
+                                    F.max("_t").alias("_hi"))
+    span = F.col("_hi") - F.col("_lo") + F.lit(1)
+    fine = F.greatest(F.lit(1), F.floor(span * F.lit(float(max_rows_per_bucket)) / F.col("_n")).cast("bigint"))
+    hot = per_key.where(F.col("_n") > F.lit(max_rows_per_bucket)).select(*kc, F.least(fine, F.lit(w_us)).alias("_w"))
+    hot = sized_broadcast(hot)
+    width = F.coalesce(F.col("_w"), F.lit(w_us))
+    L = L.join(hot, kc, "left").withColumn("_b", floor_div_col(F.col("_t"), width)).drop("_w")
+    R = R.join(hot, kc, "left").withColumn("_b", floor_div_col(F.col("_t"), width)).drop("_w")
+
     # per-bucket first right row, and the buckets that hold left rows
     rb = R.groupBy(*kc, "_b").agg(F.min_by(F.struct("_r", "_o"), F.struct("_t", "_o")).alias("_m"))
     lb = L.select(*kc, "_b").distinct()
