@@ -8,6 +8,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # Serving inputs of the stream (15 numeric columns).
 SERVING_FEATURES = ["speed", "delay", "lat", "lon", "time",
@@ -38,15 +39,26 @@ def build_pipeline(numeric: list[str], categorical: list[str] | None = None, lab
     return Pipeline(stages=stages)
 
 
-def split(df: DataFrame, test_fraction: float = 0.33, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """M6: train/test split (67/33, seed 42)."""
+def split(df: DataFrame, test_fraction: float = 0.33, seed: int = 42,
+          keys: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """M6: train/test split (67/33, seed 42).
+
+    With ``keys`` the split is a hash of the row's key columns - the same
+    rows land in the same side whatever the partitioning or row order (a
+    recomputed partition after an executor loss cannot move rows across).
+    Without keys: ``randomSplit`` (reproducible only for a fixed input order).
+    """
+    if keys:
+        bucket = F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(10_000))
+        cut = F.lit(int(round((1.0 - test_fraction) * 10_000)))
+        return df.where(bucket < cut), df.where(bucket >= cut)
     return tuple(df.randomSplit([1.0 - test_fraction, test_fraction], seed))
 
 
 def train(df: DataFrame, numeric: list[str], categorical: list[str] | None = None, label: str = LABEL,
-          **rf) -> tuple[PipelineModel, DataFrame, float]:
+          keys: list[str] | None = None, **rf) -> tuple[PipelineModel, DataFrame, float]:
     """M6 + M7 + A12: fit on the train split, R^2 on the test split."""
-    tr, te = split(df.where(df[label].isNotNull()))
+    tr, te = split(df.where(df[label].isNotNull()), keys=keys)
     model = build_pipeline(numeric, categorical, label, **rf).fit(tr)
     pred = model.transform(te)
     r2 = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2").evaluate(pred)

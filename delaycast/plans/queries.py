@@ -772,7 +772,7 @@ def q_model_score(spark, d):
     # (small, per user-day) feature frame materialised instead of re-running
     # the dedup + self join each time
     feats = feats.persist()
-    model, pred, r2 = ML.train(feats, ["value", "k", "time", "hour"], ["event_type"])
+    model, pred, r2 = ML.train(feats, ["value", "k", "time", "hour"], ["event_type"], keys=["user_id", "day"])
     return pred.select("user_id", ntz("day").alias("day"), "delay_15min", "prediction",
                        F.lit(r2).alias("r2"))
 
