@@ -65,3 +65,32 @@ def test_model_train_and_score(spark):
     assert r2 > 0.5
     scored = ML.score(model, df.limit(5), keep=["x"])
     assert scored.columns == ["x", "prediction"] and scored.count() == 5
+
+
+def _weather(spark):
+    from delaycast.streaming import enrich as E
+    from fixtures import forecast_entry, forecast_message, observation_message
+    obs = spark.createDataFrame([(observation_message("Mon Jan 01 10:02:00 UTC 2024", temperature=1.0),),
+                                 (observation_message("Mon Jan 01 10:07:00 UTC 2024", temperature=2.0),),
+                                 (observation_message("Mon Jan 01 10:31:00 UTC 2024", temperature=3.0,
+                                                      summary="Rain"),)], "value string")
+    fc = spark.createDataFrame([(forecast_message([forecast_entry("2024-01-01T11:00:00", 5.5)]),),
+                                (forecast_message([forecast_entry("2024-01-01T12:00:00", 6.5, summary="Rain")]),)],
+                               "value string")
+    return E.flatten_observation(obs), E.flatten_forecast(fc)
+
+
+def test_weather_features_one_row_per_bin(spark):
+    obs, fc = _weather(spark)
+    w = {r.generated_weather_bin.minute: r for r in M.weather_features(obs, fc).collect()}
+    # 10:02 and 10:07 -> bins 10:00 and 10:10; 10:31 -> bin 10:30, forecast hour 12:00 (half-even 11:00 + 1 h)
+    assert set(w) == {0, 10, 30}
+    assert w[0].temperature_actual == 1.0 and w[0].temperature_forecast == 5.5
+    assert w[30].temperature_actual == 3.0 and w[30].temperature_forecast == 6.5
+
+
+def test_forecast_skill_table(spark):
+    from delaycast.plans import questions as Q
+    obs, fc = _weather(spark)
+    t = {r.factor: r.correlation for r in Q.forecast_skill(obs, fc).collect()}
+    assert set(t) == {"summary", "temperature", "cloud coverage", "wind speed"}
