@@ -57,3 +57,22 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         base = sc.getCheckpointDir() or base
     base = base.rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a cluster run sized from the input volume.
+
+    Shuffle partitions start at ~input / target (at least 2x the cores, so
+    every core has work and a straggler is small); AQE then coalesces small
+    ones to the advisory size and splits skewed ones. Scan splits match the
+    target so one task's input fits comfortably in executor memory.
+    E.g. 100 TB on 8,000 cores -> ~400k initial partitions, 256 MB each.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }

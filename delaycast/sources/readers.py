@@ -138,20 +138,29 @@ def lookback_parts(anchor: Column, hours_back: int = 2) -> tuple[Column, Column]
     return F.date_format(t, "yyyy-MM-dd"), F.date_format(t, "HH")
 
 
+def _on_date(df: DataFrame, date_col: str | None, start: Column) -> DataFrame:
+    # predicate on the table's date partition column -> partition pruning
+    return df.where(F.col(date_col) == F.to_date(start)) if date_col else df
+
+
 def in_lookback_hour(df: DataFrame, ts_col: str, anchor: Column | None = None,
-                     hours_back: int = 2) -> DataFrame:
-    """Rows of the clock hour ``anchor - hours_back`` (hourly batch input)."""
+                     hours_back: int = 2, date_col: str | None = None) -> DataFrame:
+    """Rows of the clock hour ``anchor - hours_back`` (hourly batch input).
+    ``date_col``: the table's date partition column, so only that day's
+    folder is listed and read."""
     a = anchor if anchor is not None else F.current_timestamp()
     start = F.date_trunc("hour", shift(a, -hours_back * 3600))
-    return df.where((F.col(ts_col) >= start) & (F.col(ts_col) < shift(start, 3600)))
+    out = df.where((F.col(ts_col) >= start) & (F.col(ts_col) < shift(start, 3600)))
+    return _on_date(out, date_col, start)
 
 
 def in_lookback_day(df: DataFrame, ts_col: str, anchor: Column | None = None,
-                    days_back: int = 1) -> DataFrame:
+                    days_back: int = 1, date_col: str | None = None) -> DataFrame:
     """Rows of the calendar day ``anchor - days_back`` (daily batch input)."""
     a = anchor if anchor is not None else F.current_timestamp()
     start = F.date_trunc("day", shift(a, -days_back * 86_400))
-    return df.where((F.col(ts_col) >= start) & (F.col(ts_col) < shift(start, 86_400)))
+    out = df.where((F.col(ts_col) >= start) & (F.col(ts_col) < shift(start, 86_400)))
+    return _on_date(out, date_col, start)
 
 
 def decode_rows(df: DataFrame, checks: dict[str, Column]) -> tuple[DataFrame, DataFrame]:

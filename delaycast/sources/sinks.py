@@ -45,6 +45,15 @@ def read_keyed(spark: SparkSession, path: str, key_col: str, order: list[str]) -
     return keyed_upsert(spark.read.parquet(path), key_col, order)
 
 
+def compact_keyed(spark: SparkSession, src: str, dst: str, key_col: str, order: list[str],
+                  partition_by: list[str] | None = None) -> None:
+    """Fold the per-batch folders a stream wrote (``batch_id=N``) into one
+    latest-per-key table, partitioned (e.g. by date) for pruning. Re-running
+    replaces the touched partitions only."""
+    df = spark.read.parquet(src).drop("batch_id")
+    write_keyed(df, dst, key_col, order, partition_by=partition_by)
+
+
 def to_families(df: DataFrame, families: dict[str, list[str]], key_col: str) -> DataFrame:
     """K4: group flat columns into one struct per column family."""
     return df.select(F.col(key_col), *[F.struct(*cols).alias(fam) for fam, cols in families.items()])

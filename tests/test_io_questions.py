@@ -105,3 +105,27 @@ def test_questions(spark):
     assert sum(1 for _ in hm) >= 1
     dist = Q.distribution(t, "act_temperature").first()
     assert dist.median == 5.5 and dist.n == 12
+
+
+def test_lookback_prunes_date_partitions_and_compaction(spark, tmp_path):
+    rows = [(f"k{i}", dt.datetime(2024, 1, 1 + i % 3, 10, i), float(i)) for i in range(12)]
+    df = spark.createDataFrame(rows, "key string, t timestamp, v double").withColumn("date", F.to_date("t"))
+    stream_out = str(tmp_path / "stream")
+    K.batch_writer(stream_out)(df.where("v < 6"), 0)
+    K.batch_writer(stream_out)(df.where("v >= 4"), 1)            # overlapping keys across batches
+    table = str(tmp_path / "table")
+    K.compact_keyed(spark, stream_out, table, "key", ["t"], partition_by=["date"])
+    t = spark.read.parquet(table)
+    assert t.count() == 12
+    anchor = F.lit(dt.datetime(2024, 1, 3, 5)).cast("timestamp")
+    picked = R.in_lookback_day(t, "t", anchor, date_col="date")
+    assert sorted(r.key for r in picked.collect()) == sorted(f"k{i}" for i in range(12) if i % 3 == 1)
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+
+
+def test_scale_conf():
+    from delaycast.session import scale_conf
+    c = scale_conf(100 << 40, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_conf(1 << 20, 8)["spark.sql.shuffle.partitions"] == "16"
