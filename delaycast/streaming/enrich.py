@@ -129,7 +129,6 @@ def stream_table(bus: DataFrame, obs: DataFrame, fc: DataFrame, watermark: str =
                         obs_cols, ["_t"], "act_"),
               RightFeed(fc.withColumn("_t", F.unix_micros("timestamp_utc")), "timestamp_utc",
                         fc_cols, ["_t"], "for_")]
-    # observation time is carried as payload, not as a watermarked column
-    rights[0].cols = [c for c in obs_cols]
+    # the observation time rides along as payload; only the bucket is watermarked
     out = enrich(b, "bus_rounded_timestamp", rights, ["bus_vehicleId"], watermark, salt_buckets)
     return out.withColumn("row_key", P.row_key("bus_timestamp_utc", "bus_vehicleId"))
