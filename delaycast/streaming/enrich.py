@@ -7,8 +7,10 @@ left on):
     observations --watermark(bucket)--> latest per bucket --salt--> left outer join
     forecasts    --watermark(bucket)--> latest per bucket --salt--> left outer join
 
-* The right feeds are reduced to one row per bucket by a streaming
-  aggregation (``max_by``), so each join is many-to-one - no fan-out.
+* The right feeds are reduced to one row per bucket by ONE streaming
+  aggregation over their union (``max_by`` per feed), so a single join is
+  many-to-one - no fan-out, and half the stateful operators of one
+  aggregation + join per feed.
 * The join key is (bucket, salt): positions carry a hash salt of their
   vehicle id and each per-bucket row is replicated once per salt value, so
   one hour of positions is spread over ``salt_buckets`` state partitions
@@ -51,10 +53,48 @@ def latest_per_bucket(feed: RightFeed, watermark: str | None) -> DataFrame:
     return agg.select("_rk", *[F.col(f"_p.{c}").alias(feed.prefix + c) for c in feed.cols])
 
 
+def combined_per_bucket(feeds: list[RightFeed], watermark: str | None) -> DataFrame:
+    """All right feeds in ONE aggregation: union (each feed fills its own
+    payload/order struct, nulls elsewhere), then per bucket one ``max_by``
+    per feed - a row of another feed has a null ordering and is ignored.
+    One stateful aggregation + one join instead of one of each per feed."""
+    parts = []
+    for i, feed in enumerate(feeds):
+        f = feed.frame
+        if watermark and f.isStreaming:
+            f = f.withWatermark(feed.key, watermark)
+        cols = [F.col(feed.key).alias("_rk")]
+        for j, other in enumerate(feeds):
+            if i == j:
+                cols += [F.struct(*[F.col(c) for c in other.cols]).alias(f"_p{j}"),
+                         F.struct(*[F.col(c) for c in other.order]).alias(f"_o{j}")]
+            else:
+                ftypes = {fld.name: fld.dataType for fld in other.frame.schema.fields}
+                cols += [F.lit(None).cast(_struct_type(ftypes, other.cols)).alias(f"_p{j}"),
+                         F.lit(None).cast(_struct_type(ftypes, other.order)).alias(f"_o{j}")]
+        parts.append(f.select(*cols))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    agg = u.groupBy("_rk").agg(*[F.max_by(f"_p{j}", f"_o{j}").alias(f"_p{j}") for j in range(len(feeds))])
+    out = [F.col("_rk")]
+    for j, feed in enumerate(feeds):
+        out += [F.col(f"_p{j}.{c}").alias(feed.prefix + c) for c in feed.cols]
+    return agg.select(*out)
+
+
+def _struct_type(types: dict, names: list[str]):
+    from pyspark.sql.types import StructField, StructType
+    return StructType([StructField(n, types[n], True) for n in names])
+
+
 def enrich(left: DataFrame, left_key: str, rights: list[RightFeed], id_cols: list[str],
            watermark: str | None = "20 seconds", salt_buckets: int = 8,
-           dedup: bool = True) -> DataFrame:
-    """J1/J2 + T1-T5: one function for stream and batch frames."""
+           dedup: bool = True, combine: bool = True) -> DataFrame:
+    """J1/J2 + T1-T5: one function for stream and batch frames.
+
+    ``combine`` (default) reduces all right feeds in one aggregation and
+    joins once; otherwise each feed is aggregated and joined in turn."""
     streaming = left.isStreaming
     out = left
     if watermark and streaming:
@@ -62,8 +102,9 @@ def enrich(left: DataFrame, left_key: str, rights: list[RightFeed], id_cols: lis
     if dedup:
         out = out.dropDuplicates()
     out = out.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in id_cols]), F.lit(salt_buckets)))
-    for i, feed in enumerate(rights):
-        r = latest_per_bucket(feed, watermark)
+    reduced = [combined_per_bucket(rights, watermark)] if combine else \
+        [latest_per_bucket(feed, watermark) for feed in rights]
+    for i, r in enumerate(reduced):
         r = r.withColumn("_rs", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast("array<bigint>")))
         r = r.withColumnRenamed("_rk", f"_rk{i}").withColumnRenamed("_rs", f"_rs{i}")
         cond = (F.col(left_key) == F.col(f"_rk{i}")) & (F.col("_salt") == F.col(f"_rs{i}"))
