@@ -6,8 +6,6 @@ bounds enter as scalar subqueries, never through driver loops.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 

@@ -110,7 +110,6 @@ def expected_stop_coords(pos: DataFrame, timetable: DataFrame, stops: DataFrame,
 def serving_features(table: DataFrame) -> DataFrame:
     """C22 + C17 + C11: the stream table's columns renamed/typed to the model
     inputs (``model.SERVING_FEATURES``); same rule for ``time`` as training."""
-    from .model import SERVING_FEATURES  # noqa: F401  (documents the contract)
     ts = T.to_ts("bus_generated")
     cols = {
         "speed": C.to_number("bus_speed"), "delay": C.to_number("bus_delay"),

@@ -85,7 +85,6 @@ def production_stream(bus_msgs: DataFrame, obs_msgs: DataFrame, fc_msgs: DataFra
     written per micro-batch by the executors (K3), one query (T7), explicit
     checkpoint (T10). Returns the running ``StreamingQuery``."""
     from ..plans.features import serving_features
-    from ..plans.model import SERVING_FEATURES
     from .enrich import flatten_forecast, flatten_observation, flatten_positions, stream_table
     spark = bus_msgs.sparkSession
     table = stream_table(flatten_positions(bus_msgs), flatten_observation(obs_msgs), flatten_forecast(fc_msgs),

@@ -1,7 +1,3 @@
-import datetime as dt
-
-from pyspark.sql import functions as F
-
 from delaycast import schemas
 from delaycast.functions import flatten as P
 from delaycast.plans import features as M

@@ -3,7 +3,6 @@ import os
 
 from pyspark.sql import functions as F
 
-from delaycast.functions import timeops as T
 from delaycast.plans import questions as Q
 from delaycast.sources import readers as R
 from delaycast.sources import sinks as K

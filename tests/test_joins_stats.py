@@ -3,8 +3,6 @@ import random
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import functions as F
-
 from delaycast.operators import joins as J
 from delaycast.operators import stats as A
 

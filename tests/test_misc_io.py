@@ -1,7 +1,3 @@
-import os
-
-from pyspark.sql import functions as F
-
 from delaycast import schemas
 from delaycast.plans import features as M
 from delaycast.plans import model as ML
