@@ -105,6 +105,11 @@ def row_key(ts, *parts, sep: str = "_", ts_format: str = "yyyy-MM-dd HH:mm:ss")
     return F.concat_ws(sep, *pieces)
 
 
+def schema_text(df: DataFrame) -> str:
+    """The schema tree as text (no Spark job)."""
+    return df.schema.treeString()
+
+
 def peek(df: DataFrame, n: int = 5) -> DataFrame:
     """First rows for display (a limit is the feature here)."""
     return df.limit(n)

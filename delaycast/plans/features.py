@@ -74,6 +74,22 @@ def training_frame(positions: DataFrame, obs: DataFrame, fc: DataFrame) -> DataF
     return lab.join(J.sized_broadcast(w), "generated_weather_bin", "inner")
 
 
+FINISH_DROP = ["generated", "generated_weather_bin", "vehicleService", "scheduledTripStartTime"]
+CATEGORICAL = ["summary_actual", "type_actual", "summary_forecast", "type_forecast"]
+
+
+def finish(df: DataFrame, categories: dict[str, list[str]], drop: list[str] = FINISH_DROP) -> DataFrame:
+    """M4 (table form): drop the key columns and one-hot the categorical
+    columns with the given category lists (null / unseen -> all zeros).
+    The model pipeline does the same inside Spark ML (StringIndexer +
+    OneHotEncoder); this form is for exporting a flat feature table."""
+    out = df.drop(*drop)
+    onehots = []
+    for c, cats in categories.items():
+        onehots += C.one_hot_columns(c, cats, prefix=c)
+    return out.select(*[x for x in out.columns if x not in categories], *onehots)
+
+
 def expected_stop_coords(pos: DataFrame, timetable: DataFrame, stops: DataFrame,
                          delay_unit_seconds: float = 1.0, ahead_seconds: int = 900) -> DataFrame:
     """Expected stop coordinates ``ahead_seconds`` from now.

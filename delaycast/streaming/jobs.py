@@ -101,3 +101,10 @@ def stop_gracefully(query, timeout_s: float = 60.0) -> None:
     query.awaitTermination(timeout_s)
     if query.isActive:
         query.stop()
+
+
+def rows_dropped_by_watermark(query) -> int:
+    """T4: late rows dropped by the stateful operators over the query's
+    recent progress (``numRowsDroppedByWatermark``)."""
+    return sum(op.get("numRowsDroppedByWatermark", 0)
+               for p in query.recentProgress for op in p.get("stateOperators", []))

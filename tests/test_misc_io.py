@@ -53,3 +53,16 @@ def test_clean_positions_union_trip_id(spark):
     assert "tripId" not in out.columns
     assert [r.routeShortName for r in rows if r.routeShortName] == ["9912"]
     assert len(rows) == 2                                  # empty envelope kept as one null row (explode_outer)
+
+
+def test_finish_and_schema_text(spark):
+    from delaycast.functions import flatten as P
+    df = spark.createDataFrame([("2024", "b", 1.0, "Rain", None, "Sun", "x", "s", "t")],
+                               "generated string, generated_weather_bin string, speed double, summary_actual string, "
+                               "type_actual string, summary_forecast string, type_forecast string, "
+                               "vehicleService string, scheduledTripStartTime string")
+    out = M.finish(df, {"summary_actual": ["Rain", "Sun"], "type_actual": ["none"]})
+    assert out.columns == ["speed", "summary_forecast", "type_forecast", "summary_actual_Rain",
+                           "summary_actual_Sun", "type_actual_none"]
+    assert tuple(out.first())[3:] == (1, 0, 0)
+    assert "speed: double" in P.schema_text(df)
