@@ -83,7 +83,7 @@ def read_positions(spark: SparkSession, directory: str, date: str | None = None,
                    prefix: str = POSITIONS_PREFIX) -> DataFrame:
     """All history, or one day, of the position Parquet files."""
     glob = daily_glob(prefix, date) if date else f"*{prefix}*"
-    return read_files_by_name(spark, directory, glob, recursive=True)
+    return read_files_by_name(spark, directory, glob, recursive=True, merge_schema=True)
 
 
 def read_weather(spark: SparkSession, directory: str, date: str | None = None,
@@ -92,8 +92,8 @@ def read_weather(spark: SparkSession, directory: str, date: str | None = None,
     (the notebook filtered only observations - documented difference)."""
     og = daily_glob(obs_prefix, date) if date else f"*{obs_prefix}_*"
     fg = daily_glob(fc_prefix, date) if date else f"*{fc_prefix}_*"
-    return (read_files_by_name(spark, directory, og, recursive=True),
-            read_files_by_name(spark, directory, fg, recursive=True))
+    return (read_files_by_name(spark, directory, og, recursive=True, merge_schema=True),
+            read_files_by_name(spark, directory, fg, recursive=True, merge_schema=True))
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
