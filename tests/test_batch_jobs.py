@@ -43,3 +43,12 @@ def test_positions_and_weather_loads(spark, tmp_path):
     w = sorted(spark.read.parquet(f"{out}/weather").collect(), key=lambda r: r.row_key)
     assert [r.row_key for r in w] == ["2023-12-31 12:05:09", "2023-12-31 13:05:09"]
     assert w[0].temperature == 5.8 and w[0].cloud_cover == 88
+
+
+def test_cli_positions_batch(spark, tmp_path):
+    from delaycast.__main__ import main
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    _write_json_parquet(f"{src}/p/Act_position_2024-01-01-10_x.parquet",
+                        [positions_message([vehicle(generated="2024-01-01T10:05:00Z", vehicleId="9")])], None)
+    main(["positions-batch", "--src", src, "--out", out, "--anchor", "2024-01-01T12:30:00"])
+    assert [r.row_key for r in spark.read.parquet(out).collect()] == ["2024-01-01 10:05:00_9"]
