@@ -60,14 +60,15 @@ def test_dedup_never_grows_and_one_row_per_key(spark, rows):
 @SETTINGS
 @given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 100_000)), min_size=1, max_size=30),
        st.lists(st.tuples(st.integers(0, 2), st.integers(0, 100_000)), min_size=0, max_size=30),
-       st.sampled_from([600, 3600, 86_400]))
-def test_asof_next_is_earliest_not_before(spark, left, right, bucket):
+       st.sampled_from([600, 3600, 86_400]), st.sampled_from([2, 2_000_000]))
+def test_asof_next_is_earliest_not_before(spark, left, right, bucket, per_bucket):
     base = dt.datetime(2024, 1, 1)
     L = spark.createDataFrame([(i, k, base + dt.timedelta(seconds=s)) for i, (k, s) in enumerate(left)],
                               "i int, k int, t timestamp")
     R = spark.createDataFrame([(k, base + dt.timedelta(seconds=s), j) for j, (k, s) in enumerate(right)],
                               "k int, rt timestamp, j int")
-    got = {r.i: r.next_j for r in J.asof_next(L, R, ["k"], "t", "rt", ["j"], ["j"], bucket_seconds=bucket).collect()}
+    got = {r.i: r.next_j for r in J.asof_next(L, R, ["k"], "t", "rt", ["j"], ["j"], bucket_seconds=bucket,
+                                                max_rows_per_bucket=per_bucket).collect()}
     assert len(got) == len(left)
     for i, (k, s) in enumerate(left):
         cands = [(rs, j) for j, (rk, rs) in enumerate(right) if rk == k and rs >= s]
