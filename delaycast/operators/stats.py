@@ -156,7 +156,12 @@ def global_index(df: DataFrame, order: list[str], name: str = "_idx") -> DataFra
     """0-based position of each row in ``order`` without a single-partition
     window: range-partitioned sort, position inside each partition from
     ``monotonically_increasing_id``, plus the row count of all earlier
-    partitions (a table of one row per partition, broadcast)."""
+    partitions (a table of one row per partition, broadcast).
+
+    ``order`` must be a total order (add a unique column) so a recomputed
+    partition yields the same positions. The counts and the rows read the
+    same range exchange, which Spark reuses within the query (exchange reuse
+    is on by default), so both see one partitioning."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) for c in order]
     parts = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
