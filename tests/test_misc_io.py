@@ -66,3 +66,16 @@ def test_finish_and_schema_text(spark):
                            "summary_actual_Sun", "type_actual_none"]
     assert tuple(out.first())[3:] == (1, 0, 0)
     assert "speed: double" in P.schema_text(df)
+
+
+def test_json_file_sink_with_checkpoint_and_peek(spark, tmp_path, capsys):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.txt").write_text("x\ny\nx\n")
+    stream = R.read_stream(spark, "text", {"maxFilesPerTrigger": "1"}, path=str(src))
+    q = K.start_stream(stream, str(tmp_path / "ck"), sink="json", path=str(tmp_path / "out"),
+                       trigger={"availableNow": True})
+    q.awaitTermination()
+    assert sorted(r.value for r in spark.read.json(str(tmp_path / "out")).collect()) == ["x", "x", "y"]
+    K.peek_writer(1)(spark.createDataFrame([("only",), ("second",)], "v string"), 0)
+    assert "only" in capsys.readouterr().out
