@@ -315,6 +315,22 @@ FROM b c JOIN e ON c.bucket = e.bucket
 WHERE c.event_type = 'click' AND e.err_event_id IS NOT NULL AND e.err_value IS NOT NULL"""
 
 
+def q_epoch_key_decode(spark, d):
+    """C23 (+C21): a store keyed by the 8-byte big-endian epoch-millisecond
+    of the event time; the key bytes are decoded back to a timestamp."""
+    ev = events(spark, d)
+    key = F.unhex(F.lpad(F.hex(F.unix_millis("ts")), 16, "0"))
+    keyed = ev.select("event_id", key.alias("row_key"))
+    return keyed.select("event_id", F.hex("row_key").alias("row_key_hex"),
+                        ntz(C.epoch_from_key("row_key")).alias("key_time"))
+
+
+O_EPOCH_KEY_DECODE = """
+SELECT event_id, lpad(hex(epoch_us(ts) // 1000), 16, '0') AS row_key_hex,
+       make_timestamp((epoch_us(ts) // 1000) * 1000) AS key_time
+FROM events"""
+
+
 # ---------------------------------------------------------------- D: dedup / latest / union
 
 def q_union_feeds(spark, d):
@@ -865,6 +881,7 @@ QUERIES = {
     "lookback_hour": q_lookback_hour,
     "lookback_day": q_lookback_day,
     "key_range_scan": q_key_range_scan,
+    "epoch_key_decode": q_epoch_key_decode,
     "recent_5h": q_recent_5h,
     "any_null_drop": q_any_null_drop,
     "union_feeds": q_union_feeds,
@@ -911,6 +928,7 @@ ORACLES = {
     "lookback_hour": O_LOOKBACK_HOUR,
     "lookback_day": O_LOOKBACK_DAY,
     "key_range_scan": O_KEY_RANGE_SCAN,
+    "epoch_key_decode": O_EPOCH_KEY_DECODE,
     "recent_5h": O_RECENT_5H,
     "any_null_drop": O_ANY_NULL_DROP,
     "union_feeds": O_UNION_FEEDS,
