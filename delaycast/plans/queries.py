@@ -331,6 +331,30 @@ SELECT event_id, lpad(hex(epoch_us(ts) // 1000), 16, '0') AS row_key_hex,
 FROM events"""
 
 
+def q_column_families(spark, d):
+    """K4 + K5: rows stored as text cells in two column families, with the
+    text "None" for a missing value, read back into typed rows."""
+    from ..sources import sinks as K
+    ev = events(spark, d)
+    cells = ev.select(
+        F.col("event_id").cast("string").alias("row_key"),
+        *[F.coalesce(F.col(c).cast("string"), F.lit("None")).alias(c)
+          for c in ["user_id", "event_type", "value", "props"]],
+        F.coalesce(F.get_json_object("props", "$.missing"), F.lit("None")).alias("missing"))
+    fam = K.to_families(cells, {"act_bus": ["user_id", "event_type", "value"],
+                                "extra": ["props", "missing"]}, "row_key")
+    back = K.cells_to_rows(K.from_families(fam, ["act_bus", "extra"]))
+    return back.select(F.col("row_key").cast("bigint").alias("event_id"),
+                       C.to_number("user_id", "bigint").alias("user_id"), "event_type",
+                       C.to_number("value").alias("value"), "props", "missing")
+
+
+O_COLUMN_FAMILIES = """
+SELECT event_id, user_id, event_type, value, props,
+       json_extract_string(props, '$.missing') AS missing
+FROM events"""
+
+
 # ---------------------------------------------------------------- D: dedup / latest / union
 
 def q_union_feeds(spark, d):
@@ -882,6 +906,7 @@ QUERIES = {
     "lookback_day": q_lookback_day,
     "key_range_scan": q_key_range_scan,
     "epoch_key_decode": q_epoch_key_decode,
+    "column_families": q_column_families,
     "recent_5h": q_recent_5h,
     "any_null_drop": q_any_null_drop,
     "union_feeds": q_union_feeds,
@@ -929,6 +954,7 @@ ORACLES = {
     "lookback_day": O_LOOKBACK_DAY,
     "key_range_scan": O_KEY_RANGE_SCAN,
     "epoch_key_decode": O_EPOCH_KEY_DECODE,
+    "column_families": O_COLUMN_FAMILIES,
     "recent_5h": O_RECENT_5H,
     "any_null_drop": O_ANY_NULL_DROP,
     "union_feeds": O_UNION_FEEDS,
