@@ -76,3 +76,15 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
     }
+
+
+def rocksdb_state_conf() -> dict:
+    """State store for large stream state: RocksDB (off-heap, spills to local
+    disk, incremental changelog checkpoints to the checkpoint location).
+    Set before the first start of a query; the provider is then fixed in its
+    checkpoint. Locally the default in-memory provider is as fast."""
+    return {
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }

@@ -12,3 +12,8 @@ def test_configure_pins_utc(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     S.configure(spark)
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_rocksdb_conf_names_the_provider():
+    c = S.rocksdb_state_conf()
+    assert c["spark.sql.streaming.stateStore.providerClass"].endswith("RocksDBStateStoreProvider")
