@@ -69,6 +69,33 @@ def bucket_enrich(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     return out.drop("_bk")
 
 
+def bucket_enrich_multi(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+                        feeds: dict, mode: str = "latest",
+                        max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """J1 + J2 in one pass: several feeds that share one source (e.g. one
+    table or topic holding observations and forecasts) are reduced per
+    bucket by ONE aggregation - a conditional ``max_by`` (or mean/count) per
+    feed; a row of another feed has a null ordering and is ignored - then
+    joined once. ``feeds``: prefix -> (condition Column, value cols, order
+    cols). One scan and one shuffle of the source instead of one per feed."""
+    aggs, out = [], []
+    for prefix, (cond, cols, order) in feeds.items():
+        if mode == "latest":
+            pay = F.when(cond, F.struct(*[F.col(c) for c in cols]))
+            aggs.append(F.max_by(pay, F.when(cond, F.struct(*[F.col(c) for c in order]))).alias(prefix))
+            out += [F.col(f"{prefix}.{c}").alias(prefix + c) for c in cols]
+        elif mode == "mean":
+            aggs.append(F.count(F.when(cond, F.lit(1))).alias(prefix + "n"))
+            aggs += [F.avg(F.when(cond, F.col(c))).alias(prefix + c) for c in cols]
+            out += [F.when(F.col(prefix + "n") > 0, F.col(prefix + "n")).alias(prefix + "n")] + \
+                   [F.col(prefix + c) for c in cols]
+        else:
+            raise ValueError(mode)
+    red = right.groupBy(F.col(right_key).alias("_bk")).agg(*aggs).select("_bk", *out)
+    red = sized_broadcast(red, max_broadcast_bytes)
+    return left.join(red, left[left_key] == red["_bk"], "left").drop("_bk")
+
+
 def shift_self_join(df: DataFrame, keys: list[str], time_col: str, shift_seconds: float,
                     value_cols: list[str], suffix: str = "_15min") -> DataFrame:
     """Each row joined (inner) to the row of the same keys at

@@ -439,19 +439,18 @@ WHERE rn = 1"""
 
 # ---------------------------------------------------------------- J: joins
 
-def _feeds(spark, d):
-    ev = events(spark, d).withColumn("bucket", T.next_hour_bucket("ts"))
-    feed = lambda t: ev.where(F.col("event_type") == t)
-    return feed("click"), feed("error"), feed("view")
+def _weather_like(ev, cols, order=("ts", "event_id")):
+    """error and view events play the observation and forecast feeds; both
+    are reduced in one pass over the shared source."""
+    is_ = lambda t: F.col("event_type") == t
+    return {"err_": (is_("error"), cols, list(order)), "view_": (is_("view"), cols, list(order))}
 
 
 def q_enrich_hour_latest(spark, d):
-    clicks, errors, views = _feeds(spark, d)
-    left = clicks.select("event_id", "bucket", "value")
-    j1 = J.bucket_enrich(left, errors, "bucket", "bucket", ["event_id", "value"], "err_",
-                         order=["ts", "event_id"])
-    j2 = J.bucket_enrich(j1, views, "bucket", "bucket", ["event_id", "value"], "view_",
-                         order=["ts", "event_id"])
+    ev = events(spark, d).withColumn("bucket", T.next_hour_bucket("ts"))
+    left = ev.where(F.col("event_type") == "click").select("event_id", "bucket", "value")
+    right = ev.where(F.col("event_type").isin("error", "view"))
+    j2 = J.bucket_enrich_multi(left, right, "bucket", "bucket", _weather_like(ev, ["event_id", "value"]))
     return j2.select("event_id", ntz("bucket").alias("bucket"), "value", "err_event_id", "err_value",
                      "view_event_id", "view_value")
 
@@ -471,10 +470,10 @@ WHERE c.event_type = 'click'"""
 
 
 def q_enrich_hour_mean(spark, d):
-    clicks, errors, views = _feeds(spark, d)
-    left = clicks.select("event_id", "bucket", "value")
-    j1 = J.bucket_enrich(left, errors, "bucket", "bucket", ["value"], "err_", mode="mean")
-    j2 = J.bucket_enrich(j1, views, "bucket", "bucket", ["value"], "view_", mode="mean")
+    ev = events(spark, d).withColumn("bucket", T.next_hour_bucket("ts"))
+    left = ev.where(F.col("event_type") == "click").select("event_id", "bucket", "value")
+    right = ev.where(F.col("event_type").isin("error", "view"))
+    j2 = J.bucket_enrich_multi(left, right, "bucket", "bucket", _weather_like(ev, ["value"]), mode="mean")
     return j2.select("event_id", ntz("bucket").alias("bucket"), "value",
                      F.coalesce("err_n", F.lit(0)).alias("err_n"), r6("err_value").alias("err_value"),
                      F.coalesce("view_n", F.lit(0)).alias("view_n"), r6("view_value").alias("view_value"))
@@ -860,10 +859,9 @@ def flagship(spark, d):
     parsed = P.parse_json(ev, "props", StructType([StructField("k", StringType(), True)]),
                           keep=["event_id", "user_id", "event_type", "ts", "value"], corrupt_col=None)
     typed = parsed.withColumn("k", C.to_number("k", "int")).withColumn("bucket", T.next_hour_bucket("ts"))
-    feed = lambda t: typed.where(F.col("event_type") == t)
-    left = feed("click").select("event_id", "user_id", "bucket", "value", "k")
-    j = J.bucket_enrich(left, feed("error"), "bucket", "bucket", ["value"], "err_", order=["ts", "event_id"])
-    j = J.bucket_enrich(j, feed("view"), "bucket", "bucket", ["value"], "view_", order=["ts", "event_id"])
+    left = typed.where(F.col("event_type") == "click").select("event_id", "user_id", "bucket", "value", "k")
+    right = typed.where(F.col("event_type").isin("error", "view"))
+    j = J.bucket_enrich_multi(left, right, "bucket", "bucket", _weather_like(typed, ["value"]))
     j = j.withColumn("route", F.col("user_id").cast("string"))
     out = j.groupBy("route").agg(
         F.count(F.lit(1)).alias("n_clicks"),

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 from delaycast.operators import joins as J
 from delaycast.operators import stats as A
 
@@ -122,3 +123,14 @@ def test_asof_next_hot_key_uses_finer_buckets(spark):
     got = J.asof_next(L, R, ["k"], "t", "rt", ["rid"], ["rid"], bucket_seconds=86_400, max_rows_per_bucket=5)
     res = {r.lid: r.next_rid for r in got.collect()}
     assert res == _brute_asof(left, right)
+
+
+def test_bucket_enrich_multi_equals_one_join_per_feed(spark):
+    left = spark.createDataFrame([(1, 10), (2, 11), (3, 12)], "id int, b int")
+    right = spark.createDataFrame([(10, "o", 1, 5.0), (10, "o", 2, 6.0), (10, "f", 1, 9.0), (11, "f", 3, 1.0)],
+                                  "b int, kind string, o int, v double")
+    feeds = {"o_": (F.col("kind") == "o", ["v"], ["o"]), "f_": (F.col("kind") == "f", ["v"], ["o"])}
+    got = {r.id: (r.o_v, r.f_v) for r in J.bucket_enrich_multi(left, right, "b", "b", feeds).collect()}
+    assert got == {1: (6.0, 9.0), 2: (None, 1.0), 3: (None, None)}
+    mean = {r.id: (r.o_n, r.o_v) for r in J.bucket_enrich_multi(left, right, "b", "b", feeds, mode="mean").collect()}
+    assert mean == {1: (2, 5.5), 2: (None, None), 3: (None, None)}
