@@ -41,6 +41,7 @@ class RightFeed:
     cols: list[str]         # payload columns
     order: list[str]        # newest-wins order within a bucket
     prefix: str             # output prefix (``act_``, ``for_``)
+    cond: object = None     # row filter when several feeds share one frame
 
 
 def latest_per_bucket(feed: RightFeed, watermark: str | None) -> DataFrame:
@@ -58,6 +59,17 @@ def combined_per_bucket(feeds: list[RightFeed], watermark: str | None) -> DataFr
     payload/order struct, nulls elsewhere), then per bucket one ``max_by``
     per feed - a row of another feed has a null ordering and is ignored.
     One stateful aggregation + one join instead of one of each per feed."""
+    shared = all(f.frame is feeds[0].frame and f.key == feeds[0].key and f.cond is not None for f in feeds)
+    if shared:
+        # one source holds every feed: conditional structs, no union, one scan
+        f = feeds[0].frame
+        if watermark and f.isStreaming:
+            f = f.withWatermark(feeds[0].key, watermark)
+        cols = [F.col(feeds[0].key).alias("_rk")]
+        for j, feed in enumerate(feeds):
+            cols += [F.when(feed.cond, F.struct(*[F.col(c) for c in feed.cols])).alias(f"_p{j}"),
+                     F.when(feed.cond, F.struct(*[F.col(c) for c in feed.order])).alias(f"_o{j}")]
+        return _reduce(f.select(*cols), feeds)
     parts = []
     for i, feed in enumerate(feeds):
         f = feed.frame
@@ -76,6 +88,10 @@ def combined_per_bucket(feeds: list[RightFeed], watermark: str | None) -> DataFr
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
+    return _reduce(u, feeds)
+
+
+def _reduce(u: DataFrame, feeds: list[RightFeed]) -> DataFrame:
     agg = u.groupBy("_rk").agg(*[F.max_by(f"_p{j}", f"_o{j}").alias(f"_p{j}") for j in range(len(feeds))])
     out = [F.col("_rk")]
     for j, feed in enumerate(feeds):

@@ -63,9 +63,12 @@ def enrich_events_stream(spark: SparkSession, sf_dir: str, watermark: str = "20
     salt_buckets = salt_buckets or default_state_partitions(spark)
     ev = events_stream(spark, sf_dir).withColumn("bucket", T.next_hour_bucket("ts"))
     clicks = ev.where(F.col("event_type") == "click").select("event_id", "user_id", "bucket", "value")
-    feed = lambda t: ev.where(F.col("event_type") == t).select("bucket", "ts", "event_id", "value")
-    rights = [RightFeed(feed("error"), "bucket", ["event_id", "value"], ["ts", "event_id"], "err_"),
-              RightFeed(feed("view"), "bucket", ["event_id", "value"], ["ts", "event_id"], "view_")]
+    # both weather-like feeds come from the one source: one branch, conditional per feed
+    right = ev.where(F.col("event_type").isin("error", "view")).select("bucket", "ts", "event_id", "value",
+                                                                        "event_type")
+    is_ = lambda t: F.col("event_type") == t
+    rights = [RightFeed(right, "bucket", ["event_id", "value"], ["ts", "event_id"], "err_", is_("error")),
+              RightFeed(right, "bucket", ["event_id", "value"], ["ts", "event_id"], "view_", is_("view"))]
     return enrich(clicks, "bucket", rights, ["user_id"], watermark, salt_buckets)
 
 
