@@ -80,3 +80,14 @@ def test_output_types_match_oracle(spark, duck, name):
                    for f in E.queries()[name](spark, SF).schema.fields}
     rel = duck.sql(E.oracle_sql()[name])
     assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
+
+
+def test_asof_partitions_by_key_and_time_bucket(spark):
+    plan = E.queries()["next_stop_lookup"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_k0" in plan and "_b" in plan.split("hashpartitioning(_k0", 1)[1][:40]
+
+
+def test_flagship_streams_the_large_side_through_one_broadcast_join(spark):
+    plan = E.entry(spark)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in plan
+    assert plan.count("FileScan") == 2                     # clicks + one pass over the weather-like feeds
