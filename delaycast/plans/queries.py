@@ -355,6 +355,27 @@ SELECT event_id, user_id, event_type, value, props,
 FROM events"""
 
 
+def q_name_pattern_check(spark, d):
+    """per-row, case-insensitive pattern built from the row's own fields
+    (as the trip-id check builds ``{route}{start}.*_{service}``): does the
+    name encode its own key, and (control) its neighbour's key?"""
+    cu = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    own = F.concat(F.lit("customer#0*"), F.col("c_custkey").cast("string"), F.lit("$"))
+    nxt = F.concat(F.lit("customer#0*"), (F.col("c_custkey") + 1).cast("string"), F.lit("$"))
+    seg = F.concat(F.lit("^"), FL.quote_regex(F.lower("c_mktsegment")))
+    return cu.select("c_custkey", FL.regex_contains_ci(F.col("c_name"), own).alias("key_match"),
+                     FL.regex_contains_ci(F.col("c_name"), nxt).alias("neighbour_match"),
+                     FL.regex_contains_ci(F.col("c_mktsegment"), seg).alias("segment_match"))
+
+
+O_NAME_PATTERN_CHECK = """
+SELECT c_custkey,
+       regexp_matches(c_name, '(?i)customer#0*' || CAST(c_custkey AS VARCHAR) || '$') AS key_match,
+       regexp_matches(c_name, '(?i)customer#0*' || CAST(c_custkey + 1 AS VARCHAR) || '$') AS neighbour_match,
+       regexp_matches(c_mktsegment, '(?i)^' || lower(c_mktsegment)) AS segment_match
+FROM customer"""
+
+
 # ---------------------------------------------------------------- D: dedup / latest / union
 
 def q_union_feeds(spark, d):
@@ -905,6 +926,7 @@ QUERIES = {
     "key_range_scan": q_key_range_scan,
     "epoch_key_decode": q_epoch_key_decode,
     "column_families": q_column_families,
+    "name_pattern_check": q_name_pattern_check,
     "recent_5h": q_recent_5h,
     "any_null_drop": q_any_null_drop,
     "union_feeds": q_union_feeds,
@@ -953,6 +975,7 @@ ORACLES = {
     "key_range_scan": O_KEY_RANGE_SCAN,
     "epoch_key_decode": O_EPOCH_KEY_DECODE,
     "column_families": O_COLUMN_FAMILIES,
+    "name_pattern_check": O_NAME_PATTERN_CHECK,
     "recent_5h": O_RECENT_5H,
     "any_null_drop": O_ANY_NULL_DROP,
     "union_feeds": O_UNION_FEEDS,
