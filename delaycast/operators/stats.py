@@ -52,15 +52,24 @@ def histogram(df: DataFrame, col: str, bins: int, lo=None, hi=None, digits: int
     bin closed, empty bins present. All-equal data widens the range by 0.5
     each side. Output: n_bins, bin, bin_lo, bin_hi, cnt."""
     x = nan_to_null(F.col(col))
-    if lo is None or hi is None:
-        dlo, dhi = bounds(df.select(x.alias("_x")).where(F.col("_x").isNotNull()), "_x")
-        lo = dlo if lo is None else F.lit(float(lo))
-        hi = dhi if hi is None else F.lit(float(hi))
+    if lo is None and hi is None:
+        # one scalar subquery returns the already-widened range, so the many
+        # references below point at one small plan
+        v = df.select(x.alias("_x")).where(F.col("_x").isNotNull())
+        mn, mx = F.min("_x"), F.max("_x")
+        b = v.select(F.struct(F.when(mn == mx, mn - 0.5).otherwise(mn).alias("lo"),
+                              F.when(mn == mx, mx + 0.5).otherwise(mx).alias("hi"))).scalar()
+        lo2, hi2 = b["lo"], b["hi"]
     else:
-        lo, hi = F.lit(float(lo)), F.lit(float(hi))
-    same = lo == hi
-    lo2 = F.when(same, lo - 0.5).otherwise(lo)
-    hi2 = F.when(same, hi + 0.5).otherwise(hi)
+        if lo is None or hi is None:
+            dlo, dhi = bounds(df.select(x.alias("_x")).where(F.col("_x").isNotNull()), "_x")
+            lo = dlo if lo is None else F.lit(float(lo))
+            hi = dhi if hi is None else F.lit(float(hi))
+        else:
+            lo, hi = F.lit(float(lo)), F.lit(float(hi))
+        same = lo == hi
+        lo2 = F.when(same, lo - 0.5).otherwise(lo)
+        hi2 = F.when(same, hi + 0.5).otherwise(hi)
     return _binned(df.select(x.alias("_x")), lo2, hi2, bins, F.col("_x"), digits, log=False)
 
 
