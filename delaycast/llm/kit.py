@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -15,6 +18,22 @@ from delaycast.session import shared_dir
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give Python workers this package, wherever the driver found it (once for each application)."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        root = Path(__file__).resolve().parents[1]
+        archive = f"{tempfile.mkdtemp()}/{root.name}.zip"  # Spark sends it from the driver to the executors
+        with zipfile.ZipFile(archive, "w") as z:
+            for p in sorted(root.rglob("*.py")):
+                z.write(p, p.relative_to(root.parent))
+        sc.addPyFile(archive)
+        _shipped.add(sc.applicationId)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: later steps, also after the loss of
     an executor, start from the files instead of computing `df` again."""
@@ -25,6 +44,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

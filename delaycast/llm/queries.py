@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, licenses, mixing, packing, quality, rules, viterbi
+from . import ann, jaccard, licenses, mixing, packing, quality, rules, viterbi
 from .kit import table
 
 #: Vocabulary files of public tokenizers; every machine has them in this folder.
@@ -19,6 +19,10 @@ def fold(id_col: str, folds: int):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds
 
 
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar(table(spark, sf_dir, "documents"))
+
+
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
 
@@ -57,6 +61,7 @@ def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_jaccard_join": ngram_jaccard_join,
     "op3_best_fit_packing": best_fit_packing,
     "op4_quality_classifier": quality_classifier,
     "op6_mixing_sources": mixing_sources,

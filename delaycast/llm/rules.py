@@ -95,10 +95,15 @@ def distance(counts: Column, reference: Column) -> Column:
     return F.sqrt(F.greatest(F.coalesce(js, F.lit(0.0)), F.lit(0.0)))
 
 
-def judged(docs: DataFrame, max_char_distance: float = 0.2, max_word_distance: float = 0.4,
+def judged(docs: DataFrame, char_limit: tuple[float, float] = (0.12, 2.5), word_limit: tuple[float, float] = (0.12, 1.6),
            least_chars: int = 200, least_words: int = 50) -> DataFrame:
     """One row per row of `docs`: the rule counts, both distances, base_failed and kept.
 
+    A limit (a, b) is a + b / sqrt(n) for a histogram of n counts, as the distance
+    of a sample from its own distribution falls with the square root of its size.
+    Texts of fewer than `least_chars` characters in words, or `least_words` words,
+    aren't held to that limit.
+
     A null text is empty: no words, base_failed. Null and unlisted languages are
     languages of their own, without common words. Null ids stay, repeated rows
     each get a row, other columns are ignored.
@@ -108,7 +113,8 @@ def judged(docs: DataFrame, max_char_distance: float = 0.2, max_word_distance: f
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     rows = rows.select("*", distance(F.col("char_counts"), F.col("char_reference")).alias("char_distance"),
                        distance(F.col("word_counts"), F.col("word_reference")).alias("word_distance"), failed.alias("base_failed"))
-    fits = ((F.col("word_chars") < least_chars) | (F.col("char_distance") <= max_char_distance)) & (
-        (F.col("n_words") < least_words) | (F.col("word_distance") <= max_word_distance))
+    limit = lambda n, ab: ab[0] + ab[1] / F.sqrt(n)
+    fits = ((F.col("word_chars") < least_chars) | (F.col("char_distance") <= limit(F.col("word_chars"), char_limit))) & (
+        (F.col("n_words") < least_words) | (F.col("word_distance") <= limit(F.col("n_words"), word_limit)))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                        (~failed & fits).alias("kept"), "char_distance", "word_distance")
