@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, jaccard, licenses, mixing, packing, quality, rules, viterbi
+from . import ann, jaccard, licenses, mixing, packing, quality, rules, suffix, viterbi
 from .kit import table
 
 #: Vocabulary files of public tokenizers; every machine has them in this folder.
@@ -23,6 +23,10 @@ def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar(table(spark, sf_dir, "documents"))
 
 
+def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
 
@@ -62,6 +66,7 @@ def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_jaccard_join,
+    "op2_suffix_array_dedup": suffix_array_dedup,
     "op3_best_fit_packing": best_fit_packing,
     "op4_quality_classifier": quality_classifier,
     "op6_mixing_sources": mixing_sources,
