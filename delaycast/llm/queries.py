@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, jaccard, licenses, mixing, packing, quality, rules, suffix, viterbi
+from . import ann, gru, jaccard, licenses, mixing, packing, quality, rules, suffix, viterbi
 from .kit import table
 
 #: Vocabulary files of public tokenizers; every machine has them in this folder.
@@ -34,9 +34,13 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality.fit(docs, labels.where(fold("doc_id", 5) != 0))
-    scored = quality.score(docs, model, ["doc_id"])
-    return scored.select("doc_id", (F.coalesce(fold("doc_id", 5), F.lit(0)) == 0).alias("held_out"), "score",
-                         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+    score = F.col(quality.SCORE)
+    return quality.score(docs, model, ["doc_id"]).select(
+        "doc_id", (F.coalesce(fold("doc_id", 5), F.lit(0)) == 0).alias("held_out"), score.alias("score"), F.when(score >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gru.scored(table(spark, sf_dir, "documents"), fold("doc_id", 7) == 2)
 
 
 def mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +73,7 @@ QUERIES = {
     "op2_suffix_array_dedup": suffix_array_dedup,
     "op3_best_fit_packing": best_fit_packing,
     "op4_quality_classifier": quality_classifier,
+    "op5_lm_scoring": lm_scoring,
     "op6_mixing_sources": mixing_sources,
     "op7_token_counts": token_counts,
     "op8_nearest_neighbours": nearest_neighbours,

@@ -154,7 +154,8 @@ def compare_bucket(g: pd.DataFrame, length: int) -> pd.DataFrame | None:
 
 
 def deduplicated(docs: DataFrame, length: int = 200, keep_text: bool = False) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_bytes, n_removed, n_spans, kept_sha256; with `keep_text` also `kept`, the bytes that stay.
+    """One row per row of `docs`: doc_id, n_bytes, n_removed, n_spans, kept_sha256; with `keep_text` also `kept`, the
+    text that stays (a character cut by a removal goes whole), and `row`, the row's other columns.
 
     Removed is every byte covered by a string of `length` bytes that starts
     anywhere else too, in this text or another; n_spans counts maximal removed
@@ -238,13 +239,13 @@ def deduplicated(docs: DataFrame, length: int = 200, keep_text: bool = False) ->
                 runs = merged(np.concatenate(each))
                 edges = [0, *runs.ravel().tolist(), len(raw)]
                 left = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2]))
-                rows.append((key, len(raw) - len(left), len(runs), hashlib.sha256(left).hexdigest(), left))
+                rows.append((key, len(raw) - len(left), len(runs), hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore") if keep_text else None))
             out = pd.DataFrame(rows, columns=["key", "n_removed", "n_spans", "kept_sha256", "kept"])
             yield out if keep_text else out.drop(columns="kept")
 
     both = suspects.select("key", "raw").join(spans.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key"), "left").join(own, F.col("key") == F.col("_own"), "left")
     both = both.where("s is not null or cover is not null").select("key", "raw", "s", "e", "cover")
-    done = both.mapInPandas(cut, "key binary, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text)
+    done = both.mapInPandas(cut, "key binary, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * keep_text)
     done = done.dropDuplicates(["key"])
     twice = first.where("copies > 1").select("key", F.lit(True).alias("all"))
     info = done.join(twice, "key", "full_outer")
@@ -254,8 +255,19 @@ def deduplicated(docs: DataFrame, length: int = 200, keep_text: bool = False) ->
                F.when(gone, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256")]
     if not keep_text:
         return base.select("doc_id", "key", "n_bytes", "sha").join(info, "key", "left").select(*columns)
-    kept = F.when(gone, F.lit(b"")).otherwise(F.coalesce("kept", "raw")).alias("kept")
-    extra = docs.drop("text", "doc_id").columns
-    rows = docs.select(F.col("doc_id"), *extra, F.coalesce("text", F.lit("")).cast("binary").alias("raw")).withColumns(
-        {"key": F.unhex(F.substring(F.sha2("raw", 256), 1, 32)), "n_bytes": F.length("raw").cast("long"), "sha": F.sha2("raw", 256)})
-    return rows.join(info, "key", "left").select(*columns, kept, *extra)
+    kept = F.when(gone, F.lit("")).otherwise(F.coalesce("kept", "raw")).alias("kept")
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rows = docs.select(F.col("doc_id"), F.struct(F.lit(0).alias("_"), *others).alias("row"), F.coalesce("text", F.lit("")).alias("raw"))
+    rows = rows.withColumns({"sha": F.sha2(F.col("raw").cast("binary"), 256), "n_bytes": F.octet_length("raw").cast("long")})
+    rows = rows.withColumn("key", F.unhex(F.substring("sha", 1, 32)))
+    return rows.join(info, "key", "left").select(*columns, kept, "row")
+
+
+def without_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
+    """`docs` less all repeated substrings (n_chars, if there, is counted anew), and less documents of which no word is left."""
+    done = deduplicated(docs, length, keep_text=True).where((F.col("n_removed") == 0) | F.regexp_like("kept", F.lit(r"[^\x20\x09-\x0D]")))
+    columns = {c: F.col(f"row.`{c}`") for c in docs.columns if c not in ("doc_id", "text")}
+    columns |= {"doc_id": F.col("doc_id"), "text": F.col("kept")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept")).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)
+    return done.select(*[columns[c].alias(c) for c in docs.columns])
