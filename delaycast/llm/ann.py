@@ -72,14 +72,14 @@ def neighbours(vectors: DataFrame, queries_where, k: int = 5, id_col: str = "vec
     """The k nearest found of each query row (`queries_where`, on vec_id) among all other rows.
 
     Returns query_id, rank (from 1), vec_id, score (cosine); ties go to the
-    smaller vec_id. Pivots are the `pivots` rows of smallest id hash, at most 512
+    smaller vec_id. Without usable rows the result is empty. Pivots are the `pivots` rows of smallest id hash, at most 512
     vectors on the driver. Tasks hold `shard_rows` vectors and `block_queries` queries.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vector_col)
     sample = [r["vector"] for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).collect()]
-    p = np.array(sample, dtype=np.float64).reshape(len(sample), -1)
-    p /= np.linalg.norm(p, axis=1, keepdims=True) if len(p) else 1
+    p = np.array(sample, dtype=np.float64).reshape(len(sample), len(sample[0]) if sample else 1)
+    p /= np.linalg.norm(p, axis=1, keepdims=True)
     shared = spark.sparkContext.broadcast(p)
     n, nq = rows.agg(F.count("*"), F.count_if(queries_where)).first()
     shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-nq // block_queries))

@@ -19,6 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from zstandard import ZstdCompressor, ZstdDecompressor
 
 from .hashing import Sums
 from .kit import sorted_groups, stored
@@ -184,19 +185,28 @@ def deduplicated(docs: DataFrame, length: int = 200, keep_text: bool = False) ->
     code = F.xxhash64("key")
     every = base.select(F.explode("hs").alias("h"), code.alias("c")).unionByName(base.select(F.explode("twice").alias("h"), F.bitwise_not(code).alias("c")))
     dup = every.groupBy("h").agg(F.min("c").alias("a"), F.max("c").alias("b")).where("a < b").select("h")
-    wanted = base.select(F.explode("hs").alias("h"), "key").join(dup, "h").groupBy("key").agg(F.collect_set("h").alias("hs"))
+    # by a 64-bit code of the key, which is shorter to shuffle: texts of one code would share a few anchors too many
+    wanted = base.select(F.explode("hs").alias("h"), code.alias("c")).join(dup, "h").groupBy("c").agg(F.collect_set("h").alias("hs"))
     first = base.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-    wanted = wanted.join(first, "key")
-    keyed = texts.withColumn("key", F.unhex(F.substring(F.sha2("raw", 256), 1, 32)))
+    wanted = wanted.join(first.withColumn("c", code), "c").drop("c")
+
+    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        deflate = ZstdCompressor(level=6).compress
+        for f in frames:
+            out = pd.DataFrame({"key": [hashlib.sha256(raw).digest()[:16] for raw in f["raw"]], "raw": [deflate(raw) for raw in f["raw"]]})
+            out.insert(0, "doc_id", f["doc_id"].astype("Int64").to_numpy())
+            yield out
+
+    keyed = texts.mapInPandas(pack, "doc_id long, key binary, raw binary")
     suspect = keyed.join(wanted.withColumnRenamed("key", "_key"), (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("rep")))
     suspects = stored(suspect.select("key", "raw", "hs"), "suspects")
 
     def around(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in CONTEXT.split(", ")]
+        names, unpack = [c.split()[0] for c in CONTEXT.split(", ")], ZstdDecompressor().decompress
         for f in frames:
             rows = []
             for key, raw, hs in zip(f["key"], f["raw"], f["hs"]):
-                rows += contexts(key, np.frombuffer(raw, dtype=np.uint8), np.asarray(hs, dtype=np.int64).view(np.uint64), length)
+                rows += contexts(key, np.frombuffer(unpack(raw), dtype=np.uint8), np.asarray(hs, dtype=np.int64).view(np.uint64), length)
                 if len(rows) > 20_000:
                     yield pd.DataFrame(rows, columns=names)
                     rows = []
@@ -230,13 +240,14 @@ def deduplicated(docs: DataFrame, length: int = 200, keep_text: bool = False) ->
     own = near.where("cover is not null").select(F.col("key").alias("_own"), "cover").groupBy("_own").agg(F.min("cover").alias("cover"))
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        unpack = ZstdDecompressor().decompress
         for f in frames:
             rows = []
             for key, raw, s, e, cover in zip(f["key"], f["raw"], f["s"], f["e"], f["cover"]):
                 each = [np.frombuffer(cover, dtype=np.int64).reshape(-1, 2)] if cover is not None else []
                 if s is not None:
                     each.append(np.stack([s, e], axis=1).astype(np.int64))
-                runs = merged(np.concatenate(each))
+                raw, runs = unpack(raw), merged(np.concatenate(each))
                 edges = [0, *runs.ravel().tolist(), len(raw)]
                 left = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2]))
                 rows.append((key, len(raw) - len(left), len(runs), hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore") if keep_text else None))
