@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import nan_to_null
+from ..session import durable
 from .joins import sized_broadcast
 
 
@@ -102,10 +103,12 @@ def _binned(src: DataFrame, lo: Column, hi: Column, bins: int, pos: Column, digi
 
 
 def correlation(df: DataFrame, a: str, b: str) -> Column:
-    """Pearson correlation; NaN treated as missing, nulls skipped pairwise."""
-    x, y = nan_to_null(F.col(a)), nan_to_null(F.col(b))
+    """Pearson correlation; NaN treated as missing, nulls skipped pairwise.
+    A column without variance has none: null."""
+    x, y = nan_to_null(F.col(a)).cast("double"), nan_to_null(F.col(b)).cast("double")
     both = x.isNotNull() & y.isNotNull()
-    return F.corr(F.when(both, x), F.when(both, y))
+    x, y = F.when(both, x), F.when(both, y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
 def factor_table(df: DataFrame, pairs: dict[str, tuple[str, str]], digits: int = 6) -> DataFrame:
@@ -167,15 +170,14 @@ def global_index(df: DataFrame, order: list[str], name: str = "_idx") -> DataFra
     ``monotonically_increasing_id``, plus the row count of all earlier
     partitions (a table of one row per partition, broadcast).
 
-    ``order`` must be a total order (add a unique column) so a recomputed
-    partition yields the same positions. The counts and the rows read the
-    same range exchange, which Spark reuses within the query (exchange reuse
-    is on by default), so both see one partitioning."""
+    ``order`` must be a total order (add a unique column). The sorted rows are
+    written to the shared folder once and both the counts and the positions are
+    taken from there, so they see one partitioning whatever the optimiser does."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) for c in order]
-    parts = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-             .withColumn("_pid", F.spark_partition_id().cast("long"))
-             .withColumn("_mid", F.monotonically_increasing_id()))
+    parts = durable(df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+                    .withColumn("_pid", F.spark_partition_id().cast("long"))
+                    .withColumn("_mid", F.monotonically_increasing_id()), "index")
     counts = parts.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))

@@ -44,10 +44,22 @@ def _scan(spark: SparkSession, src_dir: str, glob: str, schema: StructType) -> D
     from pyspark.errors import AnalysisException
     try:
         return R.read_files_by_name(spark, src_dir, glob, recursive=True, merge_schema=True)
-    except AnalysisException:
+    except AnalysisException as e:
+        # nothing matched: no such folder, or no file to take a schema from
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return spark.createDataFrame([], schema)
 
 
+def store(table: DataFrame, out_path: str, load: str, order: list[str]) -> None:
+    """Upsert the rows with a readable time; the others go to ``{out_path}_rejects/load=...``,
+    replaced when the same load runs again. Never dropped, and never merged under one key."""
+    bad = table.where(F.col("timestamp_utc").isNull())
+    bad.drop("row_key").write.mode("overwrite").parquet(f"{out_path.rstrip('/')}_rejects/load={load}")
+    good = table.where(F.col("timestamp_utc").isNotNull())
+    K.write_keyed(good, out_path, "row_key", order, partition_by=["date"])
+
+
 def positions_table(raw: DataFrame) -> DataFrame:
     """Parsed position messages -> stored positions rows (typed time, day, key)."""
     rows = P.explode_rows(raw, "vehicles", alias="v", keep=["lastUpdate"])
@@ -80,7 +92,7 @@ def load_positions_hour(spark: SparkSession, src_dir: str, out_path: str,
     date, hour, _ = lookback(anchor)
     raw = _scan(spark, src_dir, R.hourly_glob(prefix, date, hour), schemas.POSITIONS)
     table = positions_table(raw).withColumn("date", F.to_date("timestamp_utc"))
-    K.write_keyed(table, out_path, "row_key", ["timestamp_utc"], partition_by=["date"])
+    store(table, out_path, f"{date}-{hour}", ["lastUpdate"])
     return table
 
 
@@ -90,5 +102,5 @@ def load_weather_day(spark: SparkSession, src_dir: str, out_path: str,
     _, _, day = lookback(anchor)
     raw = _scan(spark, src_dir, R.daily_glob(prefix, day), schemas.OBSERVATION)
     table = weather_table(raw).withColumn("date", F.to_date("timestamp_utc"))
-    K.write_keyed(table, out_path, "row_key", ["timestamp_utc"], partition_by=["date"])
+    store(table, out_path, day, ["timestamp_utc"])
     return table

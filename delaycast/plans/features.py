@@ -52,16 +52,17 @@ def add_label(pos: DataFrame, shift_seconds: int = 900, keys=("vehicleService",
 
 def weather_features(obs: DataFrame, fc: DataFrame) -> DataFrame:
     """M3: per observation its 10-minute bin and the forecast for the next
-    (half-even rounded) hour; the forecast side is one row per hour (latest
-    fetch wins) so the join is many-to-one. Suffixes ``_actual``/``_forecast``."""
+    (half-even rounded) hour; the forecast side is one row per hour (the newest
+    ``fetched`` wins; equal or absent ones by their values) so the join is many-to-one. Suffixes ``_actual``/``_forecast``."""
     o = obs.withColumn("generated_weather_bin", T.ten_minute_bin("timestamp_utc")) \
            .withColumn("_fbin", T.training_forecast_bin("timestamp_utc"))
     num = ["temperature", "cloud_cover", "speed", "angle", "precipitation_total"]
     cat = ["summary", "type"]
     o = o.select("generated_weather_bin", "_fbin", "timestamp_utc",
                  *[F.col(c).alias(c + "_actual") for c in num + cat])
-    f = fc.select(F.col("timestamp_utc").alias("_fbin"), *[F.col(c).alias(c + "_forecast") for c in num + cat])
-    f = D.latest_by_key(f, ["_fbin"], [c + "_forecast" for c in num + cat])
+    fetched = [c for c in ("fetched",) if c in fc.columns]
+    f = fc.select(F.col("timestamp_utc").alias("_fbin"), *fetched, *[F.col(c).alias(c + "_forecast") for c in num + cat])
+    f = D.latest_by_key(f, ["_fbin"], [*fetched, *[c + "_forecast" for c in num + cat]]).drop(*fetched)
     j = o.join(J.sized_broadcast(f), "_fbin", "inner").drop("_fbin")
     # one row per 10-minute bin: the latest observation in it
     return D.latest_by_key(j, ["generated_weather_bin"], ["timestamp_utc"]).drop("timestamp_utc")

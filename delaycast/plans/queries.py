@@ -26,6 +26,8 @@ from ..operators import dedup as D
 from ..operators import filters as FL
 from ..operators import joins as J
 from ..operators import stats as A
+from ..sources import readers as R
+from ..sources import sinks as K
 
 DIGITS = 6
 ROUTE_USER = 7            # route used by the single-route questions (F1)
@@ -237,14 +239,14 @@ FROM events"""
 def _events_by_name(spark, d):
     """Files chosen by name pattern (glob pushed into the listing),
     then the exactly-once name predicate on ``_metadata.file_name``."""
-    from ..sources import readers as R
+
     df = R.read_files_by_name(spark, d, "events*.parquet")
     df = FL.file_name_contains(df, "events")
     return df.withColumn("ts", T.to_ts("ts"))
 
 
 def q_lookback_hour(spark, d):
-    from ..sources import readers as R
+
     ev = _events_by_name(spark, d)
     anchor = ev.select(F.max("ts")).scalar()
     return R.in_lookback_hour(ev, "ts", anchor, hours_back=2).select(
@@ -257,7 +259,7 @@ WHERE date_trunc('hour', ts) = date_trunc('hour', (SELECT max(ts) FROM events) -
 
 
 def q_lookback_day(spark, d):
-    from ..sources import readers as R
+
     ev = _events_by_name(spark, d)
     anchor = ev.select(F.max("ts")).scalar()
     return R.in_lookback_day(ev, "ts", anchor, days_back=1).select(
@@ -270,7 +272,7 @@ WHERE CAST(ts AS DATE) = CAST((SELECT max(ts) FROM events) - INTERVAL 1 DAY AS D
 
 
 def q_key_range_scan(spark, d):
-    from ..sources import readers as R
+
     ev = events(spark, d).select("event_id", "user_id", "ts", "value")
     keyed = ev.withColumn("row_key", P.row_key("ts", "user_id"))
     out = R.keyed_scan(keyed, "row_key", KEY_RANGE[0], KEY_RANGE[1], ts_col="ts")
@@ -334,7 +336,6 @@ FROM events"""
 def q_column_families(spark, d):
     """K4 + K5: rows stored as text cells in two column families, with the
     text "None" for a missing value, read back into typed rows."""
-    from ..sources import sinks as K
     ev = events(spark, d)
     cells = ev.select(
         F.col("event_id").cast("string").alias("row_key"),
@@ -435,6 +436,47 @@ SELECT strftime(day, '%Y-%m-%d') || '_' || CAST(user_id AS VARCHAR) AS row_key,
   FROM (SELECT *, CAST(ts AS DATE) AS day FROM events)) WHERE rn = 1"""
 
 
+def q_keyed_merge(spark, d):
+    """K1/K2/K3: two overlapping loads (hours before 14, hours from 10) into one stored table."""
+    ev = events(spark, d).withColumn("day", F.to_date("ts")).select(
+        F.concat_ws("_", F.date_format("day", "yyyy-MM-dd"), F.col("user_id").cast("string")).alias("row_key"),
+        "user_id", "day", "event_id", "ts", "value")
+    path = S.shared_dir(spark, "keyed_merge")
+    for part in (F.hour("ts") >= 10, F.hour("ts") < 14):
+        K.write_keyed(ev.where(part), path, "row_key", ["ts", "event_id"], partition_by=["day"])
+    out = spark.read.schema(ev.schema).parquet(path)
+    return out.select("row_key", "user_id", F.date_format("day", "yyyy-MM-dd").alias("day"),
+                      "event_id", ntz("ts").alias("ts"), "value")
+
+
+def q_constant_corr(spark, d):
+    """A8 with a factor that never changes: null, not a fault."""
+    ev = events(spark, d).withColumn("one", F.lit(1.0))
+    return A.factor_table(ev, {"constant": ("one", "value"), "itself": ("value", "value")})
+
+
+O_CONSTANT_CORR = """
+SELECT 'constant' AS factor, CAST(NULL AS DOUBLE) AS correlation
+UNION ALL SELECT 'itself', round(corr(value, value), 6) FROM events"""
+
+
+def q_partial_key_range(spark, d):
+    """S8 with bounds that end inside a date or an hour."""
+    keyed = events(spark, d).withColumn("row_key", P.row_key("ts", "event_id"))
+    parts = []
+    for lo, hi in PARTIAL_KEY_RANGES:
+        got = R.keyed_scan(keyed, "row_key", lo, hi, ts_col="ts")
+        parts.append(got.select(F.lit(f"{lo}..{hi}").alias("bounds"), "row_key", "value"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+PARTIAL_KEY_RANGES = [("2024-01-0", "2024-01-1"), ("2024-01-10", "2024-01-10 1"), ("2024-01-10 08", "2024-01-10 2")]
+O_PARTIAL_KEY_RANGE = " UNION ALL ".join(f"""
+SELECT '{lo}..{hi}' AS bounds, row_key, value FROM (
+  SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') || '_' || CAST(event_id AS VARCHAR) AS row_key, value FROM events)
+WHERE row_key >= '{lo}' AND row_key < '{hi}'""" for lo, hi in PARTIAL_KEY_RANGES)
+
+
 def q_latest_overall(spark, d):
     ev = events(spark, d)
     top = D.latest_overall(ev, ["ts", "event_id"])
@@ -933,6 +975,9 @@ QUERIES = {
     "dedup_rows": q_dedup_rows,
     "dedup_first": q_dedup_first,
     "keyed_upsert": q_keyed_upsert,
+    "keyed_merge": q_keyed_merge,
+    "constant_corr": q_constant_corr,
+    "partial_key_range": q_partial_key_range,
     "latest_overall": q_latest_overall,
     "latest_by_key": q_latest_by_key,
     "enrich_hour_latest": q_enrich_hour_latest,
@@ -982,6 +1027,9 @@ ORACLES = {
     "dedup_rows": O_DEDUP_ROWS,
     "dedup_first": O_DEDUP_FIRST,
     "keyed_upsert": O_KEYED_UPSERT,
+    "keyed_merge": O_KEYED_UPSERT,
+    "constant_corr": O_CONSTANT_CORR,
+    "partial_key_range": O_PARTIAL_KEY_RANGE,
     "latest_overall": O_LATEST_OVERALL,
     "latest_by_key": O_LATEST_BY_KEY,
     "enrich_hour_latest": O_ENRICH_HOUR_LATEST,

@@ -114,10 +114,13 @@ def heat_map(t: DataFrame, value: str, lat: str = "lat", lon: str = "lon", digit
 
 def forecast_skill(obs: DataFrame, fc: DataFrame) -> DataFrame:
     """Q13: observation joined to the forecast of its (half-even) hour;
-    correlation per factor, summaries factorized by first appearance."""
+    correlation per factor, summaries factorized by first appearance. Of several
+    forecasts for one hour the newest ``fetched`` counts."""
     o = obs.withColumn("_h", T.hour_bin("timestamp_utc"))
+    fetched = [c for c in ("fetched",) if c in fc.columns]
     f = D.latest_by_key(fc.select(F.col("timestamp_utc").alias("_h"), "summary", "temperature",
-                                  "cloud_cover", "speed"), ["_h"], ["temperature", "summary"])
+                                  "cloud_cover", "speed", *fetched), ["_h"],
+                        [*fetched, "temperature", "summary", "cloud_cover", "speed"])
     f = f.select("_h", *[F.col(c).alias(c + "_forecast") for c in ["summary", "temperature", "cloud_cover", "speed"]])
     j = o.select("_h", "timestamp_utc", F.col("summary").alias("summary_actual"),
                  F.col("temperature").alias("temperature_actual"),

@@ -19,9 +19,13 @@ from . import model as ML
 
 def _weather_frames(obs_raw: DataFrame, fc_raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Stored observation/forecast files have the message layout; reuse the
-    feed flattening by going through JSON text of each row."""
+    feed flattening by going through JSON text of each row. Of each forecast
+    fetch the nearest hour; file names carry the fetch time, so they order fetches."""
     obs = flatten_observation(obs_raw.select(F.to_json(F.struct(*obs_raw.columns)).alias("value")))
-    fc = flatten_forecast(fc_raw.select(F.to_json(F.struct(*fc_raw.columns)).alias("value")))
+    name = F.col("_metadata.file_name") if fc_raw.inputFiles() else F.lit(None).cast("string")
+    fc_raw = fc_raw.select("*", name.alias("fetched"))
+    fc = flatten_forecast(fc_raw.select("fetched", F.to_json(F.struct(*fc_raw.drop("fetched").columns)).alias("value")),
+                          nearest_only=True)
     return obs, fc
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators rely on. Time zone: every bucket/format
 # function is defined in UTC; ANSI stays on (operators use try_* forms).
@@ -59,6 +59,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def durable(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back from there."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Settings for a cluster run sized from the input volume.
 

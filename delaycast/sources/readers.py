@@ -3,6 +3,8 @@ look-back selection, keyed range scans, CSV reference tables."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -110,24 +112,36 @@ def read_timetable(spark: SparkSession, timetable_path: str, stops_path: str) ->
 
 # ---------------------------------------------------------------- selection
 
+def _key_time(bound: str) -> tuple[str, bool] | None:
+    """(time text, exact) that a key bound begins with: a whole timestamp, or else a whole date."""
+    for size, form, exact in ((19, "%Y-%m-%d %H:%M:%S", True), (10, "%Y-%m-%d", False)):
+        try:
+            dt.datetime.strptime(bound[:size], form)
+        except ValueError:
+            continue
+        if len(bound) >= size:
+            return bound[:size], exact
+    return None
+
+
 def keyed_scan(df: DataFrame, key_col: str, start: str | None = None, stop: str | None = None,
                ts_col: str | None = None) -> DataFrame:
     """Rows with ``start <= key < stop``.
 
     With ``ts_col`` (key = formatted timestamp + suffix) an implied, wider
-    timestamp range is added too, so the scan can skip row groups.
+    timestamp range is added, so the scan can skip row groups: from a bound
+    that begins with a whole timestamp, or with a whole date (then up to the
+    day's ends). A shorter bound filters on the key alone.
     """
     out = df
     if start is not None:
         out = out.where(F.col(key_col) >= F.lit(start))
-        if ts_col:
-            lo = F.try_to_timestamp(F.lit(start[:19]))
-            out = out.where(F.col(ts_col) >= lo)
+        if ts_col and (at := _key_time(start)):
+            out = out.where(F.col(ts_col) >= F.to_timestamp(F.lit(at[0])))
     if stop is not None:
         out = out.where(F.col(key_col) < F.lit(stop))
-        if ts_col:
-            hi = F.try_to_timestamp(F.lit(stop[:19]))
-            out = out.where(F.col(ts_col) <= shift(hi, 1))
+        if ts_col and (at := _key_time(stop)):
+            out = out.where(F.col(ts_col) <= shift(F.to_timestamp(F.lit(at[0])), 1 if at[1] else 86_400))
     return out
 
 
@@ -163,14 +177,15 @@ def in_lookback_day(df: DataFrame, ts_col: str, anchor: Column | None = None,
     return _on_date(out, date_col, start)
 
 
-def decode_rows(df: DataFrame, checks: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+def decode_rows(df: DataFrame, checks: dict[str, tuple[str, Column]]) -> tuple[DataFrame, DataFrame]:
     """Split rows into (good, rejects): ``checks`` maps an output column to
-    a try_* expression; a row whose any expression is null while its source
-    was not is a reject. Nothing is dropped silently - rejects are returned."""
-    typed = df.select("*", *[e.alias(n) for n, e in checks.items()])
+    its source column and a try_* expression of it; a row is a reject if any
+    expression is null while its source is not. A null source is a good null.
+    Nothing is dropped silently - rejects are returned."""
+    typed = df.select("*", *[e.alias(n) for n, (_, e) in checks.items()])
     bad = F.lit(False)
-    for n in checks:
-        bad = bad | F.col(n).isNull()
+    for n, (source, _) in checks.items():
+        bad = bad | (F.col(n).isNull() & F.col(source).isNotNull())
     return typed.where(~bad), typed.where(bad)
 
 

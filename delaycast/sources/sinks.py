@@ -8,10 +8,13 @@ overwrites its own output instead of doubling it.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from ..operators.dedup import latest_by_key
+from ..session import shared_dir
 
 
 def keyed_upsert(df: DataFrame, key_col: str, order: list[str]) -> DataFrame:
@@ -19,37 +22,65 @@ def keyed_upsert(df: DataFrame, key_col: str, order: list[str]) -> DataFrame:
     return latest_by_key(df, [key_col], order)
 
 
-def write_keyed(df: DataFrame, path: str, key_col: str, order: list[str],
-                partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
-    """K1/K2: upsert-reduce then write Parquet partitioned by ``partition_by``.
+_ORDERED = (BooleanType, DateType, NumericType, StringType, TimestampNTZType, TimestampType)
+
+
+def _total_order(df: DataFrame, key_col: str, order: list[str]) -> list[str]:
+    """``order``, then every other comparable column: equal orders never depend on the order of rows."""
+    rest = [f.name for f in df.schema.fields if isinstance(f.dataType, _ORDERED) and f.name not in (key_col, *order)]
+    return [*order, *sorted(rest)]
 
-    With dynamic partition overwrite, rewriting a day replaces only that
-    day's partition - re-running a load is idempotent.
+
+def _stored(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """The table at ``path``, or None where there is none yet (any other fault is raised)."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def write_keyed(df: DataFrame, path: str, key_col: str, order: list[str],
+                partition_by: list[str] | None = None) -> None:
+    """K1/K2: upsert by key. Stored rows of other keys stay; of one key the newest by
+    ``order`` stays (ties by the other columns), whichever load brings it, so loads may
+    overlap, come late or run again. Rows with a null key are not stored: split them off before.
+
+    Only the partitions that the new rows touch are read and rewritten (a key has one
+    partition value). They are written to a staging folder first, then put in place by
+    dynamic partition overwrite; a load that dies in between is repeated from there or anew.
     """
-    out = keyed_upsert(df, key_col, order)
     spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        w = out.write.mode(mode)
+    new = df.where(F.col(key_col).isNotNull())
+    keep = _total_order(df, key_col, order)
+    old = _stored(spark, path, df.schema)
+    if old is not None:
         if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+            touched = new.select(*[F.col(c).alias(f"_t_{c}") for c in partition_by]).distinct()
+            same = [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in partition_by]
+            old = old.join(touched, same, "left_semi")
+        new = old.select(*df.columns).unionByName(new)
+    staging = shared_dir(spark, "upsert")
+    keyed_upsert(new, key_col, keep).select(*df.columns).write.parquet(staging)
+    w = spark.read.schema(df.schema).parquet(staging).write.mode("overwrite")
+    if partition_by:
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+    w.parquet(path)
 
 
 def read_keyed(spark: SparkSession, path: str, key_col: str, order: list[str]) -> DataFrame:
     """Read a keyed table (S8 source); batches written more than once are
     reduced to the latest row per key again."""
-    return keyed_upsert(spark.read.parquet(path), key_col, order)
+    df = spark.read.parquet(path)
+    return keyed_upsert(df, key_col, _total_order(df, key_col, order))
 
 
 def compact_keyed(spark: SparkSession, src: str, dst: str, key_col: str, order: list[str],
                   partition_by: list[str] | None = None) -> None:
     """Fold the per-batch folders a stream wrote (``batch_id=N``) into one
-    latest-per-key table, partitioned (e.g. by date) for pruning. Re-running
-    replaces the touched partitions only."""
+    latest-per-key table, partitioned (e.g. by date) for pruning. Rows that the
+    table holds already stay; re-running changes nothing."""
     df = spark.read.parquet(src).drop("batch_id")
     write_keyed(df, dst, key_col, order, partition_by=partition_by)
 

@@ -139,13 +139,18 @@ def flatten_positions(msgs: DataFrame, text_col: str = "value") -> DataFrame:
     return flat.withColumn("rounded_timestamp", T.next_hour_bucket("timestamp_utc"))
 
 
-def flatten_forecast(msgs: DataFrame, text_col: str = "value") -> DataFrame:
-    """Forecast feed: hourly.data[] exploded, 3 struct levels flattened."""
-    parsed = P.parse_json(msgs, text_col, schemas.FORECAST, corrupt_col=None)
-    rows = P.explode_rows(parsed.select("lat", "lon", "elevation", "timezone", "units",
-                                        "current", "daily", F.col("hourly.data").alias("data")),
-                          "data", alias="d")
-    flat = rows.select("lat", "lon", "elevation", "timezone", "units", "current", "daily",
+def flatten_forecast(msgs: DataFrame, text_col: str = "value", nearest_only: bool = False) -> DataFrame:
+    """Forecast feed: hourly.data[] exploded, 3 struct levels flattened.
+
+    ``nearest_only`` (P7): of each fetch just the first hour, the one nearest to it.
+    A column ``fetched`` (when the message was fetched) is carried on."""
+    fetched = [c for c in ("fetched",) if c in msgs.columns]
+    parsed = P.parse_json(msgs, text_col, schemas.FORECAST, keep=fetched, corrupt_col=None)
+    parsed = parsed.select("lat", "lon", "elevation", "timezone", "units", "current", "daily", *fetched,
+                           F.col("hourly.data").alias("data"))
+    rows = parsed.withColumn("d", P.first_element("data")).drop("data").where("d is not null") if nearest_only else \
+        P.explode_rows(parsed, "data", alias="d")
+    flat = rows.select("lat", "lon", "elevation", "timezone", "units", "current", "daily", *fetched,
                        F.col("d.date").alias("date"), F.col("d.weather").alias("weather"),
                        F.col("d.icon").alias("icon"), F.col("d.summary").alias("summary"),
                        F.col("d.temperature").alias("temperature"),
@@ -184,8 +189,9 @@ def stream_table(bus: DataFrame, obs: DataFrame, fc: DataFrame, watermark: str =
     fc_cols = ["summary", "temperature", "speed", "angle", "precipitation_total", "type", "cloud_cover"]
     rights = [RightFeed(obs.withColumn("_t", F.unix_micros("timestamp_utc")), "rounded_timestamp",
                         obs_cols, ["_t"], "act_"),
-              RightFeed(fc.withColumn("_t", F.unix_micros("timestamp_utc")), "timestamp_utc",
-                        fc_cols, ["_t"], "for_")]
+              # of several fetches for one hour the newest wins, then the values in order
+              RightFeed(fc.withColumn("_t", F.col("fetched") if "fetched" in fc.columns else F.unix_micros("timestamp_utc")),
+                        "timestamp_utc", fc_cols, ["_t", *fc_cols], "for_")]
     # the observation time rides along as payload; only the bucket is watermarked
     out = enrich(b, "bus_rounded_timestamp", rights, ["bus_vehicleId"], watermark, salt_buckets)
     return out.withColumn("row_key", P.row_key("bus_timestamp_utc", "bus_vehicleId"))

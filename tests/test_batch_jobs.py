@@ -35,6 +35,14 @@ def test_positions_and_weather_loads(spark, tmp_path):
     pos = spark.read.parquet(f"{out}/positions").collect()
     assert sorted(r.row_key for r in pos) == ["2024-01-01 10:05:00_1", "2024-01-01 10:05:00_2"]
     assert all(r.day == 1 for r in pos)
+    B.load_positions_hour(spark, src, f"{out}/positions", anchor=dt.datetime(2024, 1, 1, 13, 15))   # the next hour
+    assert spark.read.parquet(f"{out}/positions").count() == 2
+    unread = [positions_message([vehicle(generated="?", vehicleId=str(i)) for i in (1, 2, 3)]
+                                + [vehicle(generated="2024-01-01T12:05:00Z", vehicleId="1")])]
+    _write_json_parquet(f"{src}/positions/Act_position_2024-01-01-12_x.parquet", unread, schemas.POSITIONS)
+    B.load_positions_hour(spark, src, f"{out}/positions", anchor=dt.datetime(2024, 1, 1, 14, 15))
+    assert spark.read.parquet(f"{out}/positions").count() == 3
+    assert spark.read.parquet(f"{out}/positions_rejects").count() == 3
     obs = [json.dumps({"lat": "54.35N", "lon": "18.65E", "elevation": 7, "timezone": "UTC", "units": "metric",
                        "current": CURRENT, "hourly": "", "daily": "{}", "time": t})
            for t in ["Sun Dec 31 13:05:09 CET 2023", "Sun Dec 31 14:05:09 CET 2023"]]

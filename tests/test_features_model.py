@@ -90,3 +90,27 @@ def test_forecast_skill_table(spark):
     obs, fc = _weather(spark)
     t = {r.factor: r.correlation for r in Q.forecast_skill(obs, fc).collect()}
     assert set(t) == {"summary", "temperature", "cloud coverage", "wind speed"}
+
+
+def test_newest_fetch_wins_not_the_hottest(spark):
+    import datetime as dt
+
+    from delaycast.plans import questions as Q
+    from delaycast.streaming.enrich import flatten_forecast
+    from fixtures import forecast_entry
+    import json
+
+    def message(*entries):
+        return json.dumps({"lat": "1N", "lon": "1E", "elevation": 1, "timezone": "UTC", "units": "m", "current": "",
+                           "daily": "", "hourly": {"data": list(entries)}})
+
+    hot, cool = forecast_entry("2024-01-01T11:00:00", 30.0), forecast_entry("2024-01-01T11:00:00", 6.0)
+    later = forecast_entry("2024-01-01T12:00:00", 9.0)
+    msgs = spark.createDataFrame([("f1", message(hot, later)), ("f2", message(cool)), ("f0", message())], "fetched string, value string")
+    fc = flatten_forecast(msgs, nearest_only=True)
+    assert sorted((r.fetched, r.temperature) for r in fc.collect()) == [("f1", 30.0), ("f2", 6.0)]
+    obs = spark.createDataFrame([(dt.datetime(2024, 1, 1, 10, 20), "Sun", "none", 5.0, 1, 1.0, 1, 0.0)],
+                                "timestamp_utc timestamp, summary string, type string, temperature double, cloud_cover int, "
+                                "speed double, angle int, precipitation_total double")
+    assert [r.temperature_forecast for r in M.weather_features(obs, fc).collect()] == [6.0]
+    assert Q.forecast_skill(obs, fc).count() == 4                  # one row: no variance, nulls and no fault

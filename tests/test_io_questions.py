@@ -35,9 +35,37 @@ def test_lookback_and_key_range(spark):
 
 
 def test_decode_rows_returns_rejects(spark):
-    df = spark.createDataFrame([("1",), ("None",), ("x",)], "s string")
-    good, bad = R.decode_rows(df, {"n": F.col("s").try_cast("int")})
-    assert good.count() == 1 and bad.count() == 2
+    df = spark.createDataFrame([("1",), ("None",), ("x",), (None,)], "s string")
+    good, bad = R.decode_rows(df, {"n": ("s", F.col("s").try_cast("int"))})
+    assert [r.n for r in good.collect()] == [1, None] and bad.count() == 2
+
+
+def test_keyed_scan_bounds_inside_a_date_or_hour(spark):
+    base = dt.datetime(2024, 1, 8)
+    rows = [(base + dt.timedelta(hours=5 * i),) for i in range(40)]
+    keyed = spark.createDataFrame(rows, "t timestamp").withColumn("k", F.concat(F.date_format("t", "yyyy-MM-dd HH:mm:ss"), F.lit("_9")))
+    keys = [r.k for r in keyed.collect()]
+    for lo, hi in [("2024-01-0", "2024-01-1"), ("2024-01-10", "2024-01-10 1"), ("2024-01-10 08", "2024-01-10 2"), ("2024", None),
+                   (None, "2024-01-12 04:00:00_9"), ("2024-01-09 01:00:00_91", "2024-01-13"), ("x", None), (None, "2024-13-99")]:
+        want = sorted(k for k in keys if (lo is None or k >= lo) and (hi is None or k < hi))
+        assert sorted(r.k for r in R.keyed_scan(keyed, "k", lo, hi, ts_col="t").collect()) == want, (lo, hi)
+
+
+def test_keyed_write_keeps_other_rows(spark, tmp_path):
+    p = str(tmp_path / "tbl")
+    schema = "key string, t timestamp, v double, day string"
+    at = lambda h: dt.datetime(2024, 1, 1, h)
+    K.write_keyed(spark.createDataFrame([("a", at(10), 1.0, "d1"), ("b", at(10), 2.0, "d1"), ("z", at(1), 9.0, "d0"), ("n", at(3), 7.0, None)], schema), p, "key", ["t"], ["day"])
+    late = spark.createDataFrame([("c", at(11), 3.0, "d1"), ("a", at(9), 0.0, "d1"), ("b", at(10), 5.0, "d1"), ("m", at(3), 8.0, None), (None, at(3), 8.0, "d1")], schema)
+    for _ in range(2):
+        K.write_keyed(late, p, "key", ["t"], ["day"])
+        got = {(r.key, r.v, r.day) for r in spark.read.schema(schema).parquet(p).collect()}
+        # the older a loses, b ties in time and the larger value wins, d0 is untouched
+        assert got == {("a", 1.0, "d1"), ("b", 5.0, "d1"), ("c", 3.0, "d1"), ("z", 9.0, "d0"), ("n", 7.0, None), ("m", 8.0, None)}
+    q = str(tmp_path / "flat")
+    K.write_keyed(late, q, "key", ["t"])
+    K.write_keyed(spark.createDataFrame([("y", at(1), 1.0, "d1")], schema), q, "key", ["t"])
+    assert sorted(r.key for r in spark.read.parquet(q).collect()) == ["a", "b", "c", "m", "y"]
 
 
 def test_keyed_write_is_idempotent_and_latest_wins(spark, tmp_path):
