@@ -28,7 +28,7 @@ LOOKS = 24
 CLASSES = HEAD_CLASSES + LOOKS
 HIDDEN = 16
 #: Words whose counts every task knows; the counts of all others come by a join.
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 100_000
 COUNTED_AT_ONCE = 400_000
 _LATIN = {**dict.fromkeys(b"\xa7\xa8\xa9\xaa\xab\x80\x87\x88\x89\x8a", 1), **dict.fromkeys(b"\xa4\xb6\xbc\x9f\x84\x96\x9c", 2)}
 
@@ -265,6 +265,19 @@ def counted(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInPandas(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    """The most frequent words, at most `most`: all words whose count is in the highest classes (an eighth of an octave each) that fit."""
+    octave = F.floor(8 * F.log2("n")).cast("int")
+    least, room = None, most
+    for r in counts.groupBy(octave.alias("o")).count().orderBy(F.desc("o")).collect():
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["o"]
+    rows = counts.where(octave >= least).collect() if least is not None else []
+    return sorted(((bytes(r["word"]), r["n"]) for r in rows), key=lambda x: (-x[1], x[0]))
+
+
 def scored(docs: DataFrame, held_out, rounds: int = 2, parts: int = 16, chunk: int = 200_000) -> DataFrame:
     """One row per row of `docs`: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
 
@@ -281,7 +294,7 @@ def scored(docs: DataFrame, held_out, rounds: int = 2, parts: int = 16, chunk: i
     counts = stored(counted(train), "counts")
     known = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     ends = train.count()
-    top = [(bytes(r["word"]), r["n"]) for r in counts.orderBy(F.desc("n"), "word").limit(KNOWN_WORDS).collect()]
+    top = frequent(counts, KNOWN_WORDS)
     head = {w for w, _ in top[:END]}
 
     def by_look(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
