@@ -250,6 +250,18 @@ class Words:
         return out
 
 
+def together(frames: Iterator[pd.DataFrame], rows: int = 8000) -> Iterator[pd.DataFrame]:
+    """Batches joined to some `rows` rows, so that texts of like length are scored side by side."""
+    held: list[pd.DataFrame] = []
+    for f in frames:
+        held.append(f)
+        if sum(map(len, held)) >= rows:
+            yield pd.concat(held)
+            held = []
+    if held:
+        yield pd.concat(held)
+
+
 def counted(texts: DataFrame) -> DataFrame:
     """word and n of all texts."""
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -336,7 +348,7 @@ def scored(docs: DataFrame, held_out, rounds: int = 2, parts: int = 16, chunk: i
         look_unit = np.log10(w.look_total)
         logs = {k: np.log10(c + 1) for k, c in w.count.items()}
         end = np.log10(w.ends + 1)
-        for f in frames:
+        for f in together(frames):
             out, tokens = [], []
             for doc, held, text in zip(f["doc_id"].astype("Int64"), f["held_out"], f["text"]):
                 found = words_of(text)

@@ -18,11 +18,14 @@ from delaycast.session import shared_dir
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+#: Rows of an Arrow batch.
+BATCH_ROWS = 2000
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give Python workers this package, wherever the driver found it (once for each application)."""
+    """Give Python workers this package, wherever the driver found it, and set the batch size of
+    the session (once for each application)."""
     sc = spark.sparkContext
     if sc.applicationId not in _shipped:
         root = Path(__file__).resolve().parents[1]
@@ -31,6 +34,8 @@ def ship(spark: SparkSession) -> None:
             for p in sorted(root.rglob("*.py")):
                 z.write(p, p.relative_to(root.parent))
         sc.addPyFile(archive)
+        # a worker and its JVM each hold a batch of whole texts: thousands of long ones are too many
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
         _shipped.add(sc.applicationId)
 
 
