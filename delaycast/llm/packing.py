@@ -25,7 +25,7 @@ from .kit import stored
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long, used long, done boolean"
-CACHED_WORDS = 700_000
+CACHED_WORDS = 200_000
 
 
 #: Characters beyond Latin-1, and the separators that Python alone takes for white space.

@@ -21,7 +21,7 @@ MARK = "▁"
 UNKNOWN = "<unk>"
 #: How far below the lowest score an unknown character lies, as the tokenizer has it.
 UNKNOWN_PENALTY = 10.0
-CACHED_WORDS = 700_000
+CACHED_WORDS = 200_000
 #: White space as the tokenizer's splitter has it.
 _words = re.compile(r"[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+").findall
 _marked = re.compile(f"{MARK}[^{MARK}]*").findall
