@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .hashing import TOGETHER, Sums, mixed
-from .kit import sorted_groups, stored
+from .kit import lean, sorted_groups, stored
 
 BANDS, BAND_VALUES = 20, 4
 VALUES = BANDS * BAND_VALUES
@@ -176,7 +176,7 @@ def similar(docs: DataFrame, threshold: float = 0.8, size: int = 5, tolerance: f
             yield pd.DataFrame({"doc_id": f["doc_id"], "k": [set_key(s) for s in sets], "sig": [signature(s) for s in sets]})
 
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.coalesce("text", F.lit(""))).alias("text"))
-    rows = stored(texts.mapInPandas(sketch, "doc_id long, k binary, sig binary"), "sketches")
+    rows = stored(texts.mapInPandas(lean(sketch), "doc_id long, k binary, sig binary"), "sketches")
     classes = stored(rows.where("k is not null").groupBy("k").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep"), F.min("sig").alias("sig")), "classes")
 
     width = 4 * BAND_VALUES
@@ -195,7 +195,7 @@ def similar(docs: DataFrame, threshold: float = 0.8, size: int = 5, tolerance: f
 
     wanted = classes.join(member.select("k").distinct(), "k", "left_semi")
     content = texts.join(wanted, texts["doc_id"] == wanted["rep"]).select("k", "copies", "sig", "text")
-    content = content.mapInPandas(grams, "k binary, copies long, sig binary, grams binary").dropDuplicates(["k"])
+    content = content.mapInPandas(lean(grams), "k binary, copies long, sig binary, grams binary").dropDuplicates(["k"])
     blocks = F.ceil(F.col("n") / block).cast("int")
     rest = member.join(content, "k").withColumn("block", F.pmod(F.xxhash64("k", "key"), blocks).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
@@ -207,7 +207,7 @@ def similar(docs: DataFrame, threshold: float = 0.8, size: int = 5, tolerance: f
             if len(g) > 1 and (found := join_block(g, threshold, tolerance)) is not None:
                 yield found
 
-    found = stored(rest.repartition(*group).sortWithinPartitions(*group, "k").mapInPandas(run, "k binary, root binary, links long"), "links")
+    found = stored(rest.repartition(*group).sortWithinPartitions(*group, "k").mapInPandas(lean(run), "k binary, root binary, links long"), "links")
     links = found.groupBy("k").agg(F.sum("links").alias("links"))
     parts = components(found.select(F.col("k").alias("a"), F.col("root").alias("b")))
     named = parts.join(classes.select(F.col("k").alias("node"), "rep"), "node")

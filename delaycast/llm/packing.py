@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kit import stored
+from .kit import lean, stored
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long, used long, done boolean"
@@ -104,7 +104,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 1) ->
                     rows.append((doc, n, at // 4, len(part) // 4, zlib.crc32(part)))
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
 
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(cut, PIECES)
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(lean(cut), PIECES)
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> np.ndarray:
@@ -179,7 +179,7 @@ def pack(parts: DataFrame, capacity: int = 4096, slack: int = 8, task_items: int
             yield flush()
 
     def one_round(df: DataFrame, turn: int) -> DataFrame:
-        return stored(df.mapInPandas(lambda frames: run(frames, turn), PACKED), f"packed{turn}")
+        return stored(df.mapInPandas(lean(lambda frames: run(frames, turn)), PACKED), f"packed{turn}")
 
     rounds = [one_round(parts, 0)]
     tasks = max(1, len(rounds[0].inputFiles()))
@@ -196,4 +196,5 @@ def pack(parts: DataFrame, capacity: int = 4096, slack: int = 8, task_items: int
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 1) -> DataFrame:
-    return pack(pieces(docs, path, capacity, end_id), capacity)
+    # the pieces, some 40 bytes each, are a table of their own: in one stage with the packing, each core would keep two Python workers
+    return pack(stored(pieces(docs, path, capacity, end_id), "pieces"), capacity)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from zstandard import ZstdCompressor, ZstdDecompressor
 
 from .hashing import Sums
-from .kit import sorted_groups, stored
+from .kit import lean, sorted_groups, stored
 
 #: Bytes of an anchor.
 K = 40
@@ -181,7 +181,7 @@ def deduplicated(docs: DataFrame, length: int = 200, keep_text: bool = False) ->
             out.insert(0, "doc_id", f["doc_id"].astype("Int64").to_numpy())
             yield out
 
-    base = stored(texts.mapInPandas(survey, "doc_id long, key binary, n_bytes long, sha string, hs array<long>, twice array<long>"), "anchors")
+    base = stored(texts.mapInPandas(lean(survey), "doc_id long, key binary, n_bytes long, sha string, hs array<long>, twice array<long>"), "anchors")
     code = F.xxhash64("key")
     every = base.select(F.explode("hs").alias("h"), code.alias("c")).unionByName(base.select(F.explode("twice").alias("h"), F.bitwise_not(code).alias("c")))
     dup = every.groupBy("h").agg(F.min("c").alias("a"), F.max("c").alias("b")).where("a < b").select("h")
@@ -197,7 +197,7 @@ def deduplicated(docs: DataFrame, length: int = 200, keep_text: bool = False) ->
             out.insert(0, "doc_id", f["doc_id"].astype("Int64").to_numpy())
             yield out
 
-    keyed = texts.mapInPandas(pack, "doc_id long, key binary, raw binary")
+    keyed = texts.mapInPandas(lean(pack), "doc_id long, key binary, raw binary")
     suspect = keyed.join(wanted.withColumnRenamed("key", "_key"), (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("rep")))
     suspects = stored(suspect.select("key", "raw", "hs"), "suspects")
 
@@ -212,7 +212,7 @@ def deduplicated(docs: DataFrame, length: int = 200, keep_text: bool = False) ->
                     rows = []
             yield pd.DataFrame(rows, columns=names)
 
-    near = stored(suspects.mapInPandas(around, CONTEXT), "contexts")
+    near = stored(suspects.mapInPandas(lean(around), CONTEXT), "contexts")
     strings = near.where("fp is not null")
     at = F.struct("key", "place")
     classes = strings.groupBy("lead", "h", "fp").agg(F.min("before").alias("before"), F.min("least").alias("least"), F.min("string").alias("string"),
@@ -232,7 +232,7 @@ def deduplicated(docs: DataFrame, length: int = 200, keep_text: bool = False) ->
                 yield found
 
     found = split.select(*order, "fp", "before", "lo", "hi", "string").repartitionByRange(*order).sortWithinPartitions(*order, "fp")
-    found = found.mapInPandas(buckets, "h long, fp binary, s int, e int")
+    found = found.mapInPandas(lean(buckets), "h long, fp binary, s int, e int")
     found = found.unionByName(classes.where("many").select("h", "fp", (-F.col("before")).cast("int").alias("s"), (length - F.col("least")).cast("int").alias("e")))
     spans = strings.where("place >= 0").select("h", "fp", "key", "place").join(found, ["h", "fp"])
     spans = spans.groupBy("key").agg(F.collect_list(F.struct((F.col("place") + F.col("s")).alias("s"), (F.col("place") + F.col("e")).alias("e"))).alias("spans"))
@@ -256,7 +256,7 @@ def deduplicated(docs: DataFrame, length: int = 200, keep_text: bool = False) ->
 
     both = suspects.select("key", "raw").join(spans.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key"), "left").join(own, F.col("key") == F.col("_own"), "left")
     both = both.where("s is not null or cover is not null").select("key", "raw", "s", "e", "cover")
-    done = both.mapInPandas(cut, "key binary, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * keep_text)
+    done = both.mapInPandas(lean(cut), "key binary, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * keep_text)
     done = done.dropDuplicates(["key"])
     twice = first.where("copies > 1").select("key", F.lit(True).alias("all"))
     info = done.join(twice, "key", "full_outer")
