@@ -33,6 +33,14 @@ def parse_json(df: DataFrame, text_col: str, schema: StructType, keep: list[str]
     return out.select(*rest)
 
 
+def split_rejects(df: DataFrame, text_col: str, schema: StructType,
+                  keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(parsed rows, messages that are no JSON). A null message is parsed to nulls."""
+    t = F.col(text_col)
+    bad = t.isNotNull() & F.get_json_object(t, "$").isNull()
+    return parse_json(df.where(~bad), text_col, schema, keep, corrupt_col=None), df.where(bad)
+
+
 def explode_rows(df: DataFrame, array_col: str, alias: str | None = None, outer: bool = False,
                  keep: list[str] | None = None) -> DataFrame:
     """P3 (inner: empty/null array -> no row) and P4 (outer: one null row)."""

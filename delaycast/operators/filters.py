@@ -38,8 +38,8 @@ def drop_any_null(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     return df.na.drop("any", subset=subset)
 
 
-def file_name_contains(df: DataFrame, text: str) -> DataFrame:
-    """keep rows whose source file name contains ``text`` exactly once."""
-    name = F.col("_metadata.file_name")
+def file_name_contains(df: DataFrame, text: str, whole_path: bool = False) -> DataFrame:
+    """keep rows whose source file name (or path) contains ``text`` exactly once."""
+    name = F.col("_metadata.file_path" if whole_path else "_metadata.file_name")
     n = (F.length(name) - F.length(F.replace(name, F.lit(text), F.lit("")))) / F.lit(len(text))
     return df.where(n == 1)

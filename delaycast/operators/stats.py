@@ -31,10 +31,10 @@ def mean_by(df: DataFrame, keys: list, value: str, alias: str | None = None,
     return out
 
 
-def pivot_mean(df: DataFrame, index: str, columns: str, value: str, values: list,
+def pivot_mean(df: DataFrame, index: str, columns: str, value: str, values: list | None = None,
                digits: int | None = None) -> DataFrame:
-    """A4: index x column matrix of means; the column values are given so the
-    width is bounded and no extra distinct job runs."""
+    """A4: index x column matrix of means. The columns are the values in the
+    data (one distinct job), or ``values``: others are then left out."""
     agg = F.avg(F.col(value))
     if digits is not None:
         agg = F.round(agg, digits)
@@ -156,6 +156,15 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct()
 
 
+def categories(df: DataFrame, col: str, most: int = 1000) -> list:
+    """The non-null values of a categorical column in order; more than
+    ``most`` raise an error, as each becomes a column."""
+    rows = df.select(col).where(F.col(col).isNotNull()).distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{col} has more than {most} values")
+    return sorted(r[0] for r in rows)
+
+
 def bounding_box(df: DataFrame, cols: list[str]) -> list[Column]:
     """min/max of each column as aggregate expressions."""
     out = []

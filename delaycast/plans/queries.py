@@ -94,6 +94,44 @@ SELECT event_id, user_id, event_type, value,
        (props IS NOT NULL AND NOT json_valid(props)) AS corrupt
 FROM events"""
 
+
+def _spoiled(spark, d):
+    """Every seventh message cut short by its last character."""
+    ev = events(spark, d)
+    return ev.select("event_id", "event_type", F.when(F.col("event_id") % 7 == 0, F.expr("left(props, length(props) - 1)"))
+                     .otherwise(F.col("props")).alias("props"))
+
+
+def q_rejected_messages(spark, d):
+    """Messages that are no JSON go to the rejects, the others are parsed; none is lost."""
+    msgs = _spoiled(spark, d)
+    good, bad = P.split_rejects(msgs, "props", StructType([StructField("k", StringType(), True)]),
+                                keep=["event_id", "event_type"])
+    return good.select("event_id", "event_type", C.to_number("k", "int").alias("k"), F.lit(False).alias("rejected")) \
+        .unionByName(bad.select("event_id", "event_type", F.lit(None).cast("int").alias("k"), F.lit(True).alias("rejected")))
+
+
+O_REJECTED_MESSAGES = """
+WITH m AS (SELECT event_id, event_type,
+                  CASE WHEN event_id % 7 = 0 THEN left(props, length(props) - 1) ELSE props END AS t FROM events)
+SELECT event_id, event_type,
+       CASE WHEN json_valid(t) THEN TRY_CAST(json_extract_string(CASE WHEN json_valid(t) THEN t END, '$.k') AS INTEGER) END AS k,
+       coalesce(NOT json_valid(t), false) AS rejected
+FROM m"""
+
+
+def q_route_box(spark, d):
+    """Q9: the bounding box of one route's whole track."""
+    ev = events(spark, d).withColumn("k", C.to_number(F.get_json_object("props", "$.k")))
+    route = FL.equals(ev, "user_id", ROUTE_USER)
+    return route.agg(*A.bounding_box(route, ["value", "k"]))
+
+
+O_ROUTE_BOX = f"""
+SELECT min(value) AS min_value, max(value) AS max_value, min(k) AS min_k, max(k) AS max_k
+FROM (SELECT value, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events WHERE user_id = {ROUTE_USER})"""
+
+
 # Declared schema of the packed order messages (numbers declared as text,
 # like the vehicle feed).
 ITEM_FIELDS = ["l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"]
@@ -237,11 +275,9 @@ FROM events"""
 # ---------------------------------------------------------------- S / F: selection
 
 def _events_by_name(spark, d):
-    """Files chosen by name pattern (glob pushed into the listing),
-    then the exactly-once name predicate on ``_metadata.file_name``."""
-
-    df = R.read_files_by_name(spark, d, "events*.parquet")
-    df = FL.file_name_contains(df, "events")
+    """The exactly-once predicate on the path of the files, one file
+    or a folder of part files."""
+    df = FL.file_name_contains(table(spark, d, "events"), "/events.parquet", whole_path=True)
     return df.withColumn("ts", T.to_ts("ts"))
 
 
@@ -718,7 +754,7 @@ GROUP BY lat, lon"""
 
 def q_grid_pivot(spark, d):
     ev = events(spark, d).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
-    return A.pivot_mean(ev, "day", "event_type", "value", EVENT_TYPES, digits=DIGITS)
+    return A.pivot_mean(ev, "day", "event_type", "value", digits=DIGITS)
 
 
 O_GRID_PIVOT = "SELECT strftime(ts, '%Y-%m-%d') AS day, " + ", ".join(
@@ -808,7 +844,7 @@ FROM events e LEFT JOIN c USING (event_type)"""
 
 def q_one_hot(spark, d):
     ev = events(spark, d)
-    return ev.select("event_id", *C.one_hot_columns("event_type", EVENT_TYPES, prefix="event_type"))
+    return ev.select("event_id", *C.one_hot_columns("event_type", A.categories(ev, "event_type"), prefix="event_type"))
 
 
 O_ONE_HOT = "SELECT event_id, " + ", ".join(
@@ -878,9 +914,9 @@ def q_model_score(spark, d):
                        F.hour("ts").cast("double").alias("hour"),
                        F.col("value_next").alias("delay_15min"))
     # the fit scans its input once per stage and tree level: keep the
-    # (small, per user-day) feature frame materialised instead of re-running
+    # (small, per user-day) feature frame as a table instead of re-running
     # the dedup + self join each time
-    feats = feats.persist()
+    feats = S.durable(feats, "model_score")
     model, pred, r2 = ML.train(feats, ["value", "k", "time", "hour"], ["event_type"], keys=["user_id", "day"])
     return pred.select("user_id", ntz("day").alias("day"), "delay_15min", "prediction",
                        F.lit(r2).alias("r2"))
@@ -956,6 +992,8 @@ FROM j GROUP BY user_id"""
 QUERIES = {
     "flagship_route_delay": flagship,
     "json_flatten": q_json_flatten,
+    "rejected_messages": q_rejected_messages,
+    "route_box": q_route_box,
     "nested_explode": q_nested_explode,
     "explode_outer_first": q_explode_outer_first,
     "recode_and_class": q_recode_and_class,
@@ -1008,6 +1046,8 @@ QUERIES = {
 ORACLES = {
     "flagship_route_delay": O_FLAGSHIP,
     "json_flatten": O_JSON_FLATTEN,
+    "rejected_messages": O_REJECTED_MESSAGES,
+    "route_box": O_ROUTE_BOX,
     "nested_explode": O_NESTED_EXPLODE,
     "explode_outer_first": O_EXPLODE_OUTER_FIRST,
     "recode_and_class": O_RECODE_AND_CLASS,

@@ -7,6 +7,7 @@ processing-time trigger.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +21,8 @@ from .enrich import RightFeed, enrich
 def events_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
     """S1 stand-in: the events table as a file stream (T8 rate cap)."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    src = R.read_stream(spark, "parquet", {"pathGlobFilter": "events*.parquet",
-                                           "maxFilesPerTrigger": str(max_files)}, schema, sf_dir)
+    # a stream takes a plain path for a folder; a pattern of this one name is right for a single file too
+    src = R.read_stream(spark, "parquet", {"maxFilesPerTrigger": str(max_files)}, schema, f"{sf_dir}/events.parque[t]")
     return src.withColumn("ts", T.to_ts("ts"))
 
 
@@ -54,7 +55,10 @@ def run_to_table(df: DataFrame, name: str, key_col: str | None = None,
     try:
         out = spark.read.parquet(f"{base}/out")
         return out.drop("batch_id")
-    except Exception:  # no batch produced rows
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        # no batch produced rows
         return spark.createDataFrame([], df.schema)
 
 

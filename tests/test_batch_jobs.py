@@ -50,7 +50,7 @@ def test_positions_and_weather_loads(spark, tmp_path):
     B.load_weather_day(spark, src, f"{out}/weather", anchor=dt.datetime(2024, 1, 1, 8))
     w = sorted(spark.read.parquet(f"{out}/weather").collect(), key=lambda r: r.row_key)
     assert [r.row_key for r in w] == ["2023-12-31 12:05:09", "2023-12-31 13:05:09"]
-    assert w[0].temperature == 5.8 and w[0].cloud_cover == 88
+    assert w[0].temperature == 13.25 and w[0].cloud_cover == 61
 
 
 def test_cli_positions_batch(spark, tmp_path):
