@@ -219,11 +219,11 @@ def deduplicated(docs: DataFrame, length: int = 200, keep_text: bool = False) ->
                                                      (F.max("many") | (F.min(at) != F.max(at))).alias("many"))
     classes = stored(classes, "strings")
     sizes = classes.groupBy("h").count().where("count > 1")
-    parts = F.when(F.col("count") <= SPLIT_AT, F.lit(0)).otherwise(F.lit(-(-length // SPLIT_PLACES)))
-    split = classes.join(sizes, "h").withColumn("part", F.explode(F.sequence(F.lit(0), parts)))
     whole = F.col("count") <= SPLIT_AT
+    part = lambda c: F.when(whole, F.lit(0)).otherwise(F.floor(F.col(c) / SPLIT_PLACES).cast("int"))
+    split = classes.join(sizes, "h").withColumn("part", F.explode(F.sequence(part("least"), part("before"))))
     split = split.withColumns({"lo": F.when(whole, F.col("least")).otherwise(F.greatest("least", F.col("part") * SPLIT_PLACES)),
-                               "hi": F.when(whole, F.col("before")).otherwise(F.least("before", F.col("part") * SPLIT_PLACES + SPLIT_PLACES - 1))}).where("lo <= hi")
+                               "hi": F.when(whole, F.col("before")).otherwise(F.least("before", F.col("part") * SPLIT_PLACES + SPLIT_PLACES - 1))})
     order = ["lead", "h", "part"]
 
     def buckets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
