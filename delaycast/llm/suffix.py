@@ -29,7 +29,7 @@ K = 40
 #: Long texts are searched for anchors in pieces of so many starts.
 PIECE = 1 << 20
 _POSITION = np.uint64((1 << 22) - 1)
-#: Classes of strings in one group beyond which the group is split by places before the anchor.
+#: Classes of strings in one group beyond which the group is split by places before the anchor and by content.
 SPLIT_AT, SPLIT_PLACES = 2000, 8
 
 
@@ -166,7 +166,7 @@ def deduplicated(docs: DataFrame, length: int = 200, keep_text: bool = False) ->
     Equal texts are one text from the start (all removed if long enough). No
     task needs all rows of an anchor: strings are classed and counted with
     partial sums first, and the classes of a frequent anchor are split by the
-    places before it.
+    places before it and by the bytes that all strings of a part hold.
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("raw"))
 
@@ -224,7 +224,10 @@ def deduplicated(docs: DataFrame, length: int = 200, keep_text: bool = False) ->
     split = classes.join(sizes, "h").withColumn("part", F.explode(F.sequence(part("least"), part("before"))))
     split = split.withColumns({"lo": F.when(whole, F.col("least")).otherwise(F.greatest("least", F.col("part") * SPLIT_PLACES)),
                                "hi": F.when(whole, F.col("before")).otherwise(F.least("before", F.col("part") * SPLIT_PLACES + SPLIT_PLACES - 1))})
-    order = ["lead", "h", "part"]
+    # all strings of a part hold the bytes from the anchor less its first place on, so a group is split by those bytes too
+    core = F.substring("string", F.col("before") - F.col("part") * SPLIT_PLACES + 1, F.lit(length - SPLIT_PLACES + 1))
+    split = split.withColumn("core", F.when(whole, F.lit(0).cast("long")).otherwise(F.xxhash64(core)))
+    order = ["lead", "h", "part", "core"]
 
     def buckets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in sorted_groups(frames, order, rows=2000):
