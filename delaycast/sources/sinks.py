@@ -109,9 +109,9 @@ def batch_writer(path: str, key_col: str | None = None, order: list[str] | None
     """K3: ``foreachBatch`` function writing each micro-batch on the executors
     to ``{path}/batch_id={id}`` (overwrite => a replay after a restart
     replaces the same batch, no duplicates). With ``key_col`` the batch is
-    reduced to the latest row per key first."""
+    reduced to the latest row per key first (ties by the other columns)."""
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        out = keyed_upsert(batch_df, key_col, order) if key_col else batch_df
+        out = keyed_upsert(batch_df, key_col, _total_order(batch_df, key_col, order or [])) if key_col else batch_df
         out.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
     return write
 

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from ..functions import flatten as P
 from ..functions import timeops as T
 from .. import schemas
+from ..sources.sinks import to_families
 
 
 @dataclass
@@ -178,20 +179,35 @@ def flatten_observation(msgs: DataFrame, text_col: str = "value") -> DataFrame:
     return flat.withColumn("rounded_timestamp", T.next_hour_bucket("timestamp_utc"))
 
 
+# The stored columns of the weather feeds, and the families by column prefix.
+OBSERVATION_COLS = ["lat", "lon", "elevation", "timezone", "units", "icon", "summary", "temperature", "speed",
+                    "angle", "dir", "precipitation_total", "type", "cloud_cover", "daily"]
+FORECAST_COLS = ["lat", "lon", "elevation", "timezone", "units", "current", "date", "weather", "icon", "summary",
+                 "temperature", "speed", "angle", "dir", "precipitation_total", "type", "cloud_cover", "daily"]
+FAMILIES = {"act_bus": "bus_", "act_weather": "act_", "fc_weather": "for_", "prediction": "prediction"}
+
+
 def stream_table(bus: DataFrame, obs: DataFrame, fc: DataFrame, watermark: str = "20 seconds",
                  salt_buckets: int = 8) -> DataFrame:
     """The production stream: positions enriched with the latest observation
     of their next-hour bucket and the forecast for that hour; columns
     prefixed ``bus_``/``act_``/``for_`` (P9) and keyed ``{ts}_{vehicle}``."""
     b = P.prefix_columns(bus, "bus_")
-    obs_cols = ["timestamp_utc", "summary", "temperature", "speed", "angle", "precipitation_total",
-                "type", "cloud_cover"]
-    fc_cols = ["summary", "temperature", "speed", "angle", "precipitation_total", "type", "cloud_cover"]
     rights = [RightFeed(obs.withColumn("_t", F.unix_micros("timestamp_utc")), "rounded_timestamp",
-                        obs_cols, ["_t"], "act_"),
+                        ["timestamp_utc", *OBSERVATION_COLS], ["_t", *OBSERVATION_COLS], "act_"),
               # of several fetches for one hour the newest wins, then the values in order
               RightFeed(fc.withColumn("_t", F.col("fetched") if "fetched" in fc.columns else F.unix_micros("timestamp_utc")),
-                        "timestamp_utc", fc_cols, ["_t", *fc_cols], "for_")]
+                        "timestamp_utc", FORECAST_COLS, ["_t", *FORECAST_COLS], "for_")]
     # the observation time rides along as payload; only the bucket is watermarked
     out = enrich(b, "bus_rounded_timestamp", rights, ["bus_vehicleId"], watermark, salt_buckets)
-    return out.withColumn("row_key", P.row_key("bus_timestamp_utc", "bus_vehicleId"))
+    # both feeds are joined on the bucket: it is their hour wherever they have a row
+    hour = F.col("bus_rounded_timestamp")
+    return out.withColumns({"act_rounded_timestamp": F.when(F.col("act_timestamp_utc").isNotNull(), hour),
+                            "for_timestamp_utc": F.when(F.col("for_date").isNotNull(), hour),
+                            "row_key": P.row_key("bus_timestamp_utc", "bus_vehicleId")})
+
+
+def stored_families(table: DataFrame) -> DataFrame:
+    """K4: the stream table as row_key and one struct per column family."""
+    groups = {family: [c for c in table.columns if c.startswith(prefix)] for family, prefix in FAMILIES.items()}
+    return to_families(table, {k: v for k, v in groups.items() if v}, "row_key")

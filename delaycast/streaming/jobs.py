@@ -86,11 +86,13 @@ def dedup_events_stream(spark: SparkSession, sf_dir: str, watermark: str = "20 s
 
 def production_stream(bus_msgs: DataFrame, obs_msgs: DataFrame, fc_msgs: DataFrame, model,
                       out_path: str, checkpoint: str, watermark: str = "20 seconds",
-                      salt_buckets: int | None = None, trigger: dict | None = None):
+                      salt_buckets: int | None = None, trigger: dict | None = None, also=None):
     """The full stream: three message feeds -> flatten -> enrich (T1-T5) ->
     serving features (C22) -> model transform (M8, JVM) -> keyed upsert sink
     written per micro-batch by the executors (K3), one query (T7), explicit
-    checkpoint (T10). Returns the running ``StreamingQuery``."""
+    checkpoint (T10). ``also`` is a second batch function, such as
+    ``sinks.peek_writer()``, fed by the same batches. Returns the running
+    ``StreamingQuery``."""
     from ..plans.features import serving_features
     from .enrich import flatten_forecast, flatten_observation, flatten_positions, stream_table
     spark = bus_msgs.sparkSession
@@ -99,7 +101,8 @@ def production_stream(bus_msgs: DataFrame, obs_msgs: DataFrame, fc_msgs: DataFra
     scored = model.transform(serving_features(table))
     keep = [c for c in table.columns] + ["prediction"]
     out = scored.select(*keep)
-    return K.start_stream(out, checkpoint, foreach_batch=K.batch_writer(out_path, "row_key", ["bus_timestamp_utc"]),
+    write = K.batch_writer(out_path, "row_key", ["bus_lastUpdate"])
+    return K.start_stream(out, checkpoint, foreach_batch=K.fan_out(write, also) if also else write,
                           trigger=trigger or {"availableNow": True})
 
 

@@ -98,6 +98,13 @@ def test_batch_and_stream_agree(spark, tmp_path):
     assert got["1"] == (2.0, 5.5) and got["3"] == (3.0, 6.5)
     assert got["4"] == (None, 7.5) and got["5"] == (4.0, None)
     assert batch.count() == 5                                # duplicate removed, no fan-out
+    # the whole stored row, also by family
+    row = {r.act_bus.bus_vehicleId: r for r in E.stored_families(batch).collect()}["1"]
+    assert row.row_key == "2024-01-01 10:05:00_1" and row.act_bus.bus_gpsQuality == "3"
+    assert len(row.act_weather) == 17 and len(row.fc_weather) == 19
+    assert (row.act_weather.act_lat, row.act_weather.act_dir, row.act_weather.act_icon) == ("54.35N", "ESE", "drizzle")
+    assert (row.fc_weather.for_elevation, row.fc_weather.for_weather, row.fc_weather.for_dir) == (7, "cloudy", "WSW")
+    assert row.act_weather.act_rounded_timestamp == row.fc_weather.for_timestamp_utc == row.act_bus.bus_rounded_timestamp
 
 
 def test_production_stream_scores_and_upserts(spark, tmp_path):
@@ -113,11 +120,14 @@ def test_production_stream_scores_and_upserts(spark, tmp_path):
                            E.flatten_forecast(read(f"{base}/fc")), watermark=None)
     train = serving_features(batch).withColumn(ML.LABEL, F.col("delay") + 1.0)
     model = ML.build_pipeline(ML.SERVING_FEATURES, num_trees=5, max_depth=2).fit(train)
+    second = K.batch_writer(f"{base}/second")
     q = jobs.production_stream(_stream(spark, f"{base}/bus"), _stream(spark, f"{base}/obs"),
-                               _stream(spark, f"{base}/fc"), model, f"{base}/out", f"{base}/ck", salt_buckets=2)
+                               _stream(spark, f"{base}/fc"), model, f"{base}/out", f"{base}/ck", salt_buckets=2, also=second)
     q.awaitTermination()
     out = spark.read.parquet(f"{base}/out")
     rows = out.collect()
     assert {r.bus_vehicleId for r in rows} == {"1", "2", "3"}
     assert all(r.prediction is not None for r in rows)
+    assert {r.row_key for r in spark.read.parquet(f"{base}/second").collect()} == {r.row_key for r in rows}
+    assert E.stored_families(out).columns == ["row_key", "act_bus", "act_weather", "fc_weather", "prediction"]
     spark.conf.set("spark.sql.shuffle.partitions", "8")
