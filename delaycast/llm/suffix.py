@@ -29,7 +29,7 @@ K = 40
 #: Long texts are searched for anchors in pieces of so many starts.
 PIECE = 1 << 20
 _POSITION = np.uint64((1 << 22) - 1)
-#: Classes of strings in one group beyond which the group is split by places before the anchor and by content.
+#: Classes of strings of one anchor beyond which they are compared by sums, and places before the anchor that are compared at once.
 SPLIT_AT, SPLIT_PLACES = 2000, 8
 
 
@@ -154,6 +154,37 @@ def compare_bucket(g: pd.DataFrame, length: int) -> pd.DataFrame | None:
     return pd.DataFrame({"h": g["h"].to_numpy()[r], "fp": g["fp"].to_numpy()[r], "s": -places[start], "e": -places[end] + length})
 
 
+def shared_places(classes: DataFrame, length: int) -> DataFrame:
+    """Of the classes of frequent anchors: which bytes around the anchor are repeated, as (h, fp, s, e).
+
+    A class is dealt to parts of SPLIT_PLACES places. Classes with equal bytes in
+    all strings of a part repeat each other there. Of different ones that agree in
+    the bytes that all strings of the part hold, single strings are compared. Both
+    by 16 bytes of SHA-256 as keys of sums, so no task needs the rows of a key
+    together. Strings of a part overlap, so the first and last that repeat bound what is covered.
+    """
+    digest = lambda x: F.unhex(F.substring(F.sha2(x, 256), 1, 32))
+    low = F.col("part") * SPLIT_PLACES
+    parts = classes.withColumn("part", F.explode(F.sequence(F.floor(F.col("least") / SPLIT_PLACES).cast("int"), F.floor(F.col("before") / SPLIT_PLACES).cast("int"))))
+    parts = parts.withColumns({"lo": F.greatest("least", low), "hi": F.least("before", low + SPLIT_PLACES - 1)})
+    parts = parts.withColumn("bytes", F.substring("string", F.col("before") - F.col("hi") + 1, F.col("hi") - F.col("lo") + length))
+    core = F.substring("string", F.col("before") - low + 1, F.lit(length - SPLIT_PLACES + 1))
+    group = ["h", "part", "lo", "hi", "u"]
+    dealt = parts.select("h", "fp", "part", "lo", "hi", digest(F.col("bytes")).alias("u"), digest(core).alias("core"), "bytes")
+    kinds = dealt.groupBy(*group).agg((F.min("fp") < F.max("fp")).alias("many"), F.min("core").alias("core"), F.min("bytes").alias("bytes"))
+    kinds = stored(kinds, "kinds")
+    kind = F.struct("lo", "hi", "u")
+    differ = F.min(kind) < F.max(kind)
+    cores = kinds.groupBy("h", "part", "core").agg(differ.alias("differ")).where("differ").drop("differ")
+    single = kinds.join(cores, ["h", "part", "core"], "left_semi").select(*group, "bytes", F.explode(F.sequence("lo", "hi")).alias("p"))
+    single = single.select(*group, "p", digest(F.substring("bytes", F.col("hi") - F.col("p") + 1, F.lit(length))).alias("w"))
+    twins = single.groupBy("h", "p", "w").agg(differ.alias("differ")).where("differ").drop("differ")
+    single = single.join(twins, ["h", "p", "w"], "left_semi").select(*group, F.col("p").alias("first"), F.col("p").alias("last"))
+    whole = kinds.where("many").select(*group, F.col("lo").alias("first"), F.col("hi").alias("last"))
+    spots = whole.unionByName(single).groupBy(*group).agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    return dealt.select("fp", *group).join(spots, group).select("h", "fp", (-F.col("last")).cast("int").alias("s"), (length - F.col("first")).cast("int").alias("e"))
+
+
 def deduplicated(docs: DataFrame, length: int = 200, keep_text: bool = False) -> DataFrame:
     """One row per row of `docs`: doc_id, n_bytes, n_removed, n_spans, kept_sha256; with `keep_text` also `kept`, the
     text that stays (a character cut by a removal goes whole), and `row`, the row's other columns.
@@ -165,8 +196,7 @@ def deduplicated(docs: DataFrame, length: int = 200, keep_text: bool = False) ->
 
     Equal texts are one text from the start (all removed if long enough). No
     task needs all rows of an anchor: strings are classed and counted with
-    partial sums first, and the classes of a frequent anchor are split by the
-    places before it and by the bytes that all strings of a part hold.
+    partial sums first, and those of a frequent anchor are compared by sums alone.
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("raw"))
 
@@ -218,24 +248,17 @@ def deduplicated(docs: DataFrame, length: int = 200, keep_text: bool = False) ->
     classes = strings.groupBy("lead", "h", "fp").agg(F.min("before").alias("before"), F.min("least").alias("least"), F.min("string").alias("string"),
                                                      (F.max("many") | (F.min(at) != F.max(at))).alias("many"))
     classes = stored(classes, "strings")
-    sizes = classes.groupBy("h").count().where("count > 1")
-    whole = F.col("count") <= SPLIT_AT
-    part = lambda c: F.when(whole, F.lit(0)).otherwise(F.floor(F.col(c) / SPLIT_PLACES).cast("int"))
-    split = classes.join(sizes, "h").withColumn("part", F.explode(F.sequence(part("least"), part("before"))))
-    split = split.withColumns({"lo": F.when(whole, F.col("least")).otherwise(F.greatest("least", F.col("part") * SPLIT_PLACES)),
-                               "hi": F.when(whole, F.col("before")).otherwise(F.least("before", F.col("part") * SPLIT_PLACES + SPLIT_PLACES - 1))})
-    # all strings of a part hold the bytes from the anchor less its first place on, so a group is split by those bytes too
-    core = F.substring("string", F.col("before") - F.col("part") * SPLIT_PLACES + 1, F.lit(length - SPLIT_PLACES + 1))
-    split = split.withColumn("core", F.when(whole, F.lit(0).cast("long")).otherwise(F.xxhash64(core)))
-    order = ["lead", "h", "part", "core"]
+    sizes = stored(classes.groupBy("h").count().where("count > 1"), "sizes")
+    order = ["lead", "h"]
 
     def buckets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in sorted_groups(frames, order, rows=2000):
             if (found := compare_bucket(g, length)) is not None:
                 yield found
 
-    found = split.select(*order, "fp", "before", "lo", "hi", "string").repartitionByRange(*order).sortWithinPartitions(*order, "fp")
-    found = found.mapInPandas(lean(buckets), "h long, fp binary, s int, e int")
+    split = classes.join(sizes.where(F.col("count") <= SPLIT_AT), "h").select(*order, "fp", "before", F.col("least").alias("lo"), F.col("before").alias("hi"), "string")
+    found = split.repartitionByRange(*order).sortWithinPartitions(*order, "fp").mapInPandas(lean(buckets), "h long, fp binary, s int, e int")
+    found = found.unionByName(shared_places(classes.join(sizes.where(F.col("count") > SPLIT_AT), "h"), length))
     found = found.unionByName(classes.where("many").select("h", "fp", (-F.col("before")).cast("int").alias("s"), (length - F.col("least")).cast("int").alias("e")))
     spans = strings.where("place >= 0").select("h", "fp", "key", "place").join(found, ["h", "fp"])
     spans = spans.groupBy("key").agg(F.collect_list(F.struct((F.col("place") + F.col("s")).alias("s"), (F.col("place") + F.col("e")).alias("e"))).alias("spans"))

@@ -150,6 +150,21 @@ def test_suffix_equals_brute_force(make_docs, mixed_rows, monkeypatch, split_at)
     assert sorted(got, key=lambda r: (r[0] is None, r)) == suffix_brute(mixed_rows)
 
 
+def test_suffix_classes_of_a_frequent_anchor_meet_in_no_task(make_docs, monkeypatch):
+    rng, limit, compare = random.Random(8), 20, suffix.compare_bucket
+    passage = prose(rng, 80)
+    rows = [(i, f"{prose(rng, 60)} {passage[i % 3:]} {prose(rng, 60)}") for i in range(90)]
+
+    def spy(g, length):
+        if g.groupby("h").size().max() > limit:
+            raise ValueError("a frequent anchor's classes in one frame")
+        return compare(g, length)
+
+    monkeypatch.setattr(suffix, "SPLIT_AT", limit)
+    monkeypatch.setattr(suffix, "compare_bucket", spy)
+    assert sorted(tuple(r) for r in suffix.deduplicated(make_docs(rows)).collect()) == suffix_brute(rows)
+
+
 def test_suffix_texts(make_docs, mixed_rows):
     docs = make_docs(mixed_rows)
     done = suffix.without_repeats(docs)
