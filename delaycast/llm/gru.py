@@ -290,14 +290,14 @@ def frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
     return sorted(((bytes(r["word"]), r["n"]) for r in rows), key=lambda x: (-x[1], x[0]))
 
 
-def scored(docs: DataFrame, held_out, rounds: int = 2, parts: int = 16, chunk: int = 200_000) -> DataFrame:
+def scored(docs: DataFrame, held_out, parts: int = 16, chunk: int = 200_000) -> DataFrame:
     """One row per row of `docs`: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
 
-    Counts are of all rows for which `held_out` is false; so is the training
-    data: in round i every partition trains on those of its documents whose hash
-    falls in part i of `parts`, starting from the common parameters, and the
-    results are averaged by their numbers of tokens, in sums of one row per
-    parameter. A null text is empty; null ids are scored; repeated rows are
+    Counts are of all rows for which `held_out` is false, and the network is
+    trained on each of them once, in `parts` rounds: in round i every partition
+    trains on those of its documents whose hash falls in part i, starting from
+    the common parameters, and the results are averaged by their numbers of
+    tokens, in sums of one row per parameter. A null text is empty; null ids are scored; repeated rows are
     separate documents. Without training rows all words are unknown.
     """
     spark = docs.sparkSession
@@ -333,7 +333,7 @@ def scored(docs: DataFrame, held_out, rounds: int = 2, parts: int = 16, chunk: i
         if trainer.tokens:
             yield pd.DataFrame({"place": np.arange(len(trainer.m.vector)), "sum": trainer.m.vector.astype(np.float64) * trainer.tokens, "n": trainer.tokens})
 
-    for i in range(rounds if ends else 0):
+    for i in range(parts if ends else 0):
         start = spark.sparkContext.broadcast(vector)
         part = train.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)) == i)
         fitted = part.select("text").mapInPandas(lambda frames, start=start: fit(frames, start), "place int, sum double, n long")

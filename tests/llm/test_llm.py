@@ -297,6 +297,20 @@ def test_lm_against_brute_force(make_docs, mixed_rows):
     assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in got)
 
 
+def test_lm_trains_on_every_training_row_once(make_docs, monkeypatch, tmp_path):
+    seen = str(tmp_path)
+
+    class Spy(gru.Trainer):
+        def train(self, texts):
+            with open(f"{seen}/{random.SystemRandom().getrandbits(64)}", "w") as f:
+                f.write("\n".join(str(len(t)) for t in texts))
+            gru.Trainer.train(self, texts)
+
+    monkeypatch.setattr(gru, "Trainer", Spy)
+    gru.scored(make_docs([(i, "w " * i) for i in range(60)]), F.col("doc_id") % 5 == 0).write.format("noop").mode("overwrite").save()
+    assert sorted(int(x) for p in tmp_path.iterdir() for x in p.read_text().split()) == [i + 1 for i in range(60) if i % 5]
+
+
 def test_lm_no_training_rows_and_empty(make_docs):
     got = gru.scored(make_docs([(5, "a b"), (10, None)]), F.lit(True)).collect()
     assert {(r["doc_id"], r["n_known"], r["train_tokens"], r["base_score"]) for r in got} == {(5, 0, 0, 0.0), (10, 0, 0, 0.0)}
