@@ -525,6 +525,25 @@ def test_licenses_and_inheritance(spark):
 
 # ---- the registered queries
 
+def test_license_words_count_by_their_lines(spark):
+    rng, word = random.Random(4), re.compile("[a-z0-9]+").findall
+    heads = ["# Copyright 2021 Acme Inc. Licensed under the Apache License, Version 2.0.", "All files here, all of them, are Licensed under CC BY 4.0.", "copyright acme inc license license"]
+    texts = [f"{heads[i % 3]}\n{prose(rng, 12)}\r\ncopyright acme {prose(rng, 3)}" for i in range(90)] + ["files\nfolder work", None]
+    lines = [[w for w in word(x.lower()) if w not in licenses.STOP_WORDS] for t in texts for x in re.split("[\r\n]+", t or "")]
+    df = collections.Counter(w for x in lines for w in set(x))
+    vector = lambda c: {w: n * (math.log((1 + len(lines)) / (1 + df[w])) + 1) for w, n in c.items()}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    known = [vector(c) for _, c in licenses.template_counts(licenses.TEMPLATES)[1]]
+    got = {r["n"]: r for r in licenses.scanned(spark.createDataFrame([(i, str(i), t) for i, t in enumerate(texts)], "n int, path string, text string")).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        vectors = [vector(collections.Counter(w for w in word(x.lower()) if w not in licenses.STOP_WORDS)) for x in re.split("[\r\n]+", t or "")]
+        want = max(sum(v[w] * k[w] for w in v.keys() & k.keys()) / norm(v) / norm(k) if v else 0 for v in vectors for k in known)
+        assert math.isclose(got[i]["similarity"], want, abs_tol=1e-8), (i, t)
+        assert (got[i]["own_license"] is not None) == (want >= 0.6)
+    assert got[0]["own_license"] == "Apache-2.0"
+
+
 def test_queries_are_registered():
     import __spark_entry__ as e
 
