@@ -1,13 +1,13 @@
-"""Removal of long repeated substrings by a sparse suffix array.
+"""Removal of long repeated substrings by hashes of anchors, which stand in for a sort of suffixes.
 
-Only suffixes that start at an anchor are sorted. The anchor of a string of
+Only strings around an anchor are compared. The anchor of a string of
 `length` bytes is the least of its K-byte substrings by a fixed hash (the
 leftmost of equals), so equal strings have their anchors at the same place, and
 a string can only occur twice if its anchor does. Sampled splitters
-range-partition the anchored suffixes by their leading bytes; every bucket sorts
-the strings around its anchors by multikey sort, token after token, and compares
-neighbours byte by byte. A suffix's leading bytes and anchor are its whole sort
-key, so no group of equal strings lies across a boundary of buckets.
+range-partition them by the anchor's leading bytes and hash, so no group of equal
+strings lies across a boundary of buckets; every bucket groups the strings by
+hashes of tokens, one after the other, and checks their bytes. Classes of a
+frequent anchor are compared by sums over digests instead.
 """
 
 from __future__ import annotations
