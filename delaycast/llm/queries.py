@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, gru, jaccard, licenses, mixing, packing, quality, rules, suffix, viterbi
+from . import ann, gru, jaccard, licenses, mixing, packing, pages, phrases, quality, rules, suffix, trie, viterbi
 from .kit import table
 
 #: Vocabulary files of public tokenizers; every machine has them in this folder.
@@ -68,6 +68,18 @@ def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.inherited(licenses.scanned(files))
 
 
+def collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(table(spark, sf_dir, "conversations"))
+
+
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_jaccard_join,
     "op2_suffix_array_dedup": suffix_array_dedup,
@@ -79,5 +91,12 @@ QUERIES = {
     "op8_nearest_neighbours": nearest_neighbours,
     "op9_quality_rules": quality_rules,
     "op10_license_scans": license_scans,
+    "op11_phrase_collocations": collocations,
+    "op12_conversation_trie": conversation_trie,
+    "op13_html_extraction": html_extraction,
+}
+ORACLES = {
+    "op6_mixing_sources": mixing.mixed_sql(MIX_WEIGHTS, MIX_OTHERS, MIX_BLOCK_CHARS),
+    "op11_phrase_collocations": phrases.collocations_sql(),
+    "op12_conversation_trie": trie.nodes_sql(),
 }
-ORACLES = {"op6_mixing_sources": mixing.mixed_sql(MIX_WEIGHTS, MIX_OTHERS, MIX_BLOCK_CHARS)}
