@@ -14,7 +14,7 @@ with those that end it: two joins on the parts.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .kit import lean, sorted_groups, stored
 
 #: Words of a window, words of a shard's automaton, words of a range, windows of the sample that sets the ranges.
-LENGTH, SHARD_WORDS, RANGE_WORDS, SAMPLED = 5, 2_000_000, 3_000_000, 200_000
+LENGTH, SHARD_WORDS, RANGE_WORDS, SAMPLED = 5, 1_500_000, 1_000_000, 200_000
 ID_BITS = 21  # three word numbers fit in one sort key, if there are less than 2 ** 21 different words
 UNKNOWN_LANG = "und"
 _BREAK = b"\xff"  # never in UTF-8
@@ -48,10 +48,14 @@ def sort_order(windows: np.ndarray) -> np.ndarray:
     """The order of rows of LENGTH word numbers (0: none)."""
     if len(windows) and windows.max() >= 1 << ID_BITS:
         return np.lexsort(windows.T[::-1])
-    w = windows.astype(np.uint64)
-    high = (w[:, 0] << np.uint64(2 * ID_BITS)) | (w[:, 1] << np.uint64(ID_BITS)) | w[:, 2]
-    low = (w[:, 3] << np.uint64(ID_BITS)) | w[:, 4]
-    return np.lexsort((low, high))
+    keys = []
+    for columns in ((3, 4), (0, 1, 2)):  # np.lexsort takes the last key first
+        key = np.zeros(len(windows), dtype=np.int64)
+        for c in columns:
+            key <<= ID_BITS
+            key |= windows[:, c]
+        keys.append(key)
+    return np.lexsort(keys)
 
 
 def summed(windows: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -89,13 +93,17 @@ class Counts:
 
 def packed(windows: np.ndarray, weights: np.ndarray, words: list[bytes]) -> bytes:
     """An automaton as bytes: only the arcs of its states, each with its level, and the weights of the paths' ends."""
-    seen = np.zeros(len(words), dtype=bool)
-    seen[windows] = True
-    seen[0] = True
-    used = np.flatnonzero(seen)
-    number = np.zeros(len(words), dtype=np.uint32)
-    number[used] = np.arange(len(used), dtype=np.uint32)
-    numbers = number[windows]
+    if 8 * windows.size < len(words):
+        used = np.unique(np.r_[0, windows.ravel()])
+        numbers = np.searchsorted(used, windows).astype(np.uint32)
+    else:
+        seen = np.zeros(len(words), dtype=bool)
+        seen[windows] = True
+        seen[0] = True
+        used = np.flatnonzero(seen)
+        number = np.zeros(len(words), dtype=np.uint32)
+        number[used] = np.arange(len(used), dtype=np.uint32)
+        numbers = number[windows]
     same = np.cumprod(np.vstack([np.zeros((1, LENGTH), bool), numbers[1:] == numbers[:-1]]), axis=1).sum(axis=1) if len(numbers) else np.zeros(0)
     depth = (numbers > 0).sum(axis=1)
     place = np.arange(LENGTH)
@@ -165,6 +173,26 @@ class Shard:
         return *summed(windows, np.ones(len(windows), dtype=np.int64)), words
 
 
+def added(data: Iterable[bytes], at_once: int = 2_000_000) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """The union of packed automata: sorted windows, sums of weights, words by number."""
+    number: dict[bytes, int] = {}
+    parts: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+    for one in data:
+        windows, weights, words = unpacked(one)
+        names = np.array([0, *(number.setdefault(w, len(number) + 1) for w in words)], dtype=np.int32)
+        parts.append((names[windows], weights))
+        size += len(weights)
+        if size > at_once and len(parts) > 1:  # equal windows of many shards are one
+            parts = [summed(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))]
+            size = 0
+    words = [_BREAK, *sorted(number)]
+    rank = np.zeros(len(words), dtype=np.int32)
+    rank[[number[w] for w in words[1:]]] = np.arange(1, len(words), dtype=np.int32)
+    del number
+    return *summed(rank[np.concatenate([p[0] for p in parts])], np.concatenate([p[1] for p in parts])), words
+
+
 def first_not_below(windows: np.ndarray, words: list[bytes], splitter: list[bytes]) -> int:
     """The number of windows below `splitter` in the order of the words' bytes."""
     low, high = 0, len(windows)
@@ -254,17 +282,7 @@ def counted(rows: DataFrame, least: int, range_words: int = RANGE_WORDS, shard_w
         cuts, _, _ = shared.value
         for f in sorted_groups(frames, ["range", "lang"]):
             lang, i = f["lang"].iloc[0], int(f["range"].iloc[0])
-            number: dict[bytes, int] = {}
-            parts = []
-            for data in f["data"]:
-                windows, weights, words = unpacked(data)
-                names = np.array([0, *(number.setdefault(w, len(number) + 1) for w in words)], dtype=np.int32)
-                parts.append((names[windows], weights))
-            words = [_BREAK, *sorted(number)]
-            rank = np.zeros(len(words), dtype=np.int32)
-            rank[[number[w] for w in words[1:]]] = np.arange(1, len(words), dtype=np.int32)
-            windows, weights = summed(rank[np.concatenate([p[0] for p in parts])], np.concatenate([p[1] for p in parts]))
-            del parts, number, rank
+            windows, weights, words = added(f["data"])
             counts = Counts(windows, weights)
             edges = [w for at in (i - 1, i) if 0 <= at < len(cuts) and cuts[at][0] == lang for w in [cuts[at][1]]]
             open_ends = {tuple(w[:j]) for w in edges for j in range(1, LENGTH + 1)}
