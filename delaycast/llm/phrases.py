@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .kit import lean, sorted_groups, stored
 
 #: Words of a window, words of a shard's automaton, words of a range, windows of the sample that sets the ranges.
-LENGTH, SHARD_WORDS, RANGE_WORDS, SAMPLED = 5, 1_500_000, 1_000_000, 200_000
+LENGTH, SHARD_WORDS, RANGE_WORDS, SAMPLED = 5, 600_000, 1_000_000, 200_000
 ID_BITS = 21  # three word numbers fit in one sort key, if there are less than 2 ** 21 different words
 UNKNOWN_LANG = "und"
 _BREAK = b"\xff"  # never in UTF-8
