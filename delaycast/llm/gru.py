@@ -11,6 +11,7 @@ document, so its score is the complete log-likelihood.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -19,14 +20,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kit import stored
+from delaycast.session import shared_dir
 
-HEAD_CLASSES, CLASS_WORDS = 32, 32
-HEAD = HEAD_CLASSES * CLASS_WORDS  # the last is the end of a text
+from .kit import lean, stored
+
+#: Classes with a softmax of their own, and words of each: at least; they grow with the root of the number of different words.
+LEAST_SIDE, WORDS_PER_SIDE = 32, 32
+HEAD = LEAST_SIDE * LEAST_SIDE  # words of the least model, of which the last is the end of a text
 END = HEAD - 1
 LOOKS = 24
-CLASSES = HEAD_CLASSES + LOOKS
 HIDDEN = 16
+#: Numbers of a slice of the parameters when tasks' results are averaged.
+SLICE = 16_384
 #: Words whose counts every task knows; the counts of all others come by a join.
 KNOWN_WORDS = 100_000
 COUNTED_AT_ONCE = 400_000
@@ -68,29 +73,30 @@ def chosen(logits: np.ndarray, at: np.ndarray, back: bool = False):
 class Gru:
     """Parameters in one vector: `inputs` (a row of gate inputs for each token), `state` (gates from the state), `classes` and `words` (outputs)."""
 
-    SHAPES = {"inputs": (HEAD + LOOKS, 3 * HIDDEN), "state": (HIDDEN, 3 * HIDDEN), "classes": (HIDDEN + 1, CLASSES),
-              "words": (HEAD_CLASSES, HIDDEN + 1, CLASS_WORDS)}
-
-    def __init__(self, vector: np.ndarray):
-        self.vector, at = vector, 0
-        for name, shape in self.SHAPES.items():
+    def __init__(self, vector: np.ndarray, side: int = LEAST_SIDE):
+        self.vector, self.side, self.head, at = vector, side, side * side, 0
+        for name, shape in self.shapes(side).items():
             size = int(np.prod(shape))
             setattr(self, name, vector[at: at + size].reshape(shape))
             at += size
 
+    @staticmethod
+    def shapes(side: int) -> dict[str, tuple[int, ...]]:
+        return {"inputs": (side * side + LOOKS, 3 * HIDDEN), "state": (HIDDEN, 3 * HIDDEN), "classes": (HIDDEN + 1, side + LOOKS), "words": (side, HIDDEN + 1, side)}
+
     @classmethod
-    def size(cls) -> int:
-        return sum(int(np.prod(s)) for s in cls.SHAPES.values())
+    def size(cls, side: int) -> int:
+        return sum(int(np.prod(s)) for s in cls.shapes(side).values())
 
     @classmethod
     def start(cls, head: np.ndarray, looks: np.ndarray, seed: int = 5) -> "Gru":
         """Random gates, and outputs that are the shares of these counts whatever the state."""
-        rng = np.random.default_rng(seed)
-        m = cls(np.zeros(cls.size(), dtype=np.float32))
+        rng, side = np.random.default_rng(seed), math.isqrt(len(head))
+        m = cls(np.zeros(cls.size(side), dtype=np.float32), side)
         m.inputs[:] = rng.normal(0, 0.3, m.inputs.shape)
         m.inputs[:, :HIDDEN] += 1  # forget slowly
         m.state[:] = rng.normal(0, HIDDEN**-0.5, m.state.shape)
-        by_class = (head + 1.0).reshape(HEAD_CLASSES, CLASS_WORDS)
+        by_class = (head + 1.0).reshape(side, side)
         m.words[:, HIDDEN] = np.log(by_class / by_class.sum(axis=1, keepdims=True))
         total = np.concatenate([by_class.sum(axis=1), looks + 1.0])
         m.classes[HIDDEN] = np.log(total / total.sum())
@@ -107,19 +113,19 @@ class Gru:
 
     def outputs(self, states: np.ndarray, x: np.ndarray, back: bool = False):
         """log P of each token x after each state; with `back` also the loss's slopes by the states and by the output parameters."""
-        cls = np.where(x < HEAD, x // CLASS_WORDS, HEAD_CLASSES + x - HEAD)
+        cls = np.where(x < self.head, x // self.side, self.side + x - self.head)
         got = chosen(states @ self.classes[:HIDDEN] + self.classes[HIDDEN], cls, back)
         out = (got[0] if back else got).astype(np.float64)
         if back:
             d_states = got[1] @ self.classes[:HIDDEN].T
             d = {"classes": np.vstack([states.T @ got[1], got[1].sum(axis=0)]), "words": np.zeros_like(self.words)}
-        order = np.argsort(cls.astype(np.uint8), kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(HEAD_CLASSES + 1))
-        for c in range(HEAD_CLASSES):
+        order = np.argsort(cls.astype(np.int16), kind="stable")
+        edges = np.searchsorted(cls[order], np.arange(self.side + 1))
+        for c in range(self.side):
             rows = order[edges[c]: edges[c + 1]]
             if len(rows):
                 s = states[rows]
-                got = chosen(s @ self.words[c, :HIDDEN] + self.words[c, HIDDEN], x[rows] - c * CLASS_WORDS, back)
+                got = chosen(s @ self.words[c, :HIDDEN] + self.words[c, HIDDEN], x[rows] - c * self.side, back)
                 out[rows] += got[0] if back else got
                 if back:
                     d_states[rows] += got[1] @ self.words[c, :HIDDEN].T
@@ -155,14 +161,16 @@ class Gru:
 class Trainer:
     """Adam on windows of parallel streams of documents."""
 
-    def __init__(self, model: Gru, rate: float = 0.005, lanes: int = 32, window: int = 32):
-        self.m, self.rate, self.lanes, self.window = model, rate, lanes, window
+    def __init__(self, model: Gru, rate: float = 0.01, lanes: int = 256, window: int = 32, warm: int = 20):
+        self.m, self.rate, self.lanes, self.window, self.warm = model, rate, lanes, window, warm
         self.first, self.second, self.steps, self.tokens = np.zeros_like(model.vector), np.zeros_like(model.vector), 0, 0
 
     def train(self, texts: list[np.ndarray]) -> None:
-        """One pass; a stream holds whole documents, one after the other, and its state starts anew with each."""
-        streams: list[list[np.ndarray]] = [[] for _ in range(self.lanes)]
-        load = np.zeros(self.lanes, dtype=np.int64)
+        """One pass; a stream holds whole documents, one after the other, and its state starts anew with each. As many
+        streams as leave some 32 windows to learn from, but at least 32."""
+        lanes = min(max(32, sum(map(len, texts)) // (32 * self.window)), self.lanes)
+        streams: list[list[np.ndarray]] = [[] for _ in range(lanes)]
+        load = np.zeros(lanes, dtype=np.int64)
         for t in sorted(texts, key=len, reverse=True):
             i = int(load.argmin())
             streams[i].append(t)
@@ -178,9 +186,9 @@ class Trainer:
         for t in range(0, len(grid), self.window):
             part = slice(t, t + self.window)
             live = np.arange(t, min(t + self.window, len(grid)))[:, None] < lengths[None, :]
-            h = self.learn(grid[part], fresh[part], live, h)
+            h = self.learn(grid[part], fresh[part], live, h, lanes)
 
-    def learn(self, grid: np.ndarray, fresh: np.ndarray, live: np.ndarray, h: np.ndarray) -> np.ndarray:
+    def learn(self, grid: np.ndarray, fresh: np.ndarray, live: np.ndarray, h: np.ndarray, lanes: int = 0) -> np.ndarray:
         m, steps, width = self.m, len(grid), grid.shape[1]
         states, caches = np.empty((steps, width, HIDDEN), dtype=np.float32), []
         for s in range(steps):
@@ -206,33 +214,39 @@ class Trainer:
             np.concatenate([dz, dr, dk], axis=1, out=d_given[s])
             np.concatenate([dz, dr, dk * r], axis=1, out=d_held[s])
             dh = (dh * z + d_held[s] @ m.state.T + d_out[s]) * ~fresh[s][:, None]
-        slope = Gru(np.zeros_like(m.vector))
+        slope = Gru(np.zeros_like(m.vector), m.side)
         slope.state[:] = flat.T @ d_held.reshape(-1, 3 * HIDDEN)
         x = grid.ravel()
         order = np.argsort(x, kind="stable")
         first = np.flatnonzero(np.concatenate(([True], np.diff(x[order]) > 0)))
         slope.inputs[x[order][first]] = np.add.reduceat(d_given.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
         slope.classes[:], slope.words[:] = d["classes"], d["words"]
-        g = slope.vector / (self.lanes * self.window)  # a window of a few streams' ends weighs little
+        g = slope.vector / ((lanes or self.lanes) * self.window)  # a window of a few streams' ends weighs little
         g *= min(1, 1 / (np.sqrt(float(g @ g)) + 1e-9))
         self.steps += 1
         self.tokens += n
         self.first += 0.1 * (g - self.first)
         self.second += 0.001 * (g * g - self.second)
-        rate = self.rate * min(1, self.steps / 20) / (1 + self.steps / 500)
+        rate = self.rate * min(1, self.steps / self.warm) / (1 + self.steps / 500)
         m.vector -= rate * (self.first / (1 - 0.9**self.steps)) / (np.sqrt(self.second / (1 - 0.999**self.steps)) + 1e-7)
         return h
 
 
+def side_of(distinct: int) -> int:
+    """The number of classes, and of words in each, for a corpus of that many different words; all of them are among KNOWN_WORDS."""
+    return max(LEAST_SIDE, min(math.isqrt(KNOWN_WORDS), math.isqrt(distinct) // WORDS_PER_SIDE))
+
+
 class Words:
-    """What every task knows of the corpus counts."""
+    """What every task knows of the corpus counts. Tokens: the most frequent words by rank, the end of a text, and the looks of all other words."""
 
-    def __init__(self, top: list[tuple[bytes, int]], total: int, distinct: int, ends: int, looks: dict[int, tuple[int, int]]):
-        self.head = {w: i for i, (w, _) in enumerate(top[:END])}
+    def __init__(self, top: list[tuple[bytes, int]], total: int, distinct: int, ends: int, looks: dict[int, tuple[int, int]], side: int):
+        self.side, self.end = side, side * side - 1
+        self.head = {w: i for i, (w, _) in enumerate(top[: self.end])}
         self.count = dict(top)
         self.total, self.distinct, self.ends = total, distinct, ends
         self.look_total = np.array([sum(looks.get(i, (0, 0))) + 1 for i in range(LOOKS)], dtype=np.float64)
-        self.head_counts = np.array([c for _, c in top[:END]] + [0] * (END - len(top[:END])) + [ends], dtype=np.float64)
+        self.head_counts = np.array([c for _, c in top[: self.end]] + [0] * (self.end - len(self.head)) + [ends], dtype=np.float64)
         self.look_counts = np.array([looks.get(i, (0, 0))[0] for i in range(LOOKS)], dtype=np.float64)
         self._token: dict[bytes, int] = dict(self.head)
 
@@ -240,13 +254,13 @@ class Words:
         get, out = self._token.get, np.empty(len(words) + 1, dtype=np.int32)
         if len(self._token) > COUNTED_AT_ONCE:
             self._token = dict(self.head)
+            get = self._token.get
         for i, w in enumerate(words):
             t = get(w)
             if t is None:
-                t = self._token[w] = HEAD + look(w)
-                get = self._token.get
+                t = self._token[w] = self.end + 1 + look(w)
             out[i] = t
-        out[-1] = END
+        out[-1] = self.end
         return out
 
 
@@ -290,15 +304,36 @@ def frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
     return sorted(((bytes(r["word"]), r["n"]) for r in rows), key=lambda x: (-x[1], x[0]))
 
 
-def scored(docs: DataFrame, held_out, parts: int = 16, chunk: int = 200_000) -> DataFrame:
+def averaged(fitted: DataFrame, size: int) -> np.ndarray | None:
+    """The mean of the parameter vectors of all tasks by their numbers of tokens; `fitted` has (slice, n, data) of each.
+
+    The rows of a slice are added up one after the other; only the sums, as long as one model, come to the driver.
+    """
+    def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, np.ndarray] = {}
+        n: Counter = Counter()
+        for f in frames:
+            for i, m, data in zip(f["slice"], f["n"], f["data"]):
+                part = np.frombuffer(data, dtype=np.float32).astype(np.float64) * m
+                sums[i] = sums[i] + part if i in sums else part
+                n[i] += m
+        yield pd.DataFrame({"slice": list(sums), "n": [n[i] for i in sums], "data": [s.tobytes() for s in sums.values()]}).astype({"slice": "int32", "n": "int64"})
+
+    got = fitted.repartition("slice").mapInPandas(lean(add), "slice int, n long, data binary").toPandas().sort_values("slice")
+    if not len(got):
+        return None
+    vector = np.concatenate([np.frombuffer(d) / n for d, n in zip(got["data"], got["n"])])
+    return vector.astype(np.float32) if len(vector) == size and np.isfinite(vector).all() else None
+
+
+def scored(docs: DataFrame, held_out, parts: int = 16, chunk: int = 400_000) -> DataFrame:
     """One row per row of `docs`: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
 
-    Counts are of all rows for which `held_out` is false, and the network is
-    trained on each of them once, in `parts` rounds: in round i every partition
-    trains on those of its documents whose hash falls in part i, starting from
-    the common parameters, and the results are averaged by their numbers of
-    tokens, in sums of one row per parameter. A null text is empty; null ids are scored; repeated rows are
-    separate documents. Without training rows all words are unknown.
+    Counts are of all rows for which `held_out` is false, and the network is trained on each of them once, in `parts`
+    rounds: every row's token numbers are stored once, in folders by part; in round i every task trains on its share of
+    part i, starting from the common parameters, and the results are averaged by their numbers of tokens. A null text is
+    empty, null ids are scored, repeated rows are separate documents, texts of any length are read whole; other columns
+    of `docs` do not matter. Without training rows all words are unknown.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
@@ -306,8 +341,8 @@ def scored(docs: DataFrame, held_out, parts: int = 16, chunk: int = 200_000) ->
     counts = stored(counted(train), "counts")
     known = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     ends = train.count()
-    top = frequent(counts, KNOWN_WORDS)
-    head = {w for w, _ in top[:END]}
+    top, side = frequent(counts, KNOWN_WORDS), side_of(known[1])
+    head = {w for w, _ in top[: side * side - 1]}
 
     def by_look(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -315,60 +350,68 @@ def scored(docs: DataFrame, held_out, parts: int = 16, chunk: int = 200_000) ->
             yield pd.DataFrame({"look": [look(w) for w in f["word"]], "n": f["n"].to_numpy()}).astype({"look": "int32"})
 
     looks = counts.mapInPandas(by_look, "look int, n long").groupBy("look").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
-    words = Words(top, known[0] + ends, known[1] + (ends > 0), ends, {r["look"]: (r["n"], r["v"]) for r in looks})
+    words = Words(top, known[0] + ends, known[1] + (ends > 0), ends, {r["look"]: (r["n"], r["v"]) for r in looks}, side)
     shared = spark.sparkContext.broadcast(words)
+
+    def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        w = shared.value
+        unit, look_unit, end = np.log10(w.total + w.distinct + 1), np.log10(w.look_total), np.log10(w.ends + 1)
+        logs = {k: np.log10(c + 1) for k, c in w.count.items()}
+        for f in frames:
+            out = []
+            for row, doc, held, part, text in zip(f["row"], f["doc_id"].astype("Int64"), f["held_out"], f["part"], f["text"]):
+                found = words_of(text)
+                t = w.tokens(found)
+                got = [logs.get(x) for x in found]
+                rare = Counter([x for x, v in zip(found, got) if v is None])
+                tail = sum(v for v, c in zip(got, t) if v is not None and c > w.end)
+                base = sum(v for v in got if v is not None) + end - len(t) * unit
+                out.append((row, doc, held, part, len(t), len(found) - sum(rare.values()) + (w.ends > 0), base,
+                            tail - look_unit[t[t > w.end] - w.end - 1].sum(), list(rare), list(rare.values()), t))
+            r = pd.DataFrame(out, columns=["row", "doc_id", "held_out", "part", "n_tokens", "n_known", "base", "model", "rare", "times", "tokens"])
+            yield r.astype({"doc_id": "Int64", "row": "int64", "part": "int32"})
+
+    part = F.when(F.col("held_out"), -1).otherwise(F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts))).cast("int")
+    given = rows.withColumns({"part": part, "row": F.monotonically_increasing_id()})
+    kept = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double, rare array<binary>, times array<long>, tokens array<int>, part int"
+    path = shared_dir(spark, "tokens")
+    given.mapInPandas(lean(encode), kept).write.partitionBy("part").parquet(path)
+    kept = spark.read.schema(kept).parquet(path)
     vector = Gru.start(words.head_counts, words.look_counts).vector
 
-    def fit(frames: Iterator[pd.DataFrame], start) -> Iterator[pd.DataFrame]:
-        trainer, held, n = Trainer(Gru(start.value.copy())), [], 0
+    def fit(frames: Iterator[pd.DataFrame], start, warm: int) -> Iterator[pd.DataFrame]:
+        trainer, held, n = Trainer(Gru(start.value.copy(), side), warm=warm), [], 0
         for f in frames:
-            for t in f["text"]:
-                held.append(shared.value.tokens(words_of(t)))
-                n += len(held[-1])
+            for t in f["tokens"]:
+                held.append(t)
+                n += len(t)
                 if n >= chunk:
                     trainer.train(held)
                     held, n = [], 0
         if held:
             trainer.train(held)
         if trainer.tokens:
-            yield pd.DataFrame({"place": np.arange(len(trainer.m.vector)), "sum": trainer.m.vector.astype(np.float64) * trainer.tokens, "n": trainer.tokens})
+            v = trainer.m.vector
+            yield pd.DataFrame([(i, trainer.tokens, v[a: a + SLICE].tobytes()) for i, a in enumerate(range(0, len(v), SLICE))], columns=["slice", "n", "data"]).astype({"slice": "int32"})
 
     for i in range(parts if ends else 0):
         start = spark.sparkContext.broadcast(vector)
-        part = train.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)) == i)
-        fitted = part.select("text").mapInPandas(lambda frames, start=start: fit(frames, start), "place int, sum double, n long")
-        mean = fitted.groupBy("place").agg((F.sum("sum") / F.sum("n")).alias("v")).toPandas().sort_values("place")
-        if len(mean) == len(vector) and np.isfinite(mean["v"]).all():
-            vector = mean["v"].to_numpy().astype(np.float32)
+        fitted = kept.where(F.col("part") == i).select("tokens").mapInPandas(lean(lambda frames, start=start, warm=5 if i else 20: fit(frames, start, warm)), "slice int, n long, data binary")
+        mean = averaged(fitted, len(vector))
+        vector = vector if mean is None else mean
     final = spark.sparkContext.broadcast(vector)
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        w, model = shared.value, Gru(final.value)
-        unit = np.log10(w.total + w.distinct + 1)
-        look_unit = np.log10(w.look_total)
-        logs = {k: np.log10(c + 1) for k, c in w.count.items()}
-        end = np.log10(w.ends + 1)
+        model = Gru(final.value, side)
         for f in together(frames):
-            out, tokens = [], []
-            for doc, held, text in zip(f["doc_id"].astype("Int64"), f["held_out"], f["text"]):
-                found = words_of(text)
-                t = w.tokens(found)
-                tokens.append(t)
-                got = [logs.get(x) for x in found]
-                rare = Counter([x for x, v in zip(found, got) if v is None])
-                looked = t[t >= HEAD] - HEAD
-                tail = sum(v for v, c in zip(got, t) if v is not None and c >= HEAD)
-                base = sum(v for v in got if v is not None) + end - len(t) * unit
-                out.append((doc, held, len(t), len(found) - sum(rare.values()) + (w.ends > 0), base, tail - look_unit[looked].sum(), list(rare), list(rare.values())))
-            r = pd.DataFrame(out, columns=["doc_id", "held_out", "n_tokens", "n_known", "base", "model", "rare", "times"])
-            r["model"] += model.score(tokens) / np.log(10)
-            yield r.astype({"doc_id": "Int64"})
-
-    done = rows.mapInPandas(score, "doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double, rare array<binary>, times array<long>")
-    done = stored(done.withColumn("row", F.monotonically_increasing_id()), "scores")
-    rare = done.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
+            f = f.assign(doc_id=f["doc_id"].astype("Int64"), model=f["model"] + model.score(list(f["tokens"])) / np.log(10))
+            yield f.drop(columns="tokens")
+
+    done = kept.select("row", "doc_id", "held_out", "n_tokens", "n_known", "base", "model", "tokens")
+    done = stored(done.mapInPandas(lean(score), "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double"), "scores")
+    rare = kept.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
     rare = rare.join(counts, "word").groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("add"))
-    done = done.drop("rare", "times").join(rare, "row", "left")
+    done = done.join(rare, "row", "left")
     add = F.coalesce("add", F.lit(0.0))
     return done.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
                        F.lit(words.total).cast("long").alias("train_tokens"), (F.col("base") + add).alias("base_score"), (F.col("model") + add).alias("score"))
