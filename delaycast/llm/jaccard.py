@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .hashing import TOGETHER, Sums, mixed
-from .kit import lean, sorted_groups, stored
+from .kit import free_name, lean, sorted_groups, stored, text_key
 
 BANDS, BAND_VALUES = 20, 4
 VALUES = BANDS * BAND_VALUES
@@ -155,8 +155,15 @@ def join_block(frame: pd.DataFrame, threshold: float, tolerance: float) -> pd.Da
     return pd.DataFrame({"k": keys[some], "root": keys[root[some]], "links": links[some].astype(np.int64)})
 
 
-def similar(docs: DataFrame, threshold: float = 0.8, size: int = 5, tolerance: float = 1e-6, block: int = 256) -> DataFrame:
-    """One row per row of `docs`: doc_id, class_id, n_links, set_id.
+def similar(docs: DataFrame, **options) -> DataFrame:
+    """One row per row of `docs`: doc_id, class_id, n_links, set_id; see `classed`."""
+    out = classed(docs, **options).select("doc_id", "class_id", "n_links", "set_id")
+    lost = docs.where("doc_id is null").select(*[F.lit(None).cast("long").alias(c) for c in ("doc_id", "class_id")], F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("set_id"))
+    return out.unionByName(lost)
+
+
+def classed(docs: DataFrame, threshold: float = 0.8, size: int = 5, tolerance: float = 1e-6, block: int = 256) -> DataFrame:
+    """One row per row of `docs` that has a doc_id: doc_id, text_key, class_id, n_links, set_id, class (null for texts without words).
 
     Documents are linked if the Jaccard similarity of their sets of `size`-word
     n-grams (lower case) is at least `threshold`. n_links: to how many other
@@ -173,10 +180,11 @@ def similar(docs: DataFrame, threshold: float = 0.8, size: int = 5, tolerance: f
     def sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             sets = list(gram_sets(f["text"].tolist(), size))
-            yield pd.DataFrame({"doc_id": f["doc_id"], "k": [set_key(s) for s in sets], "sig": [signature(s) for s in sets]})
+            yield pd.DataFrame({"doc_id": f["doc_id"], "text_key": f["text_key"], "k": [set_key(s) for s in sets], "sig": [signature(s) for s in sets]})
 
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.coalesce("text", F.lit(""))).alias("text"))
-    rows = stored(texts.mapInPandas(lean(sketch), "doc_id long, k binary, sig binary"), "sketches")
+    keyed = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text_key("text").alias("text_key"), F.lower(F.coalesce("text", F.lit(""))).alias("text"))
+    rows = stored(keyed.mapInPandas(lean(sketch), "doc_id long, text_key binary, k binary, sig binary"), "sketches")
     classes = stored(rows.where("k is not null").groupBy("k").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep"), F.min("sig").alias("sig")), "classes")
 
     width = 4 * BAND_VALUES
@@ -211,17 +219,21 @@ def similar(docs: DataFrame, threshold: float = 0.8, size: int = 5, tolerance: f
     links = found.groupBy("k").agg(F.sum("links").alias("links"))
     parts = components(found.select(F.col("k").alias("a"), F.col("root").alias("b")))
     named = parts.join(classes.select(F.col("k").alias("node"), "rep"), "node")
-    named = named.join(named.groupBy("component").agg(F.min("rep").alias("class_id")), "component").select(F.col("node").alias("k"), "class_id")
+    named = named.join(named.groupBy("component").agg(F.min("rep").alias("class_id")), "component").select(F.col("node").alias("k"), "class_id", "component")
     info = classes.select("k", "copies", "rep").join(links, "k", "left").join(named, "k", "left")
-    info = info.select("k", F.col("rep").alias("set_id"), F.coalesce("class_id", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = rows.select("doc_id", "k").join(info, "k", "left")
-    out = out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("set_id", "doc_id").alias("set_id"))
-    lost = docs.where("doc_id is null").select(*[F.lit(None).cast("long").alias(c) for c in ("doc_id", "class_id")], F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("set_id"))
-    return out.unionByName(lost)
+    info = info.select("k", F.col("rep").alias("set_id"), F.coalesce("class_id", "rep").alias("class_id"), F.coalesce("component", "k").alias("class"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    out = rows.select("doc_id", "text_key", "k").join(info, "k", "left")
+    return out.select("doc_id", "text_key", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("set_id", "doc_id").alias("set_id"), "class")
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` whose doc_id is the smallest of its class (one row of it), and those without an id."""
-    kept = similar(docs, **options).where("doc_id = class_id").select("doc_id").distinct()
-    one = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """One row of each class of `docs`: of its smallest doc_id (of that, the text of smallest hash); one row of each doc_id
+    and text without words; and all rows without an id. Rows of one id with different texts are different documents."""
+    found = classed(docs, **options)
+    kept = found.where("class is not null").groupBy("class").agg(F.min(F.struct("doc_id", "text_key")).alias("x")).select("x.*")
+    kept = kept.unionByName(found.where("class is null").select("doc_id", "text_key").distinct())
+    key = free_name("text_key", docs.columns)
+    kept = kept.select(F.col("doc_id").alias(free_name("kept_id", docs.columns)), F.col("text_key").alias(f"{key}_kept"))
+    rows = docs.where("doc_id is not null").withColumn(key, text_key("text"))
+    one = rows.join(kept, (F.col("doc_id") == kept[kept.columns[0]]) & (F.col(key) == F.col(f"{key}_kept")), "left_semi").dropDuplicates(["doc_id", key])
     return one.select(*docs.columns).unionByName(docs.where("doc_id is null"))

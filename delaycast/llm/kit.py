@@ -5,7 +5,7 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaycast.session import shared_dir
+from delaycast.session import durable as stored  # noqa: F401  (written once to the shared folder: later steps start from the files)
 
 #: The white space between words: blank and the five control characters from tab to carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -41,15 +41,6 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(sc.applicationId)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` to the shared folder and read it back: later steps, also after the loss of
-    an executor, start from the files instead of computing `df` again."""
-    spark = df.sparkSession
-    path = shared_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def lean(run: Callable) -> Callable:
     """`run` for mapInPandas; at its end the worker, which later tasks use again, gives back the
     memory that it no longer needs."""
@@ -68,6 +59,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """`name`, or with underscores after it, so that no column of `taken` has that name."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
+def spared(df: DataFrame, names: Iterable[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """`df` with its columns named like one of `names` under free names, and what gives them their names back."""
+    names, given = list(names), {}
+    for c in df.columns:
+        if c.lower() in {n.lower() for n in names}:
+            given[c] = free_name(f"{c}_", [*df.columns, *names, *given.values()])
+    return df.withColumnsRenamed(given), lambda done: done.withColumnsRenamed({new: old for old, new in given.items()})
+
+
 def text_key(text) -> F.Column:
     """16 bytes that stand for a whole text (the first half of its SHA-256)."""
     return F.unhex(F.substring(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256), 1, 32))

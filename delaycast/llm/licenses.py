@@ -14,7 +14,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .kit import stored
+from .kit import spared, stored
 from .rules import let
 
 #: Usual header lines by license.
@@ -80,6 +80,7 @@ def scanned(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES, least
     """
     vocab, rows = template_counts(templates)
     files = files.drop("own_license", "similarity", "licence_file", "license", "inherited_from")
+    files, named_back = spared(files, ["_text", "_lines", "_units", "_words", "_row", "_best"])
     text = F.coalesce("text", F.lit(""))
     kept = [c for c in files.columns if c != "text"]
     lines = F.split(F.lower(text), "[\r\n]+")
@@ -120,9 +121,9 @@ def scanned(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES, least
     found = units.join(best.groupBy("_row").agg(F.min("b").alias("_best")), "_row", "left")
     hit = F.coalesce(-F.col("_best.near") >= least, F.lit(False))
     named = F.coalesce(F.regexp_like("path", F.lit(LICENSE_FILE)), F.lit(False))
-    return found.select(
+    return named_back(found.select(
         *kept, F.when(hit, F.col("_best.license")).alias("own_license"), F.coalesce(-F.col("_best.near"), F.lit(0.0)).alias("similarity"),
-        (hit & (named | F.coalesce(F.col("_best.words") >= file_share * F.col("_words"), F.lit(False)))).alias("licence_file"))
+        (hit & (named | F.coalesce(F.col("_best.words") >= file_share * F.col("_words"), F.lit(False)))).alias("licence_file")))
 
 
 def parent(path: Column) -> Column:
@@ -135,6 +136,7 @@ def inherited(files: DataFrame) -> DataFrame:
     Of several licence files in a directory the most similar holds (ties: first
     by license). Directories without files are no matter; a null path inherits nothing.
     """
+    files, named_back = spared(files, ["_dir", "_n"])
     files = files.withColumn("_dir", parent(F.col("path")))
     near = F.struct((-F.col("similarity")).alias("s"), F.col("own_license").alias("l"))
     holders = files.where("licence_file and path is not null").groupBy(F.col("_dir").alias("_holder")).agg(F.min(near).alias("_l"))
@@ -147,5 +149,5 @@ def inherited(files: DataFrame) -> DataFrame:
     nearest = steps.join(holders, "_holder").groupBy("_dir").agg(F.max_by(F.struct("_holder", "_license"), F.length("_holder")).alias("_n"))
     out = files.join(nearest, "_dir", "left")
     own = F.col("own_license").isNotNull()
-    return out.withColumn("license", F.coalesce("own_license", "_n._license")).withColumn(
-        "inherited_from", F.when(~own, F.col("_n._holder"))).drop("_dir", "_n")
+    return named_back(out.withColumn("license", F.coalesce("own_license", "_n._license")).withColumn(
+        "inherited_from", F.when(~own, F.col("_n._holder"))).drop("_dir", "_n"))

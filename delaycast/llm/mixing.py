@@ -15,6 +15,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .kit import spared
+
 #: The name under which all sources without a weight of their own share one.
 OTHERS = "*"
 
@@ -55,7 +57,8 @@ def mix(docs: DataFrame, weights: dict[str, int], others: int = 1, block_chars:
     names = [*weights, OTHERS]
     slots = pfair([*weights.values(), others])
     period = sum(map(len, slots))
-    docs = docs.drop("mix_source", "mix_start", "mix_block", "mix_slot", "_h", "_cell", "_n", "_sum", "_before", "_t")
+    docs = docs.drop("mix_source", "mix_start", "mix_block", "mix_slot")
+    docs, named = spared(docs, ["_h", "_cell", "_n", "_sum", "_before", "_t"])
     rows = docs.withColumns({
         "mix_source": F.when(F.col("source").isin(*weights) & (F.col("source") != OTHERS), F.col("source")).otherwise(F.lit(OTHERS)) if weights else F.lit(OTHERS),
         "_h": F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")),
@@ -75,7 +78,7 @@ def mix(docs: DataFrame, weights: dict[str, int], others: int = 1, block_chars:
     turn = F.size(own).cast("long")
     slot = F.floor(F.col("mix_block") / turn) * period + F.get(own, F.pmod("mix_block", turn).cast("int"))
     rows = rows.withColumn("mix_slot", slot.cast("long"))
-    return rows.select(*docs.columns, "mix_source", "mix_start", "mix_block", "mix_slot")
+    return named(rows.select(*docs.columns, "mix_source", "mix_start", "mix_block", "mix_slot"))
 
 
 def mixed_sql(weights: dict[str, int], others: int, block_chars: int) -> str:

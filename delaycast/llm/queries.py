@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import os
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, gru, jaccard, licenses, mixing, packing, pages, phrases, quality, rules, suffix, trie, viterbi
 from .kit import table
 
-#: Vocabulary files of public tokenizers; every machine has them in this folder.
-TOKENIZERS = "/opt/tokenizers"
+#: The folder of the vocabulary files of public tokenizers; every machine has it.
+TOKENIZERS = os.path.dirname(public_tokenizers.path("word_bpe_49k.json"))
 MIX_WEIGHTS = {"src0": 8, "src1": 6, "src2": 5, "src3": 4, "src4": 4, "src5": 3, "src6": 3, "src7": 2, "src8": 2, "src9": 1}
 MIX_OTHERS, MIX_BLOCK_CHARS = 12, 100_000
 

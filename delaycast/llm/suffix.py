@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from zstandard import ZstdCompressor, ZstdDecompressor
 
 from .hashing import Sums
-from .kit import lean, sorted_groups, stored
+from .kit import free_name, lean, sorted_groups, stored
 
 #: Bytes of an anchor.
 K = 40
@@ -294,7 +294,7 @@ def deduplicated(docs: DataFrame, length: int = 200, keep_text: bool = False) ->
         return base.select("doc_id", "key", "n_bytes", "sha").join(info, "key", "left").select(*columns)
     kept = F.when(gone, F.lit("")).otherwise(F.coalesce("kept", "raw")).alias("kept")
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    rows = docs.select(F.col("doc_id"), F.struct(F.lit(0).alias("_"), *others).alias("row"), F.coalesce("text", F.lit("")).alias("raw"))
+    rows = docs.select(F.col("doc_id"), F.struct(F.lit(0).alias(free_name("_", docs.columns)), *others).alias("row"), F.coalesce("text", F.lit("")).alias("raw"))
     rows = rows.withColumns({"sha": F.sha2(F.col("raw").cast("binary"), 256), "n_bytes": F.octet_length("raw").cast("long")})
     rows = rows.withColumn("key", F.unhex(F.substring("sha", 1, 32)))
     return rows.join(info, "key", "left").select(*columns, kept, "row")

@@ -11,7 +11,9 @@ import duckdb
 import pandas as pd
 import pytest
 
-from delaycast.llm import pages, phrases, queries, trie
+from pyspark.sql import functions as F
+
+from delaycast.llm import ann, jaccard, licenses, pages, phrases, queries, trie
 
 SF = "/root/testdata/sf0.001"
 
@@ -214,3 +216,34 @@ def test_pages_query_equals_brute_force(spark):
         parts = re.split(r"</?(?:p|h1|br)[^>]*>", re.search(r"<article>(.*?)</article>", r["html"], re.S)[1])
         want = " ".join(x for x in (" ".join(unescape(re.sub("<[^>]*>", "", p)).split()) for p in parts) if x)
         assert (got[r["page_id"]]["text"], got[r["page_id"]]["n_chars"]) == (want, len(want))
+
+
+# ---- rows and columns that earlier versions lost or replaced
+
+def test_one_of_each_keeps_different_texts_of_one_id(spark):
+    a, b = "one two three four five six", "quite another text of some more words"
+    rows = [(1, a), (1, b), (2, a), (1, a), (3, ""), (3, None), (4, ""), (None, a)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, text_key string")
+    got = sorted(((r["doc_id"], r["text"] or "") for r in jaccard.one_of_each(docs).collect()), key=repr)
+    assert got == sorted([(1, a), (1, b), (3, ""), (4, ""), (None, a)], key=repr)
+
+
+def test_vectors_of_one_id_are_all_candidates(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.1]), (1, [0.0, 1.0]), (0, [1.0, 0.2])]
+    got = ann.neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, k=3).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], round(r["score"], 3)) for r in got) == sorted(
+        [(0, 1, 1, 0.995), (0, 2, 0, 0.981), (0, 3, 1, 0.0), (0, 1, 1, 0.995), (0, 2, 0, 0.981), (0, 3, 1, 0.196)])
+
+
+def test_columns_named_like_the_operators_own_stay(spark):
+    import corpus_pipeline as p
+
+    names = ["_n", "_h", "_t", "_sum", "_cell", "_before", "mix_slot", "quality_score", "_", "_units", "_row", "_dir", "text_key"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    docs = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in names})
+    for stage in (p.good_quality, p.near_copies, p.repeats, p.mixture):
+        rows = stage(spark, docs, SF).collect()
+        assert rows and all(r[c] == f"{c}{r['doc_id']}" for r in rows for c in names), stage
+        assert stage(spark, docs, SF).columns == docs.columns
+    files = docs.select(F.col("doc_id"), F.concat(F.lit("/a/"), "doc_id").alias("path"), "text", *names)
+    assert all(r[c] == f"{c}{r['doc_id']}" for r in licenses.inherited(licenses.scanned(files)).collect() for c in names)
