@@ -10,15 +10,16 @@ packed       pieces of documents in sequences of 4096 tokens (the result)
 from pyspark.sql import functions as F
 
 from delaycast.llm import jaccard, mixing, packing, quality, queries, suffix
-from delaycast.llm.kit import ship, stored, table
+from delaycast.llm.kit import ship, spared, stored, table
 
 
 def good_quality(spark, docs, sf_dir):
-    """Learns from the labels of the training folds; a null text is scored as an empty one."""
+    """Learns from the labels of the training folds; a null text is scored as an empty one. A column of the score's name stays as it is."""
     ship(spark)
     labels = table(spark, sf_dir, "labels").where(queries.fold("doc_id", 5) != 0)
     model = quality.fit(docs, labels)
-    return quality.score(docs, model).where(F.col(quality.SCORE) >= 0.3).select(*docs.columns)
+    rows, named = spared(docs, [quality.SCORE])
+    return named(quality.score(rows, model).where(F.col(quality.SCORE) >= 0.3).drop(quality.SCORE)).select(*docs.columns)
 
 
 def near_copies(spark, docs, sf_dir):
@@ -34,10 +35,12 @@ def repeats(spark, docs, sf_dir):
 
 
 def mixture(spark, docs, sf_dir):
-    """All rows, range-partitioned and sorted by slot, so that reading the files in order is reading the mixture."""
-    mixed = mixing.mix(docs, queries.MIX_WEIGHTS, queries.MIX_OTHERS, queries.MIX_BLOCK_CHARS)
+    """All rows, range-partitioned and sorted by slot, so that reading the files in order is reading the mixture. Columns of the schedule's names stay as they are."""
+    new = ["mix_source", "mix_start", "mix_block", "mix_slot"]
+    rows, named = spared(docs, new)
+    mixed = mixing.mix(rows, queries.MIX_WEIGHTS, queries.MIX_OTHERS, queries.MIX_BLOCK_CHARS)
     order = ["mix_slot", "mix_start", "doc_id"]
-    return mixed.repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)
+    return named(mixed.repartitionByRange(*order).sortWithinPartitions(*order).drop(*new)).select(*docs.columns)
 
 
 def packed(spark, docs, sf_dir):
