@@ -302,7 +302,7 @@ def counted(rows: DataFrame, least: int, range_words: int = RANGE_WORDS, shard_w
 
     shards = stored(rows.mapInPandas(lean(build), "lang string, range int, n long, data binary"), "automata")
     totals = shards.groupBy("lang").agg(F.sum("n").alias("n"))
-    met = shards.select("lang", "range", "data").repartition("range", "lang").sortWithinPartitions("range", "lang")
+    met = shards.select("lang", "range", "data").repartition(len(cuts) + 1, "range", "lang").sortWithinPartitions("range", "lang")  # about a range for each task
     found = met.mapInPandas(lean(union), "lang string, words binary, size int, f long")
     found = found.groupBy("lang", "words", "size").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
     return stored(found, "phrases"), totals
