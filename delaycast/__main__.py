@@ -48,6 +48,7 @@ def main(argv: list[str] | None = None) -> None:
     st.add_argument("--format", default="kafka")
     st.add_argument("--max-offsets", type=int, default=None)
     st.add_argument("--trigger", default="30 seconds")
+    st.add_argument("--table", default=None, help="keyed table by date that the batch folders of --out are folded into")
     args = ap.parse_args(argv)
 
     spark = _spark()
@@ -64,7 +65,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "stream":
         from .sources import readers as R
         from .sources.sinks import load_model
-        from .streaming.jobs import production_stream
+        from .streaming.jobs import production_stream, reject_stream
 
         def src(topic):
             if args.format == "kafka":
@@ -72,10 +73,11 @@ def main(argv: list[str] | None = None) -> None:
                 return R.message_text(R.read_stream(spark, "kafka", opts))
             return R.read_stream(spark, args.format, {"maxFilesPerTrigger": "1"}, path=topic)
 
-        q = production_stream(src(args.bus_topic), src(args.obs_topic), src(args.fc_topic),
-                              load_model(args.model), args.out, args.checkpoint,
-                              trigger={"processingTime": args.trigger})
-        q.awaitTermination()
+        feeds = [src(args.bus_topic), src(args.obs_topic), src(args.fc_topic)]
+        every = {"processingTime": args.trigger}
+        production_stream(*feeds, load_model(args.model), args.out, args.checkpoint, trigger=every, fold_into=args.table)
+        reject_stream(*feeds, f"{args.out.rstrip('/')}_rejects", f"{args.checkpoint.rstrip('/')}_rejects", trigger=every)
+        spark.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":

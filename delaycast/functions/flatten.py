@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ._util import as_col
 
@@ -18,27 +18,35 @@ def parse_json(df: DataFrame, text_col: str, schema: StructType, keep: list[str]
                corrupt_col: str | None = "_corrupt") -> DataFrame:
     """JSON text -> declared struct, star-expanded.
 
-    Malformed text gives null fields; ``corrupt_col`` flags those rows so a
-    reject branch can count or route them (rows are never dropped here).
+    Malformed text, and JSON of another shape than ``schema``, gives null fields; ``corrupt_col``
+    flags those rows so a reject branch can count or route them (rows are never dropped here).
+    The flag comes from the parse itself: the text that did not fit is a field of the result.
     """
     t = F.col(text_col)
     cols = [F.col(k) for k in (keep or [])]
-    cols.append(F.from_json(t, schema).alias("_v"))
     if corrupt_col:
-        cols.append((t.isNotNull() & F.get_json_object(t, "$").isNull()).alias(corrupt_col))
+        with_text = StructType([*schema.fields, StructField("_unfit", StringType())])
+        cols.append(F.from_json(t, with_text, {"columnNameOfCorruptRecord": "_unfit"}).alias("_v"))
+    else:
+        cols.append(F.from_json(t, schema).alias("_v"))
     out = df.select(*cols)
     rest = [F.col(k) for k in (keep or [])] + [F.col(f"_v.{f.name}") for f in schema.fields]
     if corrupt_col:
-        rest.append(F.col(corrupt_col))
+        rest.append(F.col("_v._unfit").isNotNull().alias(corrupt_col))
     return out.select(*rest)
 
 
+def rejected(df: DataFrame, text_col: str, schema: StructType) -> DataFrame:
+    """The messages that ``parse_json`` flags, as they came. A null message is none of them."""
+    unfit = F.from_json(F.col(text_col), StructType([*schema.fields, StructField("_unfit", StringType())]), {"columnNameOfCorruptRecord": "_unfit"})
+    return df.where(unfit["_unfit"].isNotNull())
+
+
 def split_rejects(df: DataFrame, text_col: str, schema: StructType,
                   keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(parsed rows, messages that are no JSON). A null message is parsed to nulls."""
-    t = F.col(text_col)
-    bad = t.isNotNull() & F.get_json_object(t, "$").isNull()
-    return parse_json(df.where(~bad), text_col, schema, keep, corrupt_col=None), df.where(bad)
+    """(parsed rows, messages that do not fit ``schema``). A null message is parsed to nulls."""
+    good = parse_json(df, text_col, schema, keep, corrupt_col="_bad").where("not _bad").drop("_bad")
+    return good, rejected(df, text_col, schema)
 
 
 def explode_rows(df: DataFrame, array_col: str, alias: str | None = None, outer: bool = False,

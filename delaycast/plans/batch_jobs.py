@@ -37,10 +37,21 @@ def lookback(anchor: dt.datetime | None = None, hours: int = 2, days: int = 1) -
     return h.strftime("%Y-%m-%d"), h.strftime("%H"), d.strftime("%Y-%m-%d")
 
 
+class UnreadableFiles(RuntimeError):
+    """No file of a load could be read, though there are some."""
+
+
+def listed(spark: SparkSession, src_dir: str, glob: str) -> DataFrame:
+    """file and size of the files of a load, from the listing alone (their content is not read)."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(src_dir)
+    return files.select(F.col("path").alias("file"), F.col("length").alias("size"))
+
+
 def _scan(spark: SparkSession, src_dir: str, glob: str, schema: StructType) -> DataFrame:
     """Parquet keeps its own (footer) schema - physical types may differ from
     the declared JSON schema (double vs float) and columns are cast after
-    flattening. No matching file -> empty frame with the declared schema."""
+    flattening. No matching file -> empty frame with the declared schema; files
+    of which none has a readable schema -> ``UnreadableFiles``."""
     from pyspark.errors import AnalysisException
     try:
         return R.read_files_by_name(spark, src_dir, glob, recursive=True, merge_schema=True)
@@ -48,9 +59,22 @@ def _scan(spark: SparkSession, src_dir: str, glob: str, schema: StructType) -> D
         # nothing matched: no such folder, or no file to take a schema from
         if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA" and (n := listed(spark, src_dir, glob).count()):
+            raise UnreadableFiles(f"{n} files match {glob} under {src_dir}, and none can be read") from e
         return spark.createDataFrame([], schema)
 
 
+def note_skipped(raw: DataFrame, spark: SparkSession, src_dir: str, glob: str, out_path: str, load: str) -> None:
+    """The files of a load that gave no row (corrupt or empty ones), by name and size, in
+    ``{out_path}_skipped/load=...``, replaced when the same load runs again."""
+    if not raw.inputFiles():
+        return
+    read = raw.select(F.col("_metadata.file_path").alias("file")).distinct()
+    name = F.regexp_replace("file", "^file:/+", "file:/")  # listing and scan write local paths differently
+    skipped = listed(spark, src_dir, glob).withColumn("_f", name).join(read.select(name.alias("_f")).distinct(), "_f", "left_anti").drop("_f")
+    skipped.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}_skipped/load={load}")
+
+
 def store(table: DataFrame, out_path: str, load: str, order: list[str]) -> None:
     """Upsert the rows with a readable time; the others go to ``{out_path}_rejects/load=...``,
     replaced when the same load runs again. Never dropped, and never merged under one key."""
@@ -90,9 +114,11 @@ def load_positions_hour(spark: SparkSession, src_dir: str, out_path: str,
                         anchor: dt.datetime | None = None, prefix: str = R.POSITIONS_PREFIX) -> DataFrame:
     """PB: files of the look-back hour -> positions table (upsert by key)."""
     date, hour, _ = lookback(anchor)
-    raw = _scan(spark, src_dir, R.hourly_glob(prefix, date, hour), schemas.POSITIONS)
+    glob = R.hourly_glob(prefix, date, hour)
+    raw = _scan(spark, src_dir, glob, schemas.POSITIONS)
     table = positions_table(raw).withColumn("date", F.to_date("timestamp_utc"))
     store(table, out_path, f"{date}-{hour}", ["lastUpdate"])
+    note_skipped(raw, spark, src_dir, glob, out_path, f"{date}-{hour}")
     return table
 
 
@@ -100,7 +126,9 @@ def load_weather_day(spark: SparkSession, src_dir: str, out_path: str,
                      anchor: dt.datetime | None = None, prefix: str = R.OBSERVATION_PREFIX) -> DataFrame:
     """WB: observation files of the look-back day -> weather table."""
     _, _, day = lookback(anchor)
-    raw = _scan(spark, src_dir, R.daily_glob(prefix, day), schemas.OBSERVATION)
+    glob = R.daily_glob(prefix, day)
+    raw = _scan(spark, src_dir, glob, schemas.OBSERVATION)
     table = weather_table(raw).withColumn("date", F.to_date("timestamp_utc"))
     store(table, out_path, day, ["timestamp_utc"])
+    note_skipped(raw, spark, src_dir, glob, out_path, day)
     return table

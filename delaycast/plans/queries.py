@@ -485,6 +485,42 @@ def q_keyed_merge(spark, d):
                       "event_id", ntz("ts").alias("ts"), "value")
 
 
+def q_stream_upsert(spark, d):
+    """Three files with overlapping hours, a stream batch each; every two batches are folded into
+    the table by day, and table and waiting batches read as one row a key."""
+    ev = events(spark, d).withColumn("day", F.to_date("ts")).select(
+        F.concat_ws("_", F.date_format("day", "yyyy-MM-dd"), F.col("user_id").cast("string")).alias("row_key"),
+        "user_id", "day", "event_id", "ts", "value")
+    base = S.shared_dir(spark, "stream_upsert")
+    for part in (F.hour("ts") >= 12, F.hour("ts").between(6, 16), F.hour("ts") < 10):
+        ev.where(part).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = R.read_stream(spark, "parquet", {"maxFilesPerTrigger": "1"}, ev.schema, f"{base}/in")
+    keys = ("row_key", ["ts", "event_id"])
+    write = K.folding_writer(f"{base}/batches", f"{base}/table", *keys, partition_by=["day"], every=2)
+    K.start_stream(stream, f"{base}/_checkpoint", foreach_batch=write, trigger={"availableNow": True}).awaitTermination()
+    out = K.current_rows(spark, f"{base}/batches", f"{base}/table", *keys)
+    out = spark.createDataFrame([], ev.schema) if out is None else out
+    return out.select("row_key", "user_id", F.date_format("day", "yyyy-MM-dd").alias("day"), "event_id", ntz("ts").alias("ts"), "value")
+
+
+def q_stream_rejects(spark, d):
+    """P2/S11 over a stream: the messages of two feeds that do not fit go to a table of their own."""
+    from ..streaming import jobs
+    base = S.shared_dir(spark, "stream_rejects")
+    _spoiled(spark, d).select(F.col("props").alias("value"), "event_type").write.parquet(f"{base}/in")
+    msgs = R.read_stream(spark, "parquet", None, StructType([StructField("value", StringType()), StructField("event_type", StringType())]), f"{base}/in")
+    schema = StructType([StructField("k", StringType(), True)])
+    clicks = F.col("event_type") == "click"
+    bad = jobs.rejected_messages({"clicks": (msgs.where(clicks), schema), "others": (msgs.where(~clicks | F.col("event_type").isNull()), schema)})
+    return jobs.run_to_table(bad, "rejects").groupBy("feed").agg(F.count("*").alias("n_rejected"), F.countDistinct("value").alias("n_texts"))
+
+
+O_STREAM_REJECTS = """
+WITH m AS (SELECT CASE WHEN event_type = 'click' THEN 'clicks' ELSE 'others' END AS feed,
+                  CASE WHEN event_id % 7 = 0 THEN left(props, length(props) - 1) ELSE props END AS t FROM events)
+SELECT feed, count(*) AS n_rejected, count(DISTINCT t) AS n_texts FROM m WHERE t IS NOT NULL AND NOT json_valid(t) GROUP BY feed"""
+
+
 def q_constant_corr(spark, d):
     """A8 with a factor that never changes: null, not a fault."""
     ev = events(spark, d).withColumn("one", F.lit(1.0))
@@ -1014,6 +1050,8 @@ QUERIES = {
     "dedup_first": q_dedup_first,
     "keyed_upsert": q_keyed_upsert,
     "keyed_merge": q_keyed_merge,
+    "stream_upsert": q_stream_upsert,
+    "stream_rejects": q_stream_rejects,
     "constant_corr": q_constant_corr,
     "partial_key_range": q_partial_key_range,
     "latest_overall": q_latest_overall,
@@ -1068,6 +1106,8 @@ ORACLES = {
     "dedup_first": O_DEDUP_FIRST,
     "keyed_upsert": O_KEYED_UPSERT,
     "keyed_merge": O_KEYED_UPSERT,
+    "stream_upsert": O_KEYED_UPSERT,
+    "stream_rejects": O_STREAM_REJECTS,
     "constant_corr": O_CONSTANT_CORR,
     "partial_key_range": O_PARTIAL_KEY_RANGE,
     "latest_overall": O_LATEST_OVERALL,

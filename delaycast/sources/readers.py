@@ -42,9 +42,11 @@ def read_stream(spark: SparkSession, fmt: str, options: dict | None = None,
     return r.load(path) if path else r.load()
 
 
-def message_text(df: DataFrame, col: str = "value") -> DataFrame:
-    """P1 at the source: broker bytes -> text column ``value``."""
-    return df.select(F.col(col).cast("string").alias("value"))
+def message_text(df: DataFrame, col: str = "value", time_col: str = "timestamp") -> DataFrame:
+    """P1 at the source: broker bytes -> text column ``value``, and ``fetched``, the message's own
+    time in microseconds (null without ``time_col``): of two fetches the later one is known by it."""
+    time = F.unix_micros(F.col(time_col).cast("timestamp")) if time_col in df.columns else F.lit(None).cast("long")
+    return df.select(F.col(col).cast("string").alias("value"), time.alias("fetched"))
 
 
 # ---------------------------------------------------------------- files

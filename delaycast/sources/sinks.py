@@ -8,13 +8,15 @@ overwrites its own output instead of doubling it.
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import BooleanType, DateType, NumericType, StringType, StructType, TimestampNTZType, TimestampType
 
 from ..operators.dedup import latest_by_key
-from ..session import shared_dir
 
 
 def keyed_upsert(df: DataFrame, key_col: str, order: list[str]) -> DataFrame:
@@ -41,48 +43,192 @@ def _stored(spark: SparkSession, path: str, schema) -> DataFrame | None:
         return None
 
 
+# ---------------------------------------------------------------- commits of a keyed table
+
+def _side(path: str, name: str) -> str:
+    """A file or folder that belongs to the table at ``path`` but is no part of it."""
+    return f"{path.rstrip('/')}_commit/{name}"
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of ``path``, and ``path`` as it takes it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def _read_json(spark: SparkSession, path: str) -> dict | None:
+    fs, at = _files(spark, path)
+    if not fs.exists(at):
+        return None
+    stream = fs.open(at)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _write_json(spark: SparkSession, path: str, value: dict) -> None:
+    """The whole file or none of it: written under another name, then renamed."""
+    fs, at = _files(spark, path)
+    part = _files(spark, f"{path}.{uuid.uuid4().hex[:12]}.part")[1]
+    stream = fs.create(part)
+    try:
+        stream.write(bytearray(json.dumps(value).encode()))
+    finally:
+        stream.close()
+    fs.delete(at, False)
+    if not fs.rename(part, at):
+        raise OSError(f"{path} cannot be written")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, at = _files(spark, path)
+    fs.delete(at, True)
+
+
+def finish_commit(spark: SparkSession, path: str) -> bool:
+    """Put the load that is committed but not yet in place into the table at ``path``; True if there was one.
+
+    Doing so again changes nothing: the staged folder holds the touched partitions whole.
+    """
+    pending = _read_json(spark, _side(path, "pending.json"))
+    if pending is None:
+        return False
+    w = spark.read.schema(StructType.fromJson(pending["schema"])).parquet(pending["staging"]).write.mode("overwrite")
+    if pending["partition_by"]:
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*pending["partition_by"])
+    w.parquet(path)
+    if pending["folded"] is not None:
+        _write_json(spark, _side(path, "folded.json"), {"upto": pending["folded"]})
+    _delete(spark, _side(path, "pending.json"))
+    _delete(spark, _side(path, "staging"))
+    return True
+
+
+def touched_rows(old: DataFrame, new: DataFrame, partition_by: list[str], most: int = 10_000) -> DataFrame:
+    """The rows of ``old`` in the partitions of ``new``. Up to ``most`` of them are named in the
+    filter, which then prunes the folders that the scan lists; beyond that a join finds them."""
+    values = new.select(*partition_by).distinct()
+    named = values.limit(most + 1).collect()
+    if len(named) <= most:
+        for c in partition_by:
+            of_c = sorted({r[c] for r in named if r[c] is not None})
+            null = F.col(c).isNull() if any(r[c] is None for r in named) else F.lit(False)
+            old = old.where((F.col(c).isin(of_c) | null) if of_c else null)
+        if len(partition_by) == 1:
+            return old
+    same = [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in partition_by]
+    return old.join(values.select(*[F.col(c).alias(f"_t_{c}") for c in partition_by]), same, "left_semi")
+
+
 def write_keyed(df: DataFrame, path: str, key_col: str, order: list[str],
-                partition_by: list[str] | None = None) -> None:
+                partition_by: list[str] | None = None, folded: int | None = None) -> None:
     """K1/K2: upsert by key. Stored rows of other keys stay; of one key the newest by
     ``order`` stays (ties by the other columns), whichever load brings it, so loads may
     overlap, come late or run again. Rows with a null key are not stored: split them off before.
 
     Only the partitions that the new rows touch are read and rewritten (a key has one
-    partition value). They are written to a staging folder first, then put in place by
-    dynamic partition overwrite; a load that dies in between is repeated from there or anew.
+    partition value). Their new state is staged beside the table, in ``{path}_commit``; one
+    small file, ``pending.json``, commits it, and ``finish_commit`` puts it in place. A load
+    that dies before that file is there leaves the table as it was; one that dies after it
+    is finished by the next ``write_keyed`` or ``read_keyed``. One load at a time.
     """
     spark = df.sparkSession
-    new = df.where(F.col(key_col).isNotNull())
+    finish_commit(spark, path)
+    _delete(spark, _side(path, "staging"))  # of a load that died before it was committed
     keep = _total_order(df, key_col, order)
+    new = keyed_upsert(df.where(F.col(key_col).isNotNull()), key_col, keep).select(*df.columns)
+    new.write.parquet(_side(path, "staging/new"))
+    new = spark.read.schema(df.schema).parquet(_side(path, "staging/new"))
     old = _stored(spark, path, df.schema)
     if old is not None:
-        if partition_by:
-            touched = new.select(*[F.col(c).alias(f"_t_{c}") for c in partition_by]).distinct()
-            same = [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in partition_by]
-            old = old.join(touched, same, "left_semi")
+        old = touched_rows(old, new, partition_by) if partition_by else old
         new = old.select(*df.columns).unionByName(new)
-    staging = shared_dir(spark, "upsert")
-    keyed_upsert(new, key_col, keep).select(*df.columns).write.parquet(staging)
-    w = spark.read.schema(df.schema).parquet(staging).write.mode("overwrite")
-    if partition_by:
-        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
-    w.parquet(path)
+    keyed_upsert(new, key_col, keep).select(*df.columns).write.parquet(_side(path, "staging/all"))
+    _write_json(spark, _side(path, "pending.json"), {"staging": _side(path, "staging/all"), "partition_by": partition_by,
+                                                     "schema": json.loads(df.schema.json()), "folded": folded})
+    finish_commit(spark, path)
 
 
 def read_keyed(spark: SparkSession, path: str, key_col: str, order: list[str]) -> DataFrame:
-    """Read a keyed table (S8 source); batches written more than once are
-    reduced to the latest row per key again."""
+    """Read a keyed table (S8 source) after finishing a committed load; batches written
+    more than once are reduced to the latest row per key again."""
+    finish_commit(spark, path)
     df = spark.read.parquet(path)
     return keyed_upsert(df, key_col, _total_order(df, key_col, order))
 
 
+# ---------------------------------------------------------------- batch folders of a stream
+
+def batches_after(spark: SparkSession, src: str, upto: int) -> list[int]:
+    """The numbers of the batch folders (``batch_id=N``) under ``src`` that come after ``upto``, ascending."""
+    fs, at = _files(spark, src)
+    if not fs.exists(at):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory()]
+    ids = [int(n.split("=", 1)[1]) for n in names if n.startswith("batch_id=")]
+    return sorted(i for i in ids if i > upto and fs.exists(_files(spark, f"{src}/batch_id={i}/_SUCCESS")[1]))
+
+
+def folded_upto(spark: SparkSession, dst: str) -> int:
+    """The last batch that the table at ``dst`` holds, -1 if none."""
+    ledger = _read_json(spark, _side(dst, "folded.json"))
+    return -1 if ledger is None else ledger["upto"]
+
+
+def fold_batches(spark: SparkSession, src: str, dst: str, key_col: str, order: list[str],
+                 partition_by: list[str] | None = None, least: int = 1, delete: bool = False) -> int:
+    """K3: fold the batch folders of a stream into the keyed table ``dst`` if there are at
+    least ``least`` new ones; how many were folded.
+
+    The ledger of folded batches is part of the same commit, so a batch is folded once,
+    however often this runs or the stream repeats it. With ``delete`` the folders of
+    folded batches go.
+    """
+    finish_commit(spark, dst)
+    new = batches_after(spark, src, folded_upto(spark, dst))
+    if new and len(new) >= least:
+        df = spark.read.parquet(*[f"{src}/batch_id={i}" for i in new])
+        write_keyed(df, dst, key_col, order, partition_by, folded=new[-1])
+    done = folded_upto(spark, dst)
+    for i in batches_after(spark, src, -1) if delete else []:
+        if i <= done:
+            _delete(spark, f"{src}/batch_id={i}")
+    return len(new) if len(new) >= least else 0
+
+
+def current_rows(spark: SparkSession, src: str, dst: str, key_col: str, order: list[str]) -> DataFrame | None:
+    """One row per key of the table ``dst`` and the batch folders not yet folded; None if there are none of either."""
+    finish_commit(spark, dst)
+    parts = [f"{src}/batch_id={i}" for i in batches_after(spark, src, folded_upto(spark, dst))]
+    frames = [spark.read.parquet(*parts)] if parts else []
+    fs, at = _files(spark, dst)
+    if fs.exists(at):
+        frames.append(spark.read.parquet(dst))
+    if not frames:
+        return None
+    out = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1].select(*frames[0].columns))
+    return keyed_upsert(out, key_col, _total_order(out, key_col, order)).select(*out.columns)
+
+
+def folding_writer(src: str, dst: str, key_col: str, order: list[str], partition_by: list[str] | None = None, every: int = 16):
+    """K3: ``foreachBatch`` function that writes a batch folder under ``src`` and, whenever ``every``
+    of them wait, folds them into ``dst``; so no reader meets more than ``every`` folders."""
+    write = batch_writer(src, key_col, order)
+
+    def write_and_fold(batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        if batch_id > folded_upto(spark, dst):  # else a repeated batch that the table holds
+            write(batch_df, batch_id)
+        fold_batches(spark, src, dst, key_col, order, partition_by, least=every, delete=True)
+    return write_and_fold
+
+
 def compact_keyed(spark: SparkSession, src: str, dst: str, key_col: str, order: list[str],
                   partition_by: list[str] | None = None) -> None:
-    """Fold the per-batch folders a stream wrote (``batch_id=N``) into one
-    latest-per-key table, partitioned (e.g. by date) for pruning. Rows that the
-    table holds already stay; re-running changes nothing."""
-    df = spark.read.parquet(src).drop("batch_id")
-    write_keyed(df, dst, key_col, order, partition_by=partition_by)
+    """Fold the batch folders that a stream wrote into one latest-per-key table,
+    partitioned (e.g. by date) for pruning; re-running changes nothing."""
+    fold_batches(spark, src, dst, key_col, order, partition_by)
 
 
 def to_families(df: DataFrame, families: dict[str, list[str]], key_col: str) -> DataFrame:

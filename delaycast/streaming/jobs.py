@@ -10,8 +10,11 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from .. import schemas
 from .. import session as S
+from ..functions import flatten as P
 from ..functions import timeops as T
 from ..sources import readers as R
 from ..sources import sinks as K
@@ -86,13 +89,15 @@ def dedup_events_stream(spark: SparkSession, sf_dir: str, watermark: str = "20 s
 
 def production_stream(bus_msgs: DataFrame, obs_msgs: DataFrame, fc_msgs: DataFrame, model,
                       out_path: str, checkpoint: str, watermark: str = "20 seconds",
-                      salt_buckets: int | None = None, trigger: dict | None = None, also=None):
+                      salt_buckets: int | None = None, trigger: dict | None = None, also=None,
+                      fold_into: str | None = None, fold_every: int = 16):
     """The full stream: three message feeds -> flatten -> enrich (T1-T5) ->
     serving features (C22) -> model transform (M8, JVM) -> keyed upsert sink
     written per micro-batch by the executors (K3), one query (T7), explicit
     checkpoint (T10). ``also`` is a second batch function, such as
-    ``sinks.peek_writer()``, fed by the same batches. Returns the running
-    ``StreamingQuery``."""
+    ``sinks.peek_writer()``, fed by the same batches. With ``fold_into``, a table
+    partitioned by ``date``, every ``fold_every`` batch folders are folded into it, so that
+    a key is one row whichever batches bring it. Returns the running ``StreamingQuery``."""
     from ..plans.features import serving_features
     from .enrich import flatten_forecast, flatten_observation, flatten_positions, stream_table
     spark = bus_msgs.sparkSession
@@ -101,11 +106,34 @@ def production_stream(bus_msgs: DataFrame, obs_msgs: DataFrame, fc_msgs: DataFra
     scored = model.transform(serving_features(table))
     keep = [c for c in table.columns] + ["prediction"]
     out = scored.select(*keep)
-    write = K.batch_writer(out_path, "row_key", ["bus_lastUpdate"])
+    if fold_into:
+        out = out.withColumn("date", F.to_date("bus_timestamp_utc"))
+        write = K.folding_writer(out_path, fold_into, "row_key", ["bus_lastUpdate"], ["date"], fold_every)
+    else:
+        write = K.batch_writer(out_path, "row_key", ["bus_lastUpdate"])
     return K.start_stream(out, checkpoint, foreach_batch=K.fan_out(write, also) if also else write,
                           trigger=trigger or {"availableNow": True})
 
 
+def rejected_messages(feeds: dict[str, tuple[DataFrame, StructType]], text_col: str = "value") -> DataFrame:
+    """The messages of all feeds (name: messages, declared schema) that do not fit, as (feed, value)."""
+    parts = [P.rejected(msgs.select(F.col(text_col).alias("value")), "value", schema).select(F.lit(name).alias("feed"), "value")
+             for name, (msgs, schema) in feeds.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def reject_stream(bus_msgs: DataFrame, obs_msgs: DataFrame, fc_msgs: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None):
+    """The dead letters of the three feeds of ``production_stream``: every message that does not
+    fit its schema, with the feed it came from, in a table of its own. Stateless, so a query
+    beside the enriched one, with its own checkpoint; a repeated batch replaces its folder."""
+    bad = rejected_messages({"positions": (bus_msgs, schemas.POSITIONS), "observations": (obs_msgs, schemas.OBSERVATION),
+                             "forecasts": (fc_msgs, schemas.FORECAST)})
+    return K.start_stream(bad, checkpoint, foreach_batch=K.batch_writer(out_path), trigger=trigger or {"availableNow": True})
+
+
 def stop_gracefully(query, timeout_s: float = 60.0) -> None:
     """Let the running batch finish (bounded wait), then stop."""
     query.awaitTermination(timeout_s)

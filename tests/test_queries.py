@@ -86,11 +86,11 @@ _TYPES = {"LongType()": "BIGINT", "IntegerType()": "INTEGER", "DoubleType()": "D
           "TimestampNTZType()": "TIMESTAMP", "BooleanType()": "BOOLEAN", "DateType()": "DATE"}
 
 
-@pytest.mark.parametrize("name", [n for n in E.oracle_sql() if n not in STREAMING])
+@pytest.mark.parametrize("name", [n for n in ORACLES if n not in STREAMING])
 def test_output_types_match_oracle(spark, duck, name):
     spark_types = {f.name: _TYPES.get(repr(f.dataType), repr(f.dataType))
                    for f in QUERIES[name](spark, SF).schema.fields}
-    rel = duck.sql(E.oracle_sql()[name])
+    rel = duck.sql(ORACLES[name])
     assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
 
 
