@@ -1,7 +1,8 @@
 """Aggregations and distribution summaries.
 
 Everything is a grouped aggregate with map-side combine; bin edges and
-bounds enter as scalar subqueries, never through driver loops.
+bounds enter as scalar subqueries. Only the exact quantiles need passes, a
+few however many rows there are.
 """
 
 from __future__ import annotations
@@ -119,24 +120,86 @@ def factor_table(df: DataFrame, pairs: dict[str, tuple[str, str]], digits: int =
     return wide.selectExpr(f"stack({len(pairs)}, {stack}) as (factor, correlation)")
 
 
+def _between(values: str, n: Column, p: float) -> Column:
+    """The quantile ``p`` of a sorted array of ``n`` values, linearly interpolated."""
+    pos = F.lit(p) * (n - 1)
+    low, high = F.floor(pos), F.ceil(pos)
+    at = lambda i: F.get(values, i.cast("int"))
+    return F.when(low == high, at(low)).otherwise((high - pos) * at(low) + (pos - low) * at(high))
+
+
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, ps: list[float], most: int = 100_000,
+                    cells: int = 64) -> DataFrame:
+    """Keys, ``n`` and ``q0``, ``q1``, ... : the quantiles ``ps`` of every group, linearly interpolated.
+
+    Selection by rank, exact for any values: a group's wanted ranks lie in a range of values, which each
+    pass cuts at some ``cells`` approximate quantiles. The rows of every cell, and of every
+    cut itself, are counted, and only the cells that hold a wanted rank are kept. Once they have
+    at most ``most`` rows, these are sorted. So no task ever holds more of a group than some
+    2 * ``cells`` counts, a sketch, or ``most`` values; the passes grow with the logarithm of the largest
+    group. Rows with a null value or key take no part.
+    """
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull()).dropna(subset=keys)
+    largest = rows.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest <= most:  # every group is small: no need to narrow it down
+        whole = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.sort_array(F.collect_list("_v")).alias("_vs"))
+        return whole.select(*keys, "n", *[_between("_vs", F.col("n"), p).alias(f"q{i}") for i, p in enumerate(ps)])
+    per = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    ranks = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("p")) for i, p in enumerate(ps)])
+    want = per.withColumn("_w", F.explode(ranks)).withColumn("_pos", F.col("_w.p") * (F.col("n") - 1))
+    ends = F.array_distinct(F.array(F.floor("_pos").cast("long"), F.ceil("_pos").cast("long")))
+    want = want.withColumns({"_i": F.col("_w.i"), "_at": F.explode(ends), "_below": F.lit(0).cast("long"), "_in": F.col("n")}).drop("_w")
+    want = durable(want, "ranks")
+    cut_at = [i / cells for i in range(1, cells)]
+    bounds = [*keys, "_lo", "_hi"]
+    wide = (F.col("_in") > most) & (F.col("_lo") < F.col("_hi"))
+
+    def rows_of(some: DataFrame) -> DataFrame:
+        ranges = some.select(*bounds).distinct()
+        return rows.join(sized_broadcast(ranges), keys).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+
+    while want.where(wide).limit(1).count():
+        open_ = want.where(wide)
+        part = rows_of(open_)
+        cuts = part.groupBy(*bounds).agg(F.percentile_approx("_v", cut_at, 20 * cells).alias("_cuts"))
+        cuts = durable(cuts.withColumn("_cuts", F.sort_array(F.array_distinct("_cuts"))), "cuts")
+        part = rows.join(sized_broadcast(cuts), keys).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        upto = F.size(F.filter("_cuts", lambda c: c <= F.col("_v")))  # a cell of its own for each cut, and one after it
+        part = part.withColumn("_cell", 2 * upto - (F.array_contains("_cuts", F.col("_v"))).cast("int"))
+        found = part.groupBy(*bounds, "_cell").agg(F.count("*").alias("_m"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+        before = Window.partitionBy(*bounds).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+        found = found.withColumn("_before", F.coalesce(F.sum("_m").over(before), F.lit(0)))
+        here = F.col("_at") - F.col("_below") - F.col("_before")
+        inner = open_.join(found, bounds).where((here >= 0) & (here < F.col("_m")))
+        inner = inner.withColumns({"_below": F.col("_below") + F.col("_before"), "_in": F.col("_m")}).drop("_lo", "_hi")
+        inner = inner.withColumnsRenamed({"_min": "_lo", "_max": "_hi"}).select(*want.columns)
+        want = durable(want.where(~wide).unionByName(inner), "ranks")
+    few = want.where(F.col("_lo") < F.col("_hi"))
+    values = rows_of(few).groupBy(*bounds).agg(F.sort_array(F.collect_list("_v")).alias("_vs"))
+    want = want.join(values, bounds, "left").withColumn("_x", F.coalesce(F.get("_vs", (F.col("_at") - F.col("_below")).cast("int")), F.col("_lo")))
+    whole = F.floor("_pos") == F.ceil("_pos")
+    share = F.when(whole, 1.0).when(F.col("_at") == F.floor("_pos"), F.ceil("_pos") - F.col("_pos")).otherwise(F.col("_pos") - F.floor("_pos"))
+    return want.groupBy(*keys, "n").agg(*[F.sum(F.when(F.col("_i") == i, share * F.col("_x"))).alias(f"q{i}") for i in range(len(ps))])
+
+
 def box_summary(df: DataFrame, keys: list[str], value: str, exact: bool = True,
-                accuracy: int = 10_000, digits: int = 6) -> DataFrame:
+                accuracy: int = 10_000, digits: int = 6, most: int = 100_000) -> DataFrame:
     """A10: quartiles (linear interpolation), whiskers at 1.5 IQR (most extreme
     data inside the fences), outlier count, per group.
 
-    ``exact`` uses ``percentile`` (state = distinct values of the group);
-    ``exact=False`` uses ``percentile_approx`` (bounded sketch) for unbounded
-    value domains.
+    ``exact`` selects the quartiles by rank (``exact_quantiles``, at most ``most`` values of a
+    group in one task); ``exact=False`` uses ``percentile_approx`` (bounded sketch).
     """
     v = nan_to_null(F.col(value))
     base = df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull())
     if exact:
-        q = F.percentile(F.col("_v"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+        qs = exact_quantiles(base, keys, "_v", [0.25, 0.5, 0.75], most)
+        qs = qs.select(*keys, "n", *[F.col(f"q{i}").alias(c) for i, c in enumerate(["q1", "median", "q3"])])
     else:
         q = F.percentile_approx(F.col("_v"), [0.25, 0.5, 0.75], accuracy)
-    qs = base.groupBy(*keys).agg(q.alias("_q"), F.count(F.lit(1)).alias("n")).select(
-        *keys, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-        F.col("_q")[2].alias("q3"))
+        qs = base.groupBy(*keys).agg(q.alias("_q"), F.count(F.lit(1)).alias("n")).select(
+            *keys, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
+            F.col("_q")[2].alias("q3"))
     qs = qs.withColumn("_lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
            .withColumn("_hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
     j = base.join(sized_broadcast(qs.select(*keys, "_lo", "_hi")), keys)
