@@ -7,9 +7,12 @@ processing-time trigger.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from .. import schemas
@@ -135,14 +138,55 @@ def reject_stream(bus_msgs: DataFrame, obs_msgs: DataFrame, fc_msgs: DataFrame,
 
 
 def stop_gracefully(query, timeout_s: float = 60.0) -> None:
-    """Let the running batch finish (bounded wait), then stop."""
-    query.awaitTermination(timeout_s)
+    """Stop between batches: as soon as the running one, if any, has ended, or after ``timeout_s``."""
+    end = time.monotonic() + timeout_s
+    while query.isActive and query.status["isTriggerActive"] and time.monotonic() < end:
+        time.sleep(0.02)
     if query.isActive:
         query.stop()
 
 
+class LateRows(StreamingQueryListener):
+    """T4: the rows that stateful operators dropped behind the watermark, added up over the whole life
+    of every query of a session, batch by batch (a repeated report of a batch counts once):
+
+        late = LateRows.of(spark)      # before the query starts
+        late.total(query)
+    """
+
+    def __init__(self):
+        self._batches: dict[str, dict[tuple[str, int], int]] = {}
+        self._ended: set[str] = set()
+
+    @classmethod
+    def of(cls, spark: SparkSession) -> "LateRows":
+        listener = cls()
+        spark.streams.addListener(listener)
+        return listener
+
+    def onQueryStarted(self, event):
+        self._ended.discard(str(event.runId))
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        self._batches.setdefault(str(p.id), {})[str(p.runId), p.batchId] = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self._ended.add(str(event.runId))
+
+    def total(self, query, timeout_s: float = 30.0) -> int:
+        """Late rows of all runs of ``query`` so far; of an ended run only after all its reports are in."""
+        end = time.monotonic() + timeout_s
+        while not query.isActive and str(query.runId) not in self._ended and time.monotonic() < end:
+            time.sleep(0.02)
+        return sum(self._batches.get(str(query.id), {}).values())
+
+
 def rows_dropped_by_watermark(query) -> int:
-    """T4: late rows dropped by the stateful operators over the query's
-    recent progress (``numRowsDroppedByWatermark``)."""
+    """T4: late rows dropped by the stateful operators over the query's recent progress only
+    (``numRowsDroppedByWatermark``); ``LateRows`` counts its whole life."""
     return sum(op.get("numRowsDroppedByWatermark", 0)
                for p in query.recentProgress for op in p.get("stateOperators", []))
