@@ -13,6 +13,7 @@ from ..operators import filters as FL
 from ..operators import joins as J
 from .. import schemas
 
+# Columns of the vehicle feed that the features leave out.
 POSITION_DROP = ["vehicles", "headsign", "vehicleCode", "vehicleId", "direction", "gpsQuality",
                  "tripId", "tripId_member0", "tripId_member1", "lastUpdate"]
 
@@ -75,6 +76,7 @@ def training_frame(positions: DataFrame, obs: DataFrame, fc: DataFrame) -> DataF
     return lab.join(J.sized_broadcast(w), "generated_weather_bin", "inner")
 
 
+# As above, after the joins.
 FINISH_DROP = ["generated", "generated_weather_bin", "vehicleService", "scheduledTripStartTime"]
 CATEGORICAL = ["summary_actual", "type_actual", "summary_forecast", "type_forecast"]
 

@@ -7,6 +7,8 @@ All fields nullable. Numbers that the vehicle feed sends as text stay
 from pyspark.sql.types import (ArrayType, DoubleType, FloatType, IntegerType,
                                StringType, StructField, StructType)
 
+# Field names, nesting and types of the outside messages and files.
+
 
 def _s(*names):
     return [StructField(n, StringType(), True) for n in names]
