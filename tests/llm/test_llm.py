@@ -486,18 +486,18 @@ def test_rules_keep_clean_documents(spark):
 # ---- 10: licenses
 
 def licenses_brute(rows, least=0.6):
-    vocab, known = licenses.template_counts(licenses.TEMPLATES)
+    _, known = licenses.template_counts(licenses.TEMPLATES)
     units, n = [], 0
     for i, (_, text) in enumerate(rows):
         for line in re.split("[\r\n]+", text or ""):
             n += 1
             c = collections.Counter(w for w in re.findall("[a-z0-9]+", line.lower()) if w not in licenses.STOP_WORDS)
             units.append((i, c))
-    df = collections.Counter(w for _, c in units for w in c if w in vocab)
-    idf = lambda w: math.log((1 + n) / (1 + df.get(w, 0) if w in vocab else 1)) + 1
+    df = collections.Counter(w for _, c in units for w in c)
+    idf = lambda w: math.log((1 + n) / (1 + df.get(w, 0))) + 1
     best = {}
     for i, c in units:
-        norm = math.sqrt(sum((k * idf(w)) ** 2 if w in vocab else k * idf(w) ** 2 for w, k in c.items()))
+        norm = math.sqrt(sum((k * idf(w)) ** 2 for w, k in c.items()))
         for name, t in known:
             cos = sum(c[w] * t[w] * idf(w) ** 2 for w in t) / math.sqrt(sum((k * idf(w)) ** 2 for w, k in t.items())) / norm if norm else 0
             if cos > 0:

@@ -247,3 +247,16 @@ def test_columns_named_like_the_operators_own_stay(spark):
         assert stage(spark, docs, SF).columns == docs.columns
     files = docs.select(F.col("doc_id"), F.concat(F.lit("/a/"), "doc_id").alias("path"), "text", *names)
     assert all(r[c] == f"{c}{r['doc_id']}" for r in licenses.inherited(licenses.scanned(files)).collect() for c in names)
+
+
+def test_new_queries_are_registered():
+    import __spark_entry__ as e
+
+    assert {"op11_phrase_collocations", "op12_conversation_trie", "op13_html_extraction"} <= set(e.queries())
+    assert {"op11_phrase_collocations", "op12_conversation_trie"} <= set(e.oracle_sql())
+
+
+def test_pages_of_a_table_of_one_page_and_long_lines(spark):
+    long = "word " * 200_000
+    got = pages.main_text(spark.createDataFrame([(1, "http://h/a", f"<div>{long}</div><div>end</div>")], "page_id long, url string, html string")).first()
+    assert got["text"] == f"{long.strip()} end"
