@@ -40,44 +40,106 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
     return fact.join(sized_broadcast(dim, max_broadcast_bytes), on, how)
 
 
+# A group counts as heavy only if it holds more than one in MAX_HEAVY of all
+# rows, so a table of heavy groups has fewer rows than this at any input size.
+MAX_HEAVY = 100_000
+
+
+def free_name(base: str, *columns: list[str]) -> str:
+    """``base`` with underscores in front until none of ``columns`` holds it (case ignored, as Spark does)."""
+    taken = {c.lower() for cols in columns for c in cols}
+    while base.lower() in taken:
+        base = "_" + base
+    return base
+
+
+def row_hash(df: DataFrame):
+    """Hash of a whole row (map columns apart, which Spark can't hash): the same after a lost task is run again."""
+    cols = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.xxhash64(*cols) if cols else F.lit(0).cast("bigint")
+
+
+def heavy_groups(counts: DataFrame, n: str, limit: int) -> DataFrame:
+    """Rows of ``counts`` (one row a group, its rows in column ``n``) above ``limit`` rows and above
+    one in ``MAX_HEAVY`` of all: fewer than ``MAX_HEAVY`` rows, so safe to broadcast whatever the input."""
+    total = counts.agg(F.coalesce(F.sum(n), F.lit(0)).alias("t")).scalar()
+    return counts.where((F.col(n) > F.lit(limit)) & (F.col(n) * F.lit(MAX_HEAVY) > total))
+
+
+def join_buckets(left: DataFrame, red: DataFrame, left_key: str, red_key: str,
+                 max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                 max_rows_per_bucket: int = 2_000_000) -> DataFrame:
+    """Left outer join of many rows to a table with one row per bucket.
+
+    A table of at most ``max_broadcast_bytes`` (by Catalyst's estimate) is broadcast. Beyond that it is a
+    shuffle join that no heavy bucket holds up: a first map-side-combined count finds the buckets of more
+    than ``max_rows_per_bucket`` left rows; only their left rows are spread over ``ceil(rows / limit)``
+    places by a hash of the row, and only their right rows are repeated once per place. Rows with a null
+    bucket match nothing and are spread by the same hash. The rows do not depend on the way taken; rows
+    that equal each other in every column share a place (AQE's skew split is left for them).
+    On a streaming ``left`` no count is possible: plain join.
+    """
+    size = estimated_bytes(red)
+    if left.isStreaming or (size is not None and size <= max_broadcast_bytes):
+        red = red if left.isStreaming else F.broadcast(red)
+        return left.join(red, left[left_key] == red[red_key], "left").drop(red[red_key])
+    names = left.columns + red.columns
+    hk, hn, place = (free_name(x, names) for x in ("_heavy_key", "_heavy_places", "_place"))
+    counts = left.where(F.col(left_key).isNotNull()).groupBy(F.col(left_key).alias(hk)) \
+                 .agg(F.count(F.lit(1)).alias(hn))
+    heavy = F.broadcast(heavy_groups(counts, hn, max_rows_per_bucket).select(
+        hk, F.ceil(F.col(hn) / F.lit(max_rows_per_bucket)).cast("bigint").alias(hn)))
+    spread = row_hash(left)
+    rows = left.join(heavy, F.col(left_key) == F.col(hk), "left").withColumn(
+        place, F.when(F.col(left_key).isNull(), spread)
+        .otherwise(F.coalesce(F.pmod(spread, F.col(hn)), F.lit(0).cast("bigint")))).drop(hk, hn)
+    rep = red.join(heavy, F.col(red_key) == F.col(hk), "left").withColumn(
+        place + "s", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                          F.coalesce(F.col(hn), F.lit(1).cast("bigint")) - 1))).drop(hk, hn)
+    out = rows.join(rep, (F.col(left_key) == F.col(red_key)) & (F.col(place) == F.col(place + "s")), "left")
+    return out.drop(red_key, place, place + "s")
+
+
 def bucket_enrich(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                   right_cols: list[str], prefix: str, mode: str = "latest",
                   order: list[str] | None = None,
-                  max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                  max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                  max_rows_per_bucket: int = 2_000_000) -> DataFrame:
     """J1/J2 (batch form): left outer equi join on a time bucket.
 
     The right feed is first reduced to one row per bucket - ``latest`` row by
     ``order`` (max_by, combined map-side) or ``mean`` of each column with a
     row count - so the join is many-to-one and output rows == left rows.
-    Output columns of the right side are ``prefix + name``.
+    Output columns of the right side are ``prefix + name``. Heavy buckets: ``join_buckets``.
     """
+    bk = free_name("_bk", left.columns)
     if mode == "latest":
         if not order:
             raise ValueError("mode='latest' needs an order")
         cols = list(dict.fromkeys(right_cols + order))
         red = latest_by_key(right.select(right_key, *cols), [right_key], order)
-        red = red.select(F.col(right_key).alias("_bk"),
+        red = red.select(F.col(right_key).alias(bk),
                          *[F.col(c).alias(prefix + c) for c in right_cols])
     elif mode == "mean":
-        red = right.groupBy(F.col(right_key).alias("_bk")).agg(
+        red = right.groupBy(F.col(right_key).alias(bk)).agg(
             F.count(F.lit(1)).alias(prefix + "n"),
             *[F.avg(F.col(c)).alias(prefix + c) for c in right_cols])
     else:
         raise ValueError(mode)
-    red = sized_broadcast(red, max_broadcast_bytes)
-    out = left.join(red, left[left_key] == red["_bk"], "left")
-    return out.drop("_bk")
+    return join_buckets(left, red, left_key, bk, max_broadcast_bytes, max_rows_per_bucket)
 
 
 def bucket_enrich_multi(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                         feeds: dict, mode: str = "latest",
-                        max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                        max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                        max_rows_per_bucket: int = 2_000_000) -> DataFrame:
     """J1 + J2 in one pass: several feeds that share one source (e.g. one
     table or topic holding observations and forecasts) are reduced per
     bucket by ONE aggregation - a conditional ``max_by`` (or mean/count) per
     feed; a row of another feed has a null ordering and is ignored - then
     joined once. ``feeds``: prefix -> (condition Column, value cols, order
-    cols). One scan and one shuffle of the source instead of one per feed."""
+    cols). One scan and one shuffle of the source instead of one per feed. Heavy buckets: ``join_buckets``."""
+    bk = free_name("_bk", left.columns)
     aggs, out = [], []
     for prefix, (cond, cols, order) in feeds.items():
         if mode == "latest":
@@ -91,9 +153,8 @@ def bucket_enrich_multi(left: DataFrame, right: DataFrame, left_key: str, right_
                    [F.col(prefix + c) for c in cols]
         else:
             raise ValueError(mode)
-    red = right.groupBy(F.col(right_key).alias("_bk")).agg(*aggs).select("_bk", *out)
-    red = sized_broadcast(red, max_broadcast_bytes)
-    return left.join(red, left[left_key] == red["_bk"], "left").drop("_bk")
+    red = right.groupBy(F.col(right_key).alias(bk)).agg(*aggs).select(bk, *out)
+    return join_buckets(left, red, left_key, bk, max_broadcast_bytes, max_rows_per_bucket)
 
 
 def shift_self_join(df: DataFrame, keys: list[str], time_col: str, shift_seconds: float,
