@@ -169,13 +169,45 @@ def shift_self_join(df: DataFrame, keys: list[str], time_col: str, shift_seconds
 
 
 _SENTINEL = (1 << 63) - 1
+# Quantiles taken of a heavy group; it is cut at as many of them as its size asks for.
+SPLITS = 1024
 
 
 def floor_div_col(x, w):
-    """Exact floor division by a (positive, per-row) bigint width."""
+    """Exact floor division by a (positive) bigint width."""
     return ((x - F.pmod(x, w)) / w).cast("bigint")
 
 
+def count_at_most(sorted_array, x, most: int):
+    """How many items of an ascending array (at most ``most``) are <= ``x``: binary search by halving steps."""
+    steps = [1 << i for i in reversed(range(most.bit_length()))]
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]), F.lit(0),
+        lambda lo, s: F.when((lo + s <= F.size(sorted_array)) & (F.try_element_at(sorted_array, lo + s) <= x), lo + s)
+        .otherwise(lo))
+
+
+def depth_cuts(rows: DataFrame, groups: list[str], value: str, max_rows: int) -> DataFrame:
+    """Cuts of equal depth for the groups of ``rows`` with more than ``max_rows`` rows: columns ``groups``,
+    ``_cuts`` (ascending different values) and ``_many`` (those that take more than one cut by
+    themselves: value -> number of cuts), fewer than ``MAX_HEAVY`` rows.
+
+    One map-side-combined count finds the groups, a second pass over their rows alone takes ``SPLITS``
+    approximate quantiles (rank error a small part of a piece) and keeps those that stand about
+    ``max_rows / 4`` rows apart. A group of more than ``SPLITS / 4 * max_rows`` rows is cut into ``SPLITS`` pieces.
+    """
+    heavy = F.broadcast(heavy_groups(rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n")), "_n", max_rows))
+    q = ", ".join(f"{i / SPLITS!r}D" for i in range(1, SPLITS))        # one text: 1,023 literals take a second to build
+    cuts = rows.join(heavy, groups).groupBy(*groups).agg(
+        F.expr(f"percentile_approx(`{value}`, array({q}), {8 * SPLITS})").alias("_q"), F.max("_n").alias("_n"))
+    step = F.greatest(F.lit(1), F.floor(F.lit(float(SPLITS) / 4 * max_rows) / F.col("_n"))).cast("int")
+    picked = F.filter("_q", lambda x, i: (i + 1) % F.least(step, F.lit(SPLITS // 4)) == 0)
+    cuts = cuts.select(*groups, picked.alias("_q")).withColumn("_cuts", F.array_distinct("_q"))
+    times = F.transform("_cuts", lambda v: F.struct(
+        v.alias("v"), F.size(F.filter("_q", lambda x: x == v)).alias("n")))
+    return cuts.select(*groups, "_cuts", F.map_from_entries(F.filter(times, lambda e: e["n"] > 1)).alias("_many"))
+
+
 def asof_next(left: DataFrame, right: DataFrame, keys: list[str], left_time: str,
               right_time: str, right_cols: list[str], tiebreak: list[str],
               prefix: str = "next_", bucket_seconds: int = 86_400,
@@ -183,18 +215,18 @@ def asof_next(left: DataFrame, right: DataFrame, keys: list[str], left_time: str
     """J6 core: for every left row, the first right row with equal ``keys``
     and ``right_time >= left_time`` (ties broken by ``tiebreak`` ascending).
 
-    Skew-safe shape: rows are split by (keys, time bucket). Inside a bucket a
-    descending running ``last(ignorenulls)`` forward-fills the nearest right
-    row. For left rows whose bucket holds no later right row a per-bucket
-    "carry" (the first right row of the next non-empty bucket) is injected,
-    computed from per-bucket minima (map-side combined) with a window over
-    the small (key, bucket) table. Every left row is kept (left outer).
-
-    Hot keys: a first map-side-combined pass counts rows and time span per
-    key; a key whose rows would put more than ``max_rows_per_bucket`` into
-    one bucket gets a proportionally finer bucket width (table of hot keys
-    only: at most total rows / ``max_rows_per_bucket`` entries). Bucketing
-    stays monotonic in time per key, so the carry logic is unchanged.
+    Skew-safe shape: of right rows of one key and time only the first by ``tiebreak`` is kept (map-side
+    combined). Rows are split by (keys, time bucket). Inside a bucket a descending running
+    ``last(ignorenulls)`` forward-fills the nearest right row. For left rows whose bucket holds no
+    later right row a "carry" (the first right row of the next non-empty bucket) is injected, computed
+    from per-bucket minima with a window over the small (key, bucket) table. Every left row is kept
+    (left outer); a null key or time finds nothing.
+
+    A bucket of more than ``max_rows_per_bucket`` rows is cut into pieces of equal depth
+    (``depth_cuts``), however its rows lie in time. A single time that takes several pieces by itself is
+    a piece of its own: all its left rows have the same answer, the first right row from that time on,
+    so they are spread by a hash of the row and each part gets that answer as its carry. Left rows that
+    equal each other in every column share a part.
     """
     w_us = bucket_seconds * US_PER_S
     lt = epoch_micros(F.col(left_time))
@@ -208,47 +240,48 @@ def asof_next(left: DataFrame, right: DataFrame, keys: list[str], left_time: str
         valid = valid & F.col(k).isNotNull()
     lvalid = valid & F.col(left_time).isNotNull()
 
-    L = left.where(lvalid).select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        lt.alias("_t"), F.lit(1).alias("_side"),
-        F.struct(*[F.col(c) for c in lcols]).alias("_l"))
-    R = right.where(valid & F.col(right_time).isNotNull()).select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        rt.alias("_t"), rpay.alias("_r"), rorder.alias("_o"))
     kc = [f"_k{i}" for i in range(len(keys))]
-
-    # per-key bucket width: finer for keys that would overfill a bucket
-    both = L.select(*kc, "_t").unionByName(R.select(*kc, "_t"))
-    per_key = both.groupBy(*kc).agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_lo"),
-                                    F.max("_t").alias("_hi"))
-    span = F.col("_hi") - F.col("_lo") + F.lit(1)
-    fine = F.greatest(F.lit(1), F.floor(span * F.lit(float(max_rows_per_bucket)) / F.col("_n")).cast("bigint"))
-    hot = per_key.where(F.col("_n") > F.lit(max_rows_per_bucket)).select(*kc, F.least(fine, F.lit(w_us)).alias("_w"))
-    hot = sized_broadcast(hot)
-    width = F.coalesce(F.col("_w"), F.lit(w_us))
-    L = L.join(hot, kc, "left").withColumn("_b", floor_div_col(F.col("_t"), width)).drop("_w")
-    R = R.join(hot, kc, "left").withColumn("_b", floor_div_col(F.col("_t"), width)).drop("_w")
-
-    # per-bucket first right row, and the buckets that hold left rows
-    rb = R.groupBy(*kc, "_b").agg(F.min_by(F.struct("_r", "_o"), F.struct("_t", "_o")).alias("_m"))
-    lb = L.select(*kc, "_b").distinct()
-    marks = rb.select(*kc, "_b", F.lit(1).alias("_kind"), "_m").unionByName(
-        lb.select(*kc, "_b", F.lit(0).alias("_kind"),
-                  F.lit(None).cast(rb.schema["_m"].dataType).alias("_m")),
-        allowMissingColumns=True)
-    wb = (Window.partitionBy(*kc).orderBy(F.col("_b").desc(), F.col("_kind").asc())
+    kcols = [F.col(k).alias(c) for k, c in zip(keys, kc)]
+    day = floor_div_col(F.col("_t"), F.lit(w_us))
+    L = left.where(lvalid).select(*kcols, lt.alias("_t"), row_hash(left).alias("_h"),
+                                  F.struct(*[F.col(c) for c in lcols]).alias("_l")).withColumn("_b", day)
+    R = right.where(valid & F.col(right_time).isNotNull()).select(
+        *kcols, rt.alias("_t"), rpay.alias("_r"), rorder.alias("_o"))
+    every = L.select(*kc, "_b", "_t").unionByName(R.select(*kc, day.alias("_b"), "_t"))
+    R = R.groupBy(*kc, "_t").agg(F.min_by("_r", "_o").alias("_r")).withColumn("_b", day)
+
+    # the place of a row: bucket _b, piece _p (even: one time only; odd: between two cuts), part _s of its left rows
+    groups = kc + ["_b"]
+    cuts = F.broadcast(depth_cuts(every, groups, "_t", max_rows_per_bucket))
+    at = count_at_most(F.col("_cuts"), F.col("_t"), SPLITS)
+    own = F.try_element_at("_many", F.col("_t"))
+
+    def place(df: DataFrame, part) -> DataFrame:
+        df = df.join(cuts, groups, "left").withColumn("_own", own)
+        return df.withColumn("_p", F.when(F.col("_cuts").isNull(), F.lit(1))
+                             .otherwise(2 * at + F.when(F.col("_own").isNull(), 1).otherwise(0))) \
+                 .withColumn("_s", F.when(F.col("_own").isNull(), F.lit(0).cast("bigint")).otherwise(part)) \
+                 .drop("_cuts", "_many", "_own")
+
+    L = place(L, F.pmod(F.col("_h"), 2 * F.col("_own") + 1)).drop("_h")
+    R = place(R, F.lit(-1).cast("bigint"))
+    groups = groups + ["_p", "_s"]
+
+    # per-bucket first right row, and the buckets that hold left rows; a mark of kind 0 takes the next
+    # bucket's row (its own are in its window), one of kind 2 its own bucket's too
+    rb = R.groupBy(*groups).agg(F.min_by("_r", "_t").alias("_m")).withColumn("_kind", F.lit(1))
+    lb = L.select(*groups).distinct().withColumn("_kind", F.when(F.col("_p") % 2 == 0, 2).otherwise(0))
+    marks = rb.unionByName(lb, allowMissingColumns=True)
+    wb = (Window.partitionBy(*kc).orderBy(F.col("_b").desc(), F.col("_p").desc(), F.col("_kind").asc())
           .rowsBetween(Window.unboundedPreceding, -1))
     carry = (marks.withColumn("_c", F.last("_m", ignorenulls=True).over(wb))
-             .where((F.col("_kind") == 0) & F.col("_c").isNotNull())
-             .select(*kc, "_b", F.lit(_SENTINEL).alias("_t"), F.col("_c._r").alias("_r"),
-                     F.col("_c._o").alias("_o")))
-
-    rows = (L.withColumn("_r", F.lit(None).cast(R.schema["_r"].dataType))
-            .withColumn("_o", F.lit(None).cast(R.schema["_o"].dataType))
-            .unionByName(R.withColumn("_side", F.lit(0)), allowMissingColumns=True)
-            .unionByName(carry.withColumn("_side", F.lit(0)), allowMissingColumns=True))
-    w = (Window.partitionBy(*kc, "_b")
-         .orderBy(F.col("_t").desc(), F.col("_side").asc(), F.col("_o").desc())
+             .where((F.col("_kind") != 1) & F.col("_c").isNotNull())
+             .select(*groups, F.lit(_SENTINEL).alias("_t"), F.col("_c").alias("_r"), F.lit(0).alias("_side")))
+
+    rows = (L.withColumn("_side", F.lit(1))
+            .unionByName(R.where(F.col("_s") == 0).withColumn("_side", F.lit(0)), allowMissingColumns=True)
+            .unionByName(carry, allowMissingColumns=True))
+    w = (Window.partitionBy(*groups).orderBy(F.col("_t").desc(), F.col("_side").asc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     hit = rows.withColumn("_hit", F.last("_r", ignorenulls=True).over(w)).where(F.col("_side") == 1)
     matched = hit.select(*[F.col(f"_l.{c}").alias(c) for c in lcols],
