@@ -958,6 +958,70 @@ def q_model_score(spark, d):
                        F.lit(r2).alias("r2"))
 
 
+def q_stump_forest(spark, d):
+    """M6-M8 + A12: the day-ahead label and features of ``model_score``, the model as a table (100 trees of depth 1,
+    ``plans.stumps``) fitted on 67 %, the other 33 % scored. Exact sums, so SQL has the same trees."""
+    from . import stumps as ST
+    ev = events(spark, d).withColumn("day", T.time_bucket("ts", 86_400, "floor")).withColumn(
+        "k", C.to_number(F.get_json_object("props", "$.k")))
+    first = D.first_by_key(ev.select("user_id", "day", "ts", "event_id", "value", "k", "event_type"),
+                           ["user_id", "day"], ["ts", "event_id"])
+    lab = J.shift_self_join(first, ["user_id"], "day", 86_400, ["value"], suffix="_next")
+    rows = S.durable(lab.where(F.col("value_next").isNotNull()), "stump_rows")        # read by every pass of the fit
+    features = {"value": F.col("value"), "k": F.col("k"), "time": T.minutes_to_nearest_midnight("ts"),
+                "hour": F.hour("ts"), **{f"type_{t}": F.when(F.col("event_type") == t, 1).otherwise(0) for t in EVENT_TYPES}}
+    key = F.concat_ws("|", F.col("user_id").cast("string"), F.date_format("day", "yyyy-MM-dd"))
+    tr, te = ST.split_by_key(rows, key)
+    trees = S.durable(ST.fit(tr, features, F.col("value_next"), key), "stumps")
+    pred = ST.predict(te, features, trees)
+    r2 = pred.agg(ST.r2(F.col("value_next"), F.col("prediction")).alias("r2")).scalar()
+    return pred.select("user_id", ntz("day").alias("day"), r6("value_next").alias("label"),
+                       r6("prediction").alias("prediction"), F.round(r2, DIGITS).alias("r2"))
+
+
+_TYPE_COLS = ", ".join(f"CASE WHEN a.event_type = '{t}' THEN 1 ELSE 0 END::DOUBLE AS type_{t}" for t in EVENT_TYPES)
+_STUMP_FEATURES = ["value", "k", "time", "hour"] + [f"type_{t}" for t in EVENT_TYPES]
+O_STUMP_FOREST = f"""
+WITH f AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY ts, event_id) rn
+  FROM (SELECT *, date_trunc('day', ts) AS day FROM events)) WHERE rn = 1),
+rows_ AS (SELECT a.user_id, a.day, b.value AS y, a.value::DOUBLE AS value,
+    TRY_CAST(json_extract_string(a.props, '$.k') AS DOUBLE) AS k,
+    least((((86400000000 - epoch_us(a.ts) % 86400000000) // 1000000) % 86400) // 60,
+          (epoch_us(a.ts) % 86400000000) // 60000000)::DOUBLE AS time, hour(a.ts)::DOUBLE AS hour, {_TYPE_COLS},
+    md5(concat_ws('|', a.user_id::VARCHAR, strftime(a.day, '%Y-%m-%d'))) AS h
+  FROM f a JOIN f b ON a.user_id = b.user_id AND b.day = a.day + INTERVAL 1 DAY WHERE b.value IS NOT NULL),
+tr AS (SELECT * FROM rows_ WHERE ('0x' || substr(h, 1, 8))::BIGINT % 100 < 67),
+te AS (SELECT row_number() OVER () AS r, * FROM rows_ WHERE ('0x' || substr(h, 1, 8))::BIGINT % 100 >= 67),
+names AS (SELECT unnest([{", ".join(f"'{f}'" for f in _STUMP_FEATURES)}]) AS feature),
+melted AS ({" UNION ALL ".join(f"SELECT '{f}' AS feature, {f} AS x, round(y * 1000000)::HUGEINT AS y, ('0x' || substr(h, 9, 4))::BIGINT % 64 AS block FROM tr" for f in _STUMP_FEATURES)}),
+q AS (SELECT feature, quantile_cont(x, [{", ".join(f"{i}/32.0" for i in range(1, 32))}]) AS qs FROM melted WHERE x IS NOT NULL GROUP BY feature),
+cuts AS (SELECT feature, round(qs[16], 6) AS median, list_sort(list_distinct(list_transform(qs, lambda v: round(v, 6)))) AS cuts FROM q),
+sums AS (SELECT feature, coalesce(len(list_filter(cuts, lambda c: c < coalesce(x, median))), 0) AS cell, block,
+    count(*) AS n, sum(y) AS s FROM melted LEFT JOIN cuts USING (feature) GROUP BY ALL),
+looked AS (SELECT tree, feature FROM (SELECT tree, feature, row_number() OVER (PARTITION BY tree ORDER BY md5(tree || ':' || feature)) AS place
+  FROM range(100) t(tree), names) WHERE place <= 3),
+luck AS (SELECT tree, block, ('0x' || substr(md5(tree || '#' || block), 1, 4))::BIGINT AS l FROM range(100) t(tree), range(64) b(block)),
+drawn AS (SELECT tree, block, (l >= 24109)::INT + (l >= 48218)::INT + (l >= 60273)::INT + (l >= 64291)::INT + (l >= 65296)::INT AS w FROM luck),
+per AS (SELECT tree, feature, cell, sum(w * n) AS n, sum(w * s) AS s FROM looked JOIN drawn USING (tree) JOIN sums USING (feature, block)
+  WHERE w > 0 GROUP BY ALL),
+run AS (SELECT *, sum(n) OVER u AS nl, sum(s) OVER u AS sl, sum(n) OVER w AS nt, sum(s) OVER w AS st FROM per
+  WINDOW w AS (PARTITION BY tree, feature), u AS (PARTITION BY tree, feature ORDER BY cell ROWS UNBOUNDED PRECEDING)),
+cand AS (SELECT tree, feature, cuts[cell + 1] AS cut, median, nl, nt - nl AS nr, sl::DOUBLE AS sl, (st - sl)::DOUBLE AS sr
+  FROM run JOIN cuts USING (feature) WHERE cuts[cell + 1] IS NOT NULL AND nt > nl),
+best AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY sl * sl / nl + sr * sr / nr DESC, feature, cut) AS place FROM cand),
+trees AS (SELECT a.tree, b.feature, b.cut, coalesce(b.median <= b.cut, true) AS null_left,
+    coalesce(b.sl / b.nl / 1000000, a.mean) AS l, coalesce(b.sr / b.nr / 1000000, a.mean) AS r
+  FROM (SELECT tree, max(st::DOUBLE / nt / 1000000) AS mean FROM run GROUP BY tree) a
+  LEFT JOIN (SELECT * FROM best WHERE place = 1) b USING (tree)),
+asked AS ({" UNION ALL ".join(f"SELECT r, '{f}' AS feature, {f} AS x FROM te" for f in _STUMP_FEATURES)}),
+answers AS (SELECT te.r, avg(CASE WHEN coalesce(asked.x <= cut, null_left) THEN trees.l ELSE trees.r END) AS p
+  FROM te CROSS JOIN trees LEFT JOIN asked ON asked.r = te.r AND asked.feature = trees.feature GROUP BY te.r),
+scored AS (SELECT te.*, p FROM te LEFT JOIN answers USING (r))
+SELECT user_id, day, round(y, 6) AS label, round(p, 6) AS prediction,
+  (SELECT round(1 - sum((y - p) * (y - p)) / (sum(y * y) - sum(y) * sum(y) / count(y)), 6) FROM scored) AS r2 FROM scored"""
+
+
 # ---------------------------------------------------------------- streaming
 
 def q_stream_enrich(spark, d):
@@ -1079,6 +1143,7 @@ QUERIES = {
     "stream_enrich": q_stream_enrich,
     "stream_dedup": q_stream_dedup,
     "model_score": q_model_score,
+    "stump_forest": q_stump_forest,
 }
 
 ORACLES = {
@@ -1115,6 +1180,7 @@ ORACLES = {
     "enrich_hour_latest": O_ENRICH_HOUR_LATEST,
     "enrich_hour_mean": O_ENRICH_HOUR_MEAN,
     "label_shift_day": O_LABEL_SHIFT_DAY,
+    "stump_forest": O_STUMP_FOREST,
     "label_shift_15min": O_LABEL_SHIFT_15MIN,
     "next_stop_lookup": O_NEXT_STOP_LOOKUP,
     "dim_join": O_DIM_JOIN,
