@@ -128,12 +128,14 @@ def expected_stop_coords(pos: DataFrame, timetable: DataFrame, stops: DataFrame,
 
 def serving_features(table: DataFrame) -> DataFrame:
     """C22 + C17 + C11: the stream table's columns renamed/typed to the model
-    inputs (``model.SERVING_FEATURES``); same rule for ``time`` as training."""
+    inputs (``model.SERVING_FEATURES`` and ``CATEGORICAL``, the route recoded as in training);
+    same rule for ``time`` as training."""
     ts = T.to_ts("bus_generated")
     cols = {
         "speed": C.to_number("bus_speed"), "delay": C.to_number("bus_delay"),
         "lat": C.to_number("bus_lat"), "lon": C.to_number("bus_lon"),
         "time": T.minutes_to_nearest_midnight(ts).cast("double"),
+        "route": C.to_number(C.recode_night_route("bus_routeShortName")),
     }
     for side, pre in (("actual", "act_"), ("forecast", "for_")):
         cols[f"temperature_{side}"] = F.col(pre + "temperature").cast("double")
@@ -141,4 +143,6 @@ def serving_features(table: DataFrame) -> DataFrame:
         cols[f"wind_speed_{side}"] = F.col(pre + "speed").cast("double")
         cols[f"wind_angle_{side}"] = F.col(pre + "angle").cast("double")
         cols[f"precipitation_total_{side}"] = F.col(pre + "precipitation_total").cast("double")
+        cols[f"summary_{side}"] = F.col(pre + "summary")
+        cols[f"type_{side}"] = F.col(pre + "type")
     return table.withColumns(cols)

@@ -11,12 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import scalars as C
 from ..sources import readers as R
 from ..sources import sinks as K
 from ..streaming.enrich import flatten_forecast, flatten_observation
 from . import features as M
 from . import model as ML
 
+NUMERIC = [*ML.SERVING_FEATURES, "route"]
+
+
 def _weather_frames(obs_raw: DataFrame, fc_raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Stored observation/forecast files have the message layout; reuse the
     feed flattening by going through JSON text of each row. Of each forecast
@@ -30,7 +34,7 @@ def _weather_frames(obs_raw: DataFrame, fc_raw: DataFrame) -> tuple[DataFrame, D
 
 
 def training_rows(positions_raw: DataFrame, obs_raw: DataFrame, fc_raw: DataFrame) -> DataFrame:
-    """Labelled rows carrying exactly the serving inputs (``SERVING_FEATURES``)
+    """Labelled rows carrying the serving inputs (``NUMERIC`` and the four categoricals)
     plus the label. The notebook also fed the position and time 15 minutes
     ahead, which are unknown when scoring - not used, so the saved model is
     the one the stream can apply."""
@@ -40,7 +44,7 @@ def training_rows(positions_raw: DataFrame, obs_raw: DataFrame, fc_raw: DataFram
     for side in ("actual", "forecast"):
         rows = rows.withColumnRenamed(f"speed_{side}", f"wind_speed_{side}") \
                    .withColumnRenamed(f"angle_{side}", f"wind_angle_{side}")
-    return rows.withColumn("time", F.col("time").cast("double"))
+    return rows.withColumns({"time": F.col("time").cast("double"), "route": C.to_number("routeShortName")})
 
 
 def train_from_files(spark: SparkSession, positions_dir: str, weather_dir: str, model_path: str,
@@ -50,7 +54,7 @@ def train_from_files(spark: SparkSession, positions_dir: str, weather_dir: str,
     positions_raw = R.read_files_by_name(spark, positions_dir, glob, recursive=True, merge_schema=True)
     obs_raw, fc_raw = R.read_weather(spark, weather_dir, date)
     rows = training_rows(positions_raw, obs_raw, fc_raw)
-    model, _, r2 = ML.train(rows, ML.SERVING_FEATURES, None,
+    model, _, r2 = ML.train(rows, NUMERIC, M.CATEGORICAL,
                             keys=["vehicleService", "scheduledTripStartTime", "minute"], **rf)
     K.save_model(model, model_path)
     return r2

@@ -110,6 +110,8 @@ def test_batch_and_stream_agree(spark, tmp_path):
 def test_production_stream_scores_and_upserts(spark, tmp_path):
     """Three feeds -> enrich -> serving features -> fitted pipeline -> keyed sink."""
     from delaycast.plans import model as ML
+    from delaycast.plans import features as M
+    from delaycast.plans import training as TR
     from delaycast.plans.features import serving_features
     from delaycast.streaming import jobs
     spark.conf.set("spark.sql.shuffle.partitions", "2")
@@ -119,7 +121,7 @@ def test_production_stream_scores_and_upserts(spark, tmp_path):
     batch = E.stream_table(E.flatten_positions(read(f"{base}/bus")), E.flatten_observation(read(f"{base}/obs")),
                            E.flatten_forecast(read(f"{base}/fc")), watermark=None)
     train = serving_features(batch).withColumn(ML.LABEL, F.col("delay") + 1.0)
-    model = ML.build_pipeline(ML.SERVING_FEATURES, num_trees=5, max_depth=2).fit(train)
+    model = ML.build_pipeline(TR.NUMERIC, M.CATEGORICAL, num_trees=5, max_depth=2).fit(train)
     second = K.batch_writer(f"{base}/second")
     q = jobs.production_stream(_stream(spark, f"{base}/bus"), _stream(spark, f"{base}/obs"),
                                _stream(spark, f"{base}/fc"), model, f"{base}/out", f"{base}/ck", salt_buckets=2, also=second)

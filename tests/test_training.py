@@ -4,6 +4,9 @@ import os
 import pyarrow as pa
 import pyarrow.parquet as pq
 
+from pyspark.sql import functions as F
+
+from delaycast.plans import features as M
 from delaycast.plans import model as ML
 from delaycast.plans import training as TR
 from delaycast.sources import sinks as K
@@ -39,3 +42,8 @@ def test_train_from_files_and_reload(spark, tmp_path):
     assert isinstance(r2, float)                                 # NaN allowed on tiny data
     model = K.load_model(f"{src}/model")
     assert model.transform(rows).where("prediction IS NOT NULL").count() == 25
+    # the categoricals are inputs, one slot a value; a value never seen and a null are scored too
+    oh = {s.getInputCol() if not s.isSet("inputCols") else tuple(s.getInputCols()) for s in model.stages if "Index" in s.uid}
+    assert oh == set(M.CATEGORICAL) and "route" in model.stages[0].getInputCols()
+    odd = rows.withColumn("summary_actual", F.lit("Raining frogs")).withColumn("type_forecast", F.lit(None).cast("string"))
+    assert model.transform(odd).where("prediction IS NOT NULL").count() == 25
