@@ -315,6 +315,25 @@ def q_key_range_scan(spark, d):
     return out.select("row_key", "event_id", "user_id", "value")
 
 
+def q_clustered_key_range(spark, d):
+    """The events written in key order, then a range whose bounds are shorter than a date, so that only the
+    files which can hold it are opened."""
+    from ..sources import clustered as CL
+    ev = events(spark, d).select("event_id", "user_id", "ts", "value").withColumn("row_key", P.row_key("ts", "user_id"))
+    path = S.shared_dir(spark, "clustered")
+    CL.write_clustered(ev, path, "row_key")
+    out = CL.scan_clustered(spark, path, "row_key", CLUSTERED_RANGE[0], CLUSTERED_RANGE[1])
+    return out.select("row_key", "event_id", "user_id", "value")
+
+
+CLUSTERED_RANGE = ("2024-01-1", "2024-01-2")
+O_CLUSTERED_KEY_RANGE = f"""
+SELECT * FROM (
+  SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') || '_' || CAST(user_id AS VARCHAR) AS row_key,
+         event_id, user_id, value FROM events)
+WHERE row_key >= '{CLUSTERED_RANGE[0]}' AND row_key < '{CLUSTERED_RANGE[1]}'"""
+
+
 O_KEY_RANGE_SCAN = f"""
 SELECT * FROM (
   SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') || '_' || CAST(user_id AS VARCHAR) AS row_key,
@@ -1118,6 +1137,7 @@ QUERIES = {
     "stream_rejects": q_stream_rejects,
     "constant_corr": q_constant_corr,
     "partial_key_range": q_partial_key_range,
+    "clustered_key_range": q_clustered_key_range,
     "latest_overall": q_latest_overall,
     "latest_by_key": q_latest_by_key,
     "enrich_hour_latest": q_enrich_hour_latest,
@@ -1175,6 +1195,7 @@ ORACLES = {
     "stream_rejects": O_STREAM_REJECTS,
     "constant_corr": O_CONSTANT_CORR,
     "partial_key_range": O_PARTIAL_KEY_RANGE,
+    "clustered_key_range": O_CLUSTERED_KEY_RANGE,
     "latest_overall": O_LATEST_OVERALL,
     "latest_by_key": O_LATEST_BY_KEY,
     "enrich_hour_latest": O_ENRICH_HOUR_LATEST,
