@@ -52,7 +52,12 @@ def look(word: bytes) -> int:
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 + 0.5 * np.tanh(0.5 * x)
+    """In place."""
+    x *= 0.5
+    np.tanh(x, out=x)
+    x *= 0.5
+    x += 0.5
+    return x
 
 
 def chosen(logits: np.ndarray, at: np.ndarray, back: bool = False):
@@ -103,13 +108,11 @@ class Gru:
         return m
 
     def step(self, x: np.ndarray, h: np.ndarray):
-        """One step: the new state, and what going back needs."""
-        given = self.inputs[x]
-        held = h @ self.state
+        """One step: the new state, and what going back needs (gates, candidate state, sums from the state)."""
+        given, held = self.inputs[x], h @ self.state
         zr = sigmoid(given[:, : 2 * HIDDEN] + held[:, : 2 * HIDDEN])
-        z, r, u = zr[:, :HIDDEN], zr[:, HIDDEN:], held[:, 2 * HIDDEN:]
-        n = np.tanh(given[:, 2 * HIDDEN:] + r * u)
-        return n + z * (h - n), (z, r, u, n)
+        n = np.tanh(given[:, 2 * HIDDEN:] + zr[:, HIDDEN:] * held[:, 2 * HIDDEN:])
+        return n + zr[:, :HIDDEN] * (h - n), zr, n, held
 
     def outputs(self, states: np.ndarray, x: np.ndarray, back: bool = False):
         """log P of each token x after each state; with `back` also the loss's slopes by the states and by the output parameters."""
@@ -120,16 +123,24 @@ class Gru:
             d_states = got[1] @ self.classes[:HIDDEN].T
             d = {"classes": np.vstack([states.T @ got[1], got[1].sum(axis=0)]), "words": np.zeros_like(self.words)}
         order = np.argsort(cls.astype(np.int16), kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(self.side + 1))
-        for c in range(self.side):
-            rows = order[edges[c]: edges[c + 1]]
-            if len(rows):
-                s = states[rows]
-                got = chosen(s @ self.words[c, :HIDDEN] + self.words[c, HIDDEN], x[rows] - c * self.side, back)
-                out[rows] += got[0] if back else got
+        edges = np.searchsorted(cls[order], np.arange(self.side + 1)).tolist()
+        order = order[: edges[-1]]  # the rows of a class lie side by side from here on
+        sorted_states, place = states[order], x[order] % self.side
+        logs, slopes = np.empty(len(order)), np.empty_like(sorted_states)
+        for c, (a, b) in enumerate(zip(edges, edges[1:])):
+            if a < b:
+                s, w = sorted_states[a:b], self.words[c]
+                logits = s @ w[:HIDDEN]
+                logits += w[HIDDEN]
+                got = chosen(logits, place[a:b], back)
+                logs[a:b] = got[0] if back else got
                 if back:
-                    d_states[rows] += got[1] @ self.words[c, :HIDDEN].T
-                    d["words"][c] = np.vstack([s.T @ got[1], got[1].sum(axis=0)])
+                    np.matmul(got[1], w[:HIDDEN].T, out=slopes[a:b])
+                    np.matmul(s.T, got[1], out=d["words"][c, :HIDDEN])
+                    got[1].sum(axis=0, out=d["words"][c, HIDDEN])
+        out[order] += logs
+        if back:
+            d_states[order] += slopes
         return (out, d_states, d) if back else out
 
     def score(self, texts: list[np.ndarray], lanes: int = 1024, window: int = 32) -> np.ndarray:
@@ -175,8 +186,8 @@ class Trainer:
             i = int(load.argmin())
             streams[i].append(t)
             load[i] += len(t)
-        streams = [s for s in streams if s]
-        lengths = np.array([sum(map(len, s)) for s in streams])
+        streams = sorted((s for s in streams if s), key=lambda s: -sum(map(len, s)))  # the longest first: those that go on are always a prefix
+        lengths = np.array([sum(map(len, s)) for s in streams], dtype=np.int64)
         grid = np.zeros((lengths.max() if len(lengths) else 0, len(streams)), dtype=np.int32)
         fresh = np.zeros(grid.shape, dtype=bool)
         for j, s in enumerate(streams):
@@ -184,36 +195,42 @@ class Trainer:
             fresh[np.cumsum([0, *map(len, s[:-1])]), j] = True
         h = np.zeros((len(streams), HIDDEN), dtype=np.float32)
         for t in range(0, len(grid), self.window):
-            part = slice(t, t + self.window)
-            live = np.arange(t, min(t + self.window, len(grid)))[:, None] < lengths[None, :]
-            h = self.learn(grid[part], fresh[part], live, h, lanes)
+            on = int(np.searchsorted(-lengths, -t, side="left"))  # streams longer than t
+            part = (slice(t, t + self.window), slice(0, on))
+            live = np.arange(t, min(t + self.window, len(grid)))[:, None] < lengths[None, :on]
+            h = self.learn(grid[part], fresh[part], live, h[:on], lanes)
 
     def learn(self, grid: np.ndarray, fresh: np.ndarray, live: np.ndarray, h: np.ndarray, lanes: int = 0) -> np.ndarray:
-        m, steps, width = self.m, len(grid), grid.shape[1]
-        states, caches = np.empty((steps, width, HIDDEN), dtype=np.float32), []
+        m, steps, width, hid = self.m, len(grid), grid.shape[1], HIDDEN
+        states, held, gates, new = (np.empty((steps, width, n), dtype=np.float32) for n in (hid, 3 * hid, 2 * hid, hid))
+        same = (~fresh).astype(np.float32)[:, :, None]
         for s in range(steps):
-            states[s] = h * ~fresh[s][:, None]
-            h, cache = m.step(grid[s], states[s])
-            caches.append(cache)
+            np.multiply(h, same[s], out=states[s])
+            h, gates[s], new[s], held[s] = m.step(grid[s], states[s])
         at = live.ravel()
         n = int(at.sum())
-        flat = states.reshape(-1, HIDDEN)
+        flat = states.reshape(-1, hid)
         _, d_live, d = m.outputs(flat[at], grid.ravel()[at], back=True)
         d_out = np.zeros_like(flat)
         d_out[at] = d_live
         d_out = d_out.reshape(states.shape)
-        d_given = np.empty((steps, width, 3 * HIDDEN), dtype=np.float32)
-        d_held = np.empty_like(d_given)
-        dh = np.zeros((width, HIDDEN), dtype=np.float32)
+        z, r, alive = gates[:, :, :hid], gates[:, :, hid:], live.astype(np.float32)[:, :, None]
+        # slopes of the new state by the gates' sums; what the loop adds is the slope by the new state
+        by_z, by_n, by_r = (states - new) * z * (1 - z), (1 - z) * (1 - new * new), held[:, :, 2 * hid:] * r * (1 - r)
+        d_held, d_new = np.empty((steps, width, 3 * hid), dtype=np.float32), np.empty_like(states)
+        back, dh = np.ascontiguousarray(m.state.T), np.zeros((width, hid), dtype=np.float32)
         for s in range(steps - 1, -1, -1):
-            z, r, u, k = caches[s]
-            dh = dh * live[s][:, None]
-            dk = dh * (1 - z) * (1 - k * k)
-            dz = dh * (states[s] - k) * z * (1 - z)
-            dr = dk * u * r * (1 - r)
-            np.concatenate([dz, dr, dk], axis=1, out=d_given[s])
-            np.concatenate([dz, dr, dk * r], axis=1, out=d_held[s])
-            dh = (dh * z + d_held[s] @ m.state.T + d_out[s]) * ~fresh[s][:, None]
+            dh *= alive[s]
+            dn, g = d_new[s], d_held[s]
+            np.multiply(dh, by_n[s], out=dn)
+            np.multiply(dh, by_z[s], out=g[:, :hid])
+            np.multiply(dn, by_r[s], out=g[:, hid: 2 * hid])
+            np.multiply(dn, r[s], out=g[:, 2 * hid:])
+            dh *= z[s]
+            dh += g @ back
+            dh += d_out[s]
+            dh *= same[s]
+        d_given = np.concatenate([d_held[:, :, : 2 * hid], d_new], axis=2)
         slope = Gru(np.zeros_like(m.vector), m.side)
         slope.state[:] = flat.T @ d_held.reshape(-1, 3 * HIDDEN)
         x = grid.ravel()
@@ -225,8 +242,10 @@ class Trainer:
         g *= min(1, 1 / (np.sqrt(float(g @ g)) + 1e-9))
         self.steps += 1
         self.tokens += n
-        self.first += 0.1 * (g - self.first)
-        self.second += 0.001 * (g * g - self.second)
+        self.first *= 0.9
+        self.first += 0.1 * g
+        self.second *= 0.999
+        self.second += 0.001 * (g * g)
         rate = self.rate * min(1, self.steps / self.warm) / (1 + self.steps / 500)
         m.vector -= rate * (self.first / (1 - 0.9**self.steps)) / (np.sqrt(self.second / (1 - 0.999**self.steps)) + 1e-7)
         return h
@@ -242,26 +261,25 @@ class Words:
 
     def __init__(self, top: list[tuple[bytes, int]], total: int, distinct: int, ends: int, looks: dict[int, tuple[int, int]], side: int):
         self.side, self.end = side, side * side - 1
-        self.head = {w: i for i, (w, _) in enumerate(top[: self.end])}
-        self.count = dict(top)
+        self.rank = {w: i for i, (w, _) in enumerate(top)}
+        self.token_of = np.array([i if i < self.end else self.end + 1 + look(w) for i, (w, _) in enumerate(top)] + [-1], dtype=np.int32)
+        self.logs = np.log10(np.array([c for _, c in top] + [0], dtype=np.float64) + 1)
         self.total, self.distinct, self.ends = total, distinct, ends
         self.look_total = np.array([sum(looks.get(i, (0, 0))) + 1 for i in range(LOOKS)], dtype=np.float64)
-        self.head_counts = np.array([c for _, c in top[: self.end]] + [0] * (self.end - len(self.head)) + [ends], dtype=np.float64)
+        counts = [c for _, c in top[: self.end]]
+        self.head_counts = np.array(counts + [0] * (self.end - len(counts)) + [ends], dtype=np.float64)
         self.look_counts = np.array([looks.get(i, (0, 0))[0] for i in range(LOOKS)], dtype=np.float64)
-        self._token: dict[bytes, int] = dict(self.head)
-
-    def tokens(self, words: list[bytes]) -> np.ndarray:
-        get, out = self._token.get, np.empty(len(words) + 1, dtype=np.int32)
-        if len(self._token) > COUNTED_AT_ONCE:
-            self._token = dict(self.head)
-            get = self._token.get
-        for i, w in enumerate(words):
-            t = get(w)
-            if t is None:
-                t = self._token[w] = self.end + 1 + look(w)
-            out[i] = t
-        out[-1] = self.end
-        return out
+
+    def tokens(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """The tokens of a text, with its end; the ranks of its known words (-1: not known); the words that are not."""
+        get = self.rank.get
+        ranks = np.array([get(w, -1) for w in words], dtype=np.int32)
+        out = np.empty(len(words) + 1, dtype=np.int32)
+        out[:-1], out[-1] = self.token_of[ranks], self.end
+        unknown = np.flatnonzero(ranks < 0)
+        rare = [words[i] for i in unknown.tolist()]
+        out[unknown] = [self.end + 1 + look(w) for w in rare]
+        return out, ranks, rare
 
 
 def together(frames: Iterator[pd.DataFrame], rows: int = 8000) -> Iterator[pd.DataFrame]:
@@ -326,7 +344,7 @@ def averaged(fitted: DataFrame, size: int) -> np.ndarray | None:
     return vector.astype(np.float32) if len(vector) == size and np.isfinite(vector).all() else None
 
 
-def scored(docs: DataFrame, held_out, parts: int = 16, chunk: int = 400_000) -> DataFrame:
+def scored(docs: DataFrame, held_out, parts: int = 4, chunk: int = 2_000_000) -> DataFrame:
     """One row per row of `docs`: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
 
     Counts are of all rows for which `held_out` is false, and the network is trained on each of them once, in `parts`
@@ -356,17 +374,14 @@ def scored(docs: DataFrame, held_out, parts: int = 16, chunk: int = 400_000) ->
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         w = shared.value
         unit, look_unit, end = np.log10(w.total + w.distinct + 1), np.log10(w.look_total), np.log10(w.ends + 1)
-        logs = {k: np.log10(c + 1) for k, c in w.count.items()}
         for f in frames:
             out = []
             for row, doc, held, part, text in zip(f["row"], f["doc_id"].astype("Int64"), f["held_out"], f["part"], f["text"]):
-                found = words_of(text)
-                t = w.tokens(found)
-                got = [logs.get(x) for x in found]
-                rare = Counter([x for x, v in zip(found, got) if v is None])
-                tail = sum(v for v, c in zip(got, t) if v is not None and c > w.end)
-                base = sum(v for v in got if v is not None) + end - len(t) * unit
-                out.append((row, doc, held, part, len(t), len(found) - sum(rare.values()) + (w.ends > 0), base,
+                t, ranks, unknown = w.tokens(words_of(text))
+                rare, known = Counter(unknown), ranks[ranks >= 0]
+                tail = float(w.logs[known[known >= w.end]].sum())
+                base = float(w.logs[known].sum()) + end - len(t) * unit
+                out.append((row, doc, held, part, len(t), len(known) + (w.ends > 0), base,
                             tail - look_unit[t[t > w.end] - w.end - 1].sum(), list(rare), list(rare.values()), t))
             r = pd.DataFrame(out, columns=["row", "doc_id", "held_out", "part", "n_tokens", "n_known", "base", "model", "rare", "times", "tokens"])
             yield r.astype({"doc_id": "Int64", "row": "int64", "part": "int32"})
