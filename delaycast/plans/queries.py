@@ -1059,6 +1059,15 @@ O_STREAM_ENRICH = O_ENRICH_HOUR_LATEST.replace(
         SELECT max(bucket) AS mb FROM b WHERE event_type IN ('click', 'error', 'view') GROUP BY event_type))""")
 
 
+def q_stream_replay(spark, d):
+    """The events as they are stored, in any order, fed to the enrichment in four slices of time and a
+    closing one: every click, with the latest error and view of its bucket."""
+    from ..streaming import jobs
+    out = jobs.replay_enrich_events(events(spark, d), S.shared_dir(spark, "stream_replay"), slices=4)
+    return out.select("event_id", ntz("bucket").alias("bucket"), "value", "err_event_id", "err_value",
+                      "view_event_id", "view_value")
+
+
 def q_stream_dedup(spark, d):
     from ..streaming import jobs
     out = jobs.run_to_table(jobs.dedup_events_stream(spark, d), "stream_dedup")
@@ -1161,6 +1170,7 @@ QUERIES = {
     "route_track": q_route_track,
     "distinct_routes": q_distinct_routes,
     "stream_enrich": q_stream_enrich,
+    "stream_replay": q_stream_replay,
     "stream_dedup": q_stream_dedup,
     "model_score": q_model_score,
     "stump_forest": q_stump_forest,
@@ -1220,5 +1230,6 @@ ORACLES = {
     "route_track": O_ROUTE_TRACK,
     "distinct_routes": O_DISTINCT_ROUTES,
     "stream_enrich": O_STREAM_ENRICH,
+    "stream_replay": O_ENRICH_HOUR_LATEST,
     "stream_dedup": O_STREAM_DEDUP,
 }

@@ -22,6 +22,7 @@ from ..functions import timeops as T
 from ..sources import readers as R
 from ..sources import sinks as K
 from .enrich import RightFeed, enrich
+from .replay import replay_to_table
 
 
 def events_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
@@ -70,8 +71,13 @@ def run_to_table(df: DataFrame, name: str, key_col: str | None = None,
 
 def enrich_events_stream(spark: SparkSession, sf_dir: str, watermark: str = "20 seconds",
                          salt_buckets: int | None = None) -> DataFrame:
-    salt_buckets = salt_buckets or default_state_partitions(spark)
-    ev = events_stream(spark, sf_dir).withColumn("bucket", T.next_hour_bucket("ts"))
+    return enrich_events(events_stream(spark, sf_dir), watermark, salt_buckets)
+
+
+def enrich_events(ev: DataFrame, watermark: str = "20 seconds", salt_buckets: int | None = None) -> DataFrame:
+    """Clicks with the latest error and view of their hour bucket, from a stream of events."""
+    salt_buckets = salt_buckets or default_state_partitions(ev.sparkSession)
+    ev = ev.withColumn("bucket", T.next_hour_bucket("ts"))
     clicks = ev.where(F.col("event_type") == "click").select("event_id", "user_id", "bucket", "value")
     # both weather-like feeds come from the one source: one branch, conditional per feed
     right = ev.where(F.col("event_type").isin("error", "view")).select("bucket", "ts", "event_id", "value",
@@ -85,11 +91,27 @@ def enrich_events_stream(spark: SparkSession, sf_dir: str, watermark: str = "20
 def dedup_events_stream(spark: SparkSession, sf_dir: str, watermark: str = "20 seconds") -> DataFrame:
     """Two copies of the feed (every row delivered twice), dedup with
     the event-time column in the key so state is evicted by the watermark."""
-    ev = events_stream(spark, sf_dir).select("event_id", "user_id", "ts", "value")
+    return dedup_events(events_stream(spark, sf_dir), watermark)
+
+
+def dedup_events(ev: DataFrame, watermark: str = "20 seconds") -> DataFrame:
+    ev = ev.select("event_id", "user_id", "ts", "value")
     both = ev.unionByName(ev).withWatermark("ts", watermark)
     return both.dropDuplicates(["event_id", "ts"])
 
 
+def replay_enrich_events(rows: DataFrame, base: str, slices: int, watermark: str = "20 seconds") -> DataFrame:
+    """T1-T5 over stored events in any order, closed: every click comes out, that of the last bucket too.
+    The closing slice has a click and an error a day after the last event."""
+    def closing(last: int) -> DataFrame:
+        types = rows.sparkSession.createDataFrame([("click",), ("error",)], "event_type string")
+        given = {"event_type": F.col("event_type"), "ts": F.timestamp_micros(F.lit(last + 86_400_000_000))}
+        return types.select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema])
+
+    parts = default_state_partitions(rows.sparkSession)
+    return replay_to_table(rows, "ts", lambda ev: enrich_events(ev, watermark, parts), base, slices, closing, parts)
+
+
 def production_stream(bus_msgs: DataFrame, obs_msgs: DataFrame, fc_msgs: DataFrame, model,
                       out_path: str, checkpoint: str, watermark: str = "20 seconds",
                       salt_buckets: int | None = None, trigger: dict | None = None, also=None,

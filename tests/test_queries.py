@@ -14,7 +14,7 @@ from delaycast.plans.queries import ORACLES, QUERIES  # noqa: E402  (optional su
 from oracle_check import TABLES, rows_of  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-STREAMING = {"stream_enrich", "stream_dedup"}
+STREAMING = {"stream_enrich", "stream_dedup", "stream_replay"}
 
 
 @pytest.fixture(scope="module")
