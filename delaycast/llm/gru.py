@@ -370,6 +370,7 @@ def scored(docs: DataFrame, held_out, parts: int = 4, chunk: int = 2_000_000) ->
     looks = counts.mapInPandas(by_look, "look int, n long").groupBy("look").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
     words = Words(top, known[0] + ends, known[1] + (ends > 0), ends, {r["look"]: (r["n"], r["v"]) for r in looks}, side)
     shared = spark.sparkContext.broadcast(words)
+    kind = np.uint16 if words.end + 1 + LOOKS <= 1 << 16 else np.int32  # token numbers are stored as bytes of this kind
 
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         w = shared.value
@@ -382,13 +383,13 @@ def scored(docs: DataFrame, held_out, parts: int = 4, chunk: int = 2_000_000) ->
                 tail = float(w.logs[known[known >= w.end]].sum())
                 base = float(w.logs[known].sum()) + end - len(t) * unit
                 out.append((row, doc, held, part, len(t), len(known) + (w.ends > 0), base,
-                            tail - look_unit[t[t > w.end] - w.end - 1].sum(), list(rare), list(rare.values()), t))
+                            tail - look_unit[t[t > w.end] - w.end - 1].sum(), list(rare), list(rare.values()), t.astype(kind).tobytes()))
             r = pd.DataFrame(out, columns=["row", "doc_id", "held_out", "part", "n_tokens", "n_known", "base", "model", "rare", "times", "tokens"])
             yield r.astype({"doc_id": "Int64", "row": "int64", "part": "int32"})
 
     part = F.when(F.col("held_out"), -1).otherwise(F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts))).cast("int")
     given = rows.withColumns({"part": part, "row": F.monotonically_increasing_id()})
-    kept = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double, rare array<binary>, times array<long>, tokens array<int>, part int"
+    kept = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double, rare array<binary>, times array<long>, tokens binary, part int"
     path = shared_dir(spark, "tokens")
     given.mapInPandas(lean(encode), kept).write.partitionBy("part").parquet(path)
     kept = spark.read.schema(kept).parquet(path)
@@ -397,7 +398,8 @@ def scored(docs: DataFrame, held_out, parts: int = 4, chunk: int = 2_000_000) ->
     def fit(frames: Iterator[pd.DataFrame], start, warm: int) -> Iterator[pd.DataFrame]:
         trainer, held, n = Trainer(Gru(start.value.copy(), side), warm=warm), [], 0
         for f in frames:
-            for t in f["tokens"]:
+            for data in f["tokens"]:
+                t = np.frombuffer(data, dtype=kind)
                 held.append(t)
                 n += len(t)
                 if n >= chunk:
@@ -419,7 +421,7 @@ def scored(docs: DataFrame, held_out, parts: int = 4, chunk: int = 2_000_000) ->
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = Gru(final.value, side)
         for f in together(frames):
-            f = f.assign(doc_id=f["doc_id"].astype("Int64"), model=f["model"] + model.score(list(f["tokens"])) / np.log(10))
+            f = f.assign(doc_id=f["doc_id"].astype("Int64"), model=f["model"] + model.score([np.frombuffer(t, dtype=kind) for t in f["tokens"]]) / np.log(10))
             yield f.drop(columns="tokens")
 
     done = kept.select("row", "doc_id", "held_out", "n_tokens", "n_known", "base", "model", "tokens")
