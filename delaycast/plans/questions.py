@@ -86,10 +86,12 @@ def recent_track(t: DataFrame, route_value: str, minutes: int = 5, route: str =
 
 def route_track(t: DataFrame, route_value: str, route: str = "routeShortName", ts: str = "generated",
                 lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """Q9: the whole track of one route in time order."""
+    """Q9: the whole track of one route in time order, with the route's bounding box."""
     r = FL.equals(t, route, route_value).select(T.to_ts(ts).alias("time"), C.to_number(lat).alias("lat"),
                                                 C.to_number(lon).alias("lon"))
-    return D.sort_by(r, ["time", "lat", "lon"])
+    box = r.select(F.struct(*A.bounding_box(r, ["lat", "lon"]))).scalar()
+    named = [box[c].alias(c) for c in ["min_lat", "max_lat", "min_lon", "max_lon"]]
+    return D.sort_by(r.select("time", "lat", "lon", *named), ["time", "lat", "lon"])
 
 
 def delay_distribution(t: DataFrame, delay: str = "delay") -> tuple[DataFrame, DataFrame]:

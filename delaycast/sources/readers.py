@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -16,6 +17,9 @@ from ..functions.timeops import shift
 POSITIONS_PREFIX = "Act_position"
 OBSERVATION_PREFIX = "Act_weather"
 FORECAST_PREFIX = "FC_weather"
+TIMETABLE_PREFIX = "Stops"
+STOPS_PREFIX = "Stop_times_position"
+STOPS_DATE = "2023-12-17"
 
 
 # ---------------------------------------------------------------- streams
@@ -100,16 +104,37 @@ def read_weather(spark: SparkSession, directory: str, date: str | None = None,
             read_files_by_name(spark, directory, fg, recursive=True, merge_schema=True))
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", "true").csv(path)
+def read_csv(spark: SparkSession, path: str, schema: StructType, glob: str | None = None) -> DataFrame:
+    """The columns of ``schema`` of CSV files with a header, found by name and cast (a cell that can't be: null);
+    other columns are left out. Only the first header is read to plan; a file with another header fails the scan."""
+    r = spark.read.option("header", "true").option("enforceSchema", "false")
+    if glob:
+        r = r.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+    rows = r.csv(path)
+    return rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_timetable(spark: SparkSession, timetable_path: str, stops_path: str) -> tuple[DataFrame, DataFrame]:
     """Timetable (trip_id, arrival_time, stop_id, stop_sequence) and stops
     (stop_id, stop_lat, stop_lon) with declared schemas (no inference)."""
-    tt = read_csv(spark, timetable_path, schemas.TIMETABLE).select(*schemas.TIMETABLE.fieldNames())
-    st = read_csv(spark, stops_path, schemas.STOPS).select(*schemas.STOPS.fieldNames())
-    return tt, st
+    return read_csv(spark, timetable_path, schemas.TIMETABLE), read_csv(spark, stops_path, schemas.STOPS)
+
+
+def read_timetable_of_day(spark: SparkSession, directory: str, date: str | None = None,
+                          stops_date: str = STOPS_DATE) -> tuple[DataFrame, DataFrame]:
+    """The timetable files of one day, or of all days, and the stop positions of that day, or of
+    ``stops_date`` without a day, chosen by name under ``directory``; repeated rows once. Several files of a
+    day are read together. FileNotFoundError if no file has such a name."""
+    def chosen(prefix: str, day: str, schema: StructType) -> DataFrame:
+        glob = f"*{prefix}_{day}*"
+        try:
+            return read_csv(spark, directory, schema, glob).distinct()
+        except AnalysisException as e:
+            if e.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+                raise
+            raise FileNotFoundError(f"{directory}/{glob}") from e
+
+    return chosen(TIMETABLE_PREFIX, date or "", schemas.TIMETABLE), chosen(STOPS_PREFIX, date or stops_date, schemas.STOPS)
 
 
 # ---------------------------------------------------------------- selection

@@ -1,6 +1,9 @@
+import pytest
+
 from delaycast import schemas
 from delaycast.plans import features as M
 from delaycast.plans import model as ML
+from delaycast.plans import questions as Q
 from delaycast.sources import readers as R
 from delaycast.sources import sinks as K
 
@@ -16,6 +19,31 @@ def test_read_timetable_csv(spark, tmp_path):
     assert t.count() == 2 and s.count() == 2
 
 
+def test_timetable_files_by_day(spark, tmp_path):
+    head = "departure_time,trip_id,stop_sequence,arrival_time,stop_id\n"
+    (tmp_path / "city_Stops_2024-01-01.csv").write_text(head + "-,a,1,10:00:00,s1\n-,a,1,10:00:00,s1\n-,a,x,10:05:00,s2\n")
+    (tmp_path / "city_Stops_2024-01-02.csv").write_text(head + "-,b,3,24:10:00,s1\n")
+    stops = "stop_name,stop_id,stop_lon,stop_lat\n"
+    (tmp_path / "city_Stop_times_position_2024-01-01.csv").write_text(stops + "n,s1,18.1,54.1\nn,s1,18.1,54.1\n")
+    (tmp_path / "city_Stop_times_position_2023-12-17.csv").write_text(stops + "n,s1,18.5,54.5\n")
+    t, s = R.read_timetable_of_day(spark, str(tmp_path), "2024-01-01")
+    # by name whatever the order of columns; a repeated row once; a cell that is no number: null
+    assert sorted(tuple(r) for r in t.collect()) == [("a", "10:00:00", "s1", 1), ("a", "10:05:00", "s2", None)]
+    assert [tuple(r) for r in s.collect()] == [("s1", 54.1, 18.1)]
+    t, s = R.read_timetable_of_day(spark, str(tmp_path))
+    assert {r.trip_id for r in t.collect()} == {"a", "b"} and s.first().stop_lat == 54.5
+    with pytest.raises(FileNotFoundError):
+        R.read_timetable_of_day(spark, str(tmp_path), "2024-02-01")
+
+
+def test_route_track_has_the_box(spark):
+    rows = [("5", "2024-01-01T10:00:00Z", "54.2", "18.1"), ("5", "2024-01-01T09:00:00Z", "54.1", "18.3"), ("6", "2024-01-01T09:00:00Z", "50", "10")]
+    got = Q.route_track(spark.createDataFrame(rows, "routeShortName string, generated string, lat string, lon string"), "5").collect()
+    assert [r.lat for r in got] == [54.1, 54.2]
+    assert {tuple(r)[3:] for r in got} == {(54.1, 54.2, 18.1, 18.3)}
+    assert Q.route_track(spark.createDataFrame(rows, "routeShortName string, generated string, lat string, lon string"), "7").count() == 0
+
+
 def test_model_save_load_roundtrip(spark, tmp_path):
     df = spark.createDataFrame([(float(i), float(i % 3), float(2 * i)) for i in range(60)], "x double, y double, delay_15min double")
     model = ML.build_pipeline(["x", "y"], num_trees=3, max_depth=2).fit(df)
