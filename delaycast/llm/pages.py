@@ -1,19 +1,22 @@
-"""The main text of web pages: markup says what it can, page differencing decides the rest.
-
-A page is cut into text lines (one for each block). Lines of containers that name
-themselves as frame (menus, footers, forms, adverts, reader comments and the like)
-go. Where a page declares its article, the lines within are the main text. All
-other lines are undecided: the page is paired with the page of its host whose URL
-path is nearest, the lines of both are aligned by a longest common subsequence,
-and shared ones are deleted as part of the template. A pair that shares over
-0.8 of a page's words is a pair of copies and tells nothing of the template; the
-page on the other side is taken instead.
+"""The main text of web pages by page differencing, checked by what the markup says.
+
+A page is cut into text lines (one for each block), menus and all. It is paired with
+the page of its host whose URL path is nearest, the lines of both are aligned by a
+longest common subsequence, and shared ones are those of the template. A pair that
+shares over 0.8 of a page's words outside its frame is a pair of copies and tells
+nothing of the template; the page on the other side is taken instead.
+
+An exact check follows, as neighbours may share passages and may have menus of their
+own: lines of containers that name themselves as frame (menus, footers, forms, adverts,
+reader comments and the like) go also if no neighbour has them, and where a page
+declares its article, the lines within stay also if a neighbour has them, and no others.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 from html import unescape
 
@@ -67,26 +70,30 @@ def zone_of(name: str, attributes: str, zone: int) -> int:
     return FORM if name == "form" else zone
 
 
-def lines(html: str) -> list[tuple[str, bool]]:
-    """The lines that are not dropped, each with whether the page declares it main text."""
-    out: list[tuple[str, bool]] = []
+def lines(html: str) -> list[tuple[str, int]]:
+    """The text lines of a page, each with OPEN, MAIN (the page declares it main text) or DROPPED."""
+    out: list[tuple[str, int]] = []
     held: list[str] = []
+    dropped: list[str] = []
     stack: list[tuple[str, int]] = []
     zone = held_zone = at = 0
 
     def end() -> None:
-        text = " ".join(unescape("".join(held)).split())
-        held.clear()
-        if text:
-            out.append((text, held_zone == MAIN))
+        for parts, of in ((held, held_zone), (dropped, DROPPED)):
+            text = " ".join(unescape("".join(parts)).split()) if parts else ""
+            parts.clear()
+            if text:
+                out.append((text, of))
 
     def add(text: str) -> None:
         nonlocal held_zone
-        if zone <= MAIN:
-            if zone != held_zone:
-                end()
-                held_zone = zone
-            held.append(text)
+        if zone > MAIN:
+            dropped.append(text)
+            return
+        if zone != held_zone:
+            end()
+            held_zone = zone
+        held.append(text)
 
     def cut(to: int) -> None:
         nonlocal zone
@@ -124,8 +131,9 @@ def lines(html: str) -> list[tuple[str, bool]]:
     return out
 
 
-def line_code(text: str) -> int:
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+def codes_of(found: list[tuple[str, int]]) -> list[int]:
+    """A number for each line; a line of the frame is never the same as one outside."""
+    return [int.from_bytes(hashlib.blake2b(t.encode("utf-8", "replace"), digest_size=8, person=b"frame" if z > MAIN else b"").digest(), "little", signed=True) for t, z in found]
 
 
 def ends_of(a: list, b: list) -> list[int]:
@@ -203,18 +211,18 @@ def path_of(url: Column) -> Column:
 
 
 def differenced(found: DataFrame, most: float = 0.8) -> DataFrame:
-    """row and gone (places of template lines) of the rows (row, url, codes, words, open) of `found` that are open.
+    """host, whole and gone (places of template lines) of each different page of a host; `found` has (url, codes, words) of all
+    pages, where a line of the frame counts no words, and `whole` is the hash of `codes`.
 
-    Pages of a host with the same lines count as one. Of the pages before and after a page in the order of host and
-    path, one has the longest common start of its path; it comes first, the other one if the first is a copy.
+    Pages of a host that differ in their frames only count as one. Of the pages before and after a page in the order of host
+    and path, one has the longest common start of its path; it comes first, the other one if the first is a copy.
     """
-    url = F.coalesce("url", F.lit(""))
-    same = found.select("row", host_of(url).alias("host"), path_of(url).alias("path"), "codes", "words", "open").withColumn("print", F.xxhash64("codes"))
-    keys = same.groupBy("host", "print").agg(F.min("path").alias("path"), F.max("open").alias("open"), F.min("row").alias("row"))
-    keys = placed(keys, ["host", "path", "print"]).drop("path", "open").join(same.select("row", "path", "codes", "words", "open"), "row")
-    keys = stored(keys, "placed")
-    some = keys.where("open")
-    near = some
+    seen = found.select(*host_and_whole(), path_of(F.coalesce("url", F.lit(""))).alias("path"), "codes", "words")
+    seen = stored(seen.groupBy("host", "whole").agg(F.min(F.struct("path", "codes", "words")).alias("x")).select("host", "whole", "x.*"), "lines")
+    seen = seen.withColumn("print", F.xxhash64(F.filter("codes", lambda c, i: F.get("words", i) > 0)))
+    keys = seen.groupBy("host", "print").agg(F.min(F.struct("path", "codes")).alias("x")).select("host", "print", "x.*")
+    keys = placed(keys, ["host", "path", "print"])
+    near = keys.drop("codes")
     for name, step in (("before", -1), ("after", 1)):
         other = keys.select((F.col("place") - step).alias("place"), F.col("host").alias(f"{name}_host"), F.col("path").alias(f"{name}_path"), F.col("codes").alias(name))
         near = near.join(other, "place", "left")
@@ -229,36 +237,56 @@ def differenced(found: DataFrame, most: float = 0.8) -> DataFrame:
                 sides.sort(key=lambda s: -common_start(r.path, s[0]))
                 tried = (template_lines(codes, words, None if s[1] is None else s[1].tolist(), most) for s in sides)
                 gone.append(next((t for t in tried if t is not None), []))
-            yield pd.DataFrame({"host": f["host"], "print": f["print"], "gone": gone})
+            yield pd.DataFrame({"host": f["host"], "whole": f["whole"], "gone": gone})
 
-    done = near.select("host", "print", "path", "codes", "words", "before", "before_path", "after", "after_path")
-    done = done.mapInPandas(lean(align), "host string, print long, gone array<int>")
-    return same.where("open").select("row", "host", "print").join(done, ["host", "print"]).select("row", "gone")
+    pairs = seen.drop("path").join(near, ["host", "print"]).select("host", "whole", "path", "codes", "words", "before", "before_path", "after", "after_path")
+    return pairs.mapInPandas(lean(align), "host string, whole long, gone array<int>")
 
 
-def main_text(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars of each row of `pages` (page_id, url, html).
+def host_and_whole() -> list[Column]:
+    return [host_of(F.coalesce("url", F.lit(""))).alias("host"), F.xxhash64("codes").alias("whole")]
+
 
-    A null html has an empty text; repeated rows are pages of their own; a null url is one of an unnamed host. Other
-    columns do not matter. The texts of pages that declare their article are never joined or sorted.
+def extracted(pages: DataFrame) -> DataFrame:
+    """page_id, url, text, n_chars, n_lines, n_template of each row of `pages` (page_id, url, html).
+
+    n_lines counts the text lines of the whole page, n_template those that the page shares with its neighbour. A null html
+    has an empty text; repeated rows are pages of their own; a null url is one of an unnamed host. Other columns do not
+    matter. Pages are read twice, once for the alignment and once for the texts, which
+    travel compressed to the join with its results.
     """
+    def outline(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            got = [lines(html or "") for html in f["html"]]
+            yield pd.DataFrame({"url": f["url"], "codes": list(map(codes_of, got)), "words": [[(t.count(" ") + 1) * (z <= MAIN) for t, z in g] for g in got]})
+
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             out = []
-            for row, page, url, html in zip(f["row"], f["page_id"].astype("Int64"), f["url"], f["html"]):
+            for page, url, html in zip(f["page_id"].astype("Int64"), f["url"], f["html"]):
                 got = lines(html or "")
-                mine = [t for t, main in got if main]
-                declared = bool(mine)
-                out.append((row, page, url, " ".join(mine) if declared else None, None if declared else [t for t, _ in got],
-                            [line_code(t) for t, _ in got], [t.count(" ") + 1 for t, _ in got], not declared and bool(got)))
-            r = pd.DataFrame(out, columns=["row", "page_id", "url", "text", "lines", "codes", "words", "open"])
-            yield r.astype({"page_id": "Int64", "row": "int64", "open": "bool"})
-
-    rows = pages.select(F.monotonically_increasing_id().alias("row"), F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    found = rows.mapInPandas(lean(read), "row long, page_id long, url string, text string, lines array<string>, codes array<long>, words array<int>, open boolean")
-    found = stored(found, "lines")
-    clear = found.where("not open").select("page_id", "url", F.coalesce("text", F.lit("")).alias("text"))
-    gone = differenced(found.select("row", "url", "codes", "words", "open"))
-    rest = F.filter("lines", lambda x, i: ~F.array_contains(F.col("gone"), i))
-    rest = found.where("open").join(gone, "row").select("page_id", "url", F.array_join(rest, " ").alias("text"))
-    return clear.unionByName(rest).withColumn("n_chars", F.length("text").cast("long"))
+                declared = any(z == MAIN for _, z in got)
+                mine = [i for i, (_, z) in enumerate(got) if z == (MAIN if declared else OPEN)]
+                out.append((page, url, codes_of(got), zlib.compress("\n".join(got[i][0] for i in mine).encode()), mine, declared))
+            yield pd.DataFrame(out, columns=["page_id", "url", "codes", "packed", "places", "declared"]).astype({"page_id": "Int64", "declared": "bool"})
+
+    def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            texts = []
+            for packed, places, declared, gone in zip(f["packed"], f["places"], f["declared"], f["gone"]):
+                left, template = zlib.decompress(packed).decode().split("\n"), set() if declared else set(gone)
+                texts.append(" ".join(t for t, i in zip(left, places) if i not in template))
+            kept = f.assign(page_id=f["page_id"].astype("Int64"), text=texts, n_template=[len(g) for g in f["gone"]])
+            yield kept[["page_id", "url", "text", "n_lines", "n_template"]]
+
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
+    gone = differenced(rows.select("url", "html").mapInPandas(lean(outline), "url string, codes array<long>, words array<int>"))
+    texts = rows.mapInPandas(lean(read), "page_id long, url string, codes array<long>, packed binary, places array<int>, declared boolean")
+    texts = texts.select("page_id", "url", *host_and_whole(), F.size("codes").cast("long").alias("n_lines"), "packed", "places", "declared")
+    done = texts.join(gone, ["host", "whole"]).drop("host", "whole").mapInPandas(lean(check), "page_id long, url string, text string, n_lines long, n_template long")
+    return done.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_lines", "n_template")
+
+
+def main_text(pages: DataFrame) -> DataFrame:
+    """page_id, url, text, n_chars of each row of `pages`."""
+    return extracted(pages).select("page_id", "url", "text", "n_chars")

@@ -80,7 +80,7 @@ def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.main_text(table(spark, sf_dir, "pages"))
+    return pages.extracted(table(spark, sf_dir, "pages"))
 
 
 QUERIES = {

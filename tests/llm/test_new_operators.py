@@ -260,3 +260,17 @@ def test_pages_of_a_table_of_one_page_and_long_lines(spark):
     long = "word " * 200_000
     got = pages.main_text(spark.createDataFrame([(1, "http://h/a", f"<div>{long}</div><div>end</div>")], "page_id long, url string, html string")).first()
     assert got["text"] == f"{long.strip()} end"
+
+
+def test_pages_with_an_article_are_differenced_too(spark):
+    def page(menu, article):
+        return f"<nav><ul><li>{menu}</li><li>Home</li></ul></nav><article><p>a passage of both</p><p>{article}</p></article><div class='footer'>Imprint</div><div>Legal</div>"
+
+    rows = [(1, "http://h/news/1", page("m1", "first story of them all")), (2, "http://h/news/2", page("m2", "another one, quite different")),
+            (3, "http://other/x", page("m1", "alone")), (4, "http://h/news/2?p=2", page("m2", "another one, quite different"))]
+    got = {r["page_id"]: r for r in pages.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    # Home, the passage, Imprint and Legal are shared; the check by the markup keeps the passage and takes the menu line away
+    assert [(got[i]["n_lines"], got[i]["n_template"]) for i in (1, 2, 3, 4)] == [(6, 4), (6, 4), (6, 0), (6, 4)]
+    assert got[1]["text"] == "a passage of both first story of them all" and got[3]["text"] == "a passage of both alone"
+    assert got[2]["text"] == got[4]["text"] == "a passage of both another one, quite different"
+    assert [t for t, z in pages.lines(rows[0][2])] == ["m1", "Home", "a passage of both", "first story of them all", "Imprint", "Legal"]
