@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from delaycast.session import shared_dir
 
-from .kit import lean, stored
+from .kit import keep_freed, lean, stored
 
 #: Classes with a softmax of their own, and words of each: at least; they grow with the root of the number of different words.
 LEAST_SIDE, WORDS_PER_SIDE = 32, 32
@@ -63,15 +64,15 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 def chosen(logits: np.ndarray, at: np.ndarray, back: bool = False):
     """log softmax at one place of each row; with `back` also the slope of minus its sum by the logits. Logits are held to +-60."""
     np.clip(logits, -60, 60, out=logits)
-    rows = np.arange(len(logits))
-    picked = logits[rows, at]
+    places = np.arange(0, logits.size, logits.shape[1]) + at
+    picked = logits.ravel().take(places)
     e = np.exp(logits, out=logits)
-    total = e.sum(axis=1)
+    total = e @ np.ones(e.shape[1], dtype=e.dtype)
     out = picked - np.log(total)
     if not back:
         return out
     e /= total[:, None]
-    e[rows, at] -= 1
+    e.ravel()[places] -= 1
     return out, e
 
 
@@ -109,7 +110,11 @@ class Gru:
 
     def step(self, x: np.ndarray, h: np.ndarray):
         """One step: the new state, and what going back needs (gates, candidate state, sums from the state)."""
-        given, held = self.inputs[x], h @ self.state
+        return self.moved(self.inputs.take(x, axis=0), h)
+
+    def moved(self, given: np.ndarray, h: np.ndarray):
+        """As `step`, from the rows of `inputs` of the tokens."""
+        held = h @ self.state
         zr = sigmoid(given[:, : 2 * HIDDEN] + held[:, : 2 * HIDDEN])
         n = np.tanh(given[:, 2 * HIDDEN:] + zr[:, HIDDEN:] * held[:, 2 * HIDDEN:])
         return n + zr[:, :HIDDEN] * (h - n), zr, n, held
@@ -117,15 +122,17 @@ class Gru:
     def outputs(self, states: np.ndarray, x: np.ndarray, back: bool = False):
         """log P of each token x after each state; with `back` also the loss's slopes by the states and by the output parameters."""
         cls = np.where(x < self.head, x // self.side, self.side + x - self.head)
-        got = chosen(states @ self.classes[:HIDDEN] + self.classes[HIDDEN], cls, back)
+        logits = states @ self.classes[:HIDDEN]
+        logits += self.classes[HIDDEN]
+        got = chosen(logits, cls, back)
         out = (got[0] if back else got).astype(np.float64)
         if back:
             d_states = got[1] @ self.classes[:HIDDEN].T
             d = {"classes": np.vstack([states.T @ got[1], got[1].sum(axis=0)]), "words": np.zeros_like(self.words)}
         order = np.argsort(cls.astype(np.int16), kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(self.side + 1)).tolist()
+        edges = np.searchsorted(cls.take(order), np.arange(self.side + 1)).tolist()
         order = order[: edges[-1]]  # the rows of a class lie side by side from here on
-        sorted_states, place = states[order], x[order] % self.side
+        sorted_states, place = states.take(order, axis=0), x.take(order) % self.side
         logs, slopes = np.empty(len(order)), np.empty_like(sorted_states)
         for c, (a, b) in enumerate(zip(edges, edges[1:])):
             if a < b:
@@ -154,18 +161,20 @@ class Gru:
             for j, i in enumerate(rows):
                 grid[: sizes[j], j] = texts[i]
             active = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), side="right")  # sequences still running at each step
-            h = np.zeros((len(rows), HIDDEN), dtype=np.float32)
-            for t in range(0, sizes[0], window):
-                states, tokens, lane = [], [], []
-                for s in range(t, min(t + window, sizes[0])):
-                    n = active[s]
-                    h, x = h[:n], grid[s, :n]
-                    states.append(h)
-                    tokens.append(x)
-                    lane.append(np.arange(n))
-                    h = self.step(x, h)[0]
-                got = self.outputs(np.concatenate(states), np.concatenate(tokens))
-                total[rows] += np.bincount(np.concatenate(lane), got, len(rows))
+            h, lanes_of = np.zeros((len(rows), HIDDEN), dtype=np.float32), np.arange(len(rows))
+            states, tokens, lane, held = [], [], [], 0
+            for s in range(sizes[0]):
+                n = active[s]
+                h, x = h[:n], grid[s, :n]
+                states.append(h)
+                tokens.append(x)
+                lane.append(lanes_of[:n])
+                h = self.step(x, h)[0]
+                held += n
+                if held >= lanes * window or s + 1 == sizes[0]:
+                    got = self.outputs(np.concatenate(states), np.concatenate(tokens))
+                    total[rows] += np.bincount(np.concatenate(lane), got, len(rows))
+                    states, tokens, lane, held = [], [], [], 0
         return total
 
 
@@ -193,24 +202,27 @@ class Trainer:
         for j, s in enumerate(streams):
             grid[: lengths[j], j] = np.concatenate(s)
             fresh[np.cumsum([0, *map(len, s[:-1])]), j] = True
-        h = np.zeros((len(streams), HIDDEN), dtype=np.float32)
-        for t in range(0, len(grid), self.window):
+        h, t = np.zeros((len(streams), HIDDEN), dtype=np.float32), 0
+        while t < len(grid):
             on = int(np.searchsorted(-lengths, -t, side="left"))  # streams longer than t
-            part = (slice(t, t + self.window), slice(0, on))
-            live = np.arange(t, min(t + self.window, len(grid)))[:, None] < lengths[None, :on]
-            h = self.learn(grid[part], fresh[part], live, h[:on], lanes)
+            to = t + self.window * min(max(1, lanes // on), 16)  # the fewer they are, the longer the window
+            part = (slice(t, to), slice(0, on))
+            live = np.arange(t, min(to, len(grid)))[:, None] < lengths[None, :on]
+            h, t = self.learn(grid[part], fresh[part], live, h[:on], lanes), to
 
     def learn(self, grid: np.ndarray, fresh: np.ndarray, live: np.ndarray, h: np.ndarray, lanes: int = 0) -> np.ndarray:
         m, steps, width, hid = self.m, len(grid), grid.shape[1], HIDDEN
         states, held, gates, new = (np.empty((steps, width, n), dtype=np.float32) for n in (hid, 3 * hid, 2 * hid, hid))
         same = (~fresh).astype(np.float32)[:, :, None]
+        x = grid.ravel()
+        given = m.inputs.take(x, axis=0).reshape(steps, width, 3 * hid)
         for s in range(steps):
             np.multiply(h, same[s], out=states[s])
-            h, gates[s], new[s], held[s] = m.step(grid[s], states[s])
-        at = live.ravel()
-        n = int(at.sum())
+            h, gates[s], new[s], held[s] = m.moved(given[s], states[s])
+        at = np.flatnonzero(live.ravel())
+        n = len(at)
         flat = states.reshape(-1, hid)
-        _, d_live, d = m.outputs(flat[at], grid.ravel()[at], back=True)
+        _, d_live, d = m.outputs(flat.take(at, axis=0), x.take(at), back=True)
         d_out = np.zeros_like(flat)
         d_out[at] = d_live
         d_out = d_out.reshape(states.shape)
@@ -233,10 +245,12 @@ class Trainer:
         d_given = np.concatenate([d_held[:, :, : 2 * hid], d_new], axis=2)
         slope = Gru(np.zeros_like(m.vector), m.side)
         slope.state[:] = flat.T @ d_held.reshape(-1, 3 * HIDDEN)
-        x = grid.ravel()
-        order = np.argsort(x, kind="stable")
-        first = np.flatnonzero(np.concatenate(([True], np.diff(x[order]) > 0)))
-        slope.inputs[x[order][first]] = np.add.reduceat(d_given.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
+        order = np.argsort(x.astype(np.uint16) if len(m.inputs) <= 1 << 16 else x, kind="stable")
+        changes = np.concatenate(([0], np.diff(x.take(order)) > 0))
+        which = np.empty(len(x), dtype=np.int64)  # the place of each token among the different tokens
+        which[order] = np.cumsum(changes)
+        first = order[np.flatnonzero(np.concatenate(([1], changes[1:])))]
+        slope.inputs[x[first]] = np.stack([np.bincount(which, column) for column in np.ascontiguousarray(d_given.reshape(-1, 3 * hid).T)], axis=1)
         slope.classes[:], slope.words[:] = d["classes"], d["words"]
         g = slope.vector / ((lanes or self.lanes) * self.window)  # a window of a few streams' ends weighs little
         g *= min(1, 1 / (np.sqrt(float(g @ g)) + 1e-9))
@@ -273,9 +287,9 @@ class Words:
     def tokens(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """The tokens of a text, with its end; the ranks of its known words (-1: not known); the words that are not."""
         get = self.rank.get
-        ranks = np.array([get(w, -1) for w in words], dtype=np.int32)
+        ranks = np.fromiter(map(get, words, repeat(-1)), np.int32, len(words))
         out = np.empty(len(words) + 1, dtype=np.int32)
-        out[:-1], out[-1] = self.token_of[ranks], self.end
+        out[:-1], out[-1] = self.token_of.take(ranks), self.end
         unknown = np.flatnonzero(ranks < 0)
         rare = [words[i] for i in unknown.tolist()]
         out[unknown] = [self.end + 1 + look(w) for w in rare]
@@ -379,23 +393,24 @@ def scored(docs: DataFrame, held_out, parts: int = 4, chunk: int = 2_000_000) ->
             out = []
             for row, doc, held, part, text in zip(f["row"], f["doc_id"].astype("Int64"), f["held_out"], f["part"], f["text"]):
                 t, ranks, unknown = w.tokens(words_of(text))
-                rare, known = Counter(unknown), ranks[ranks >= 0]
+                known = ranks[ranks >= 0]
                 tail = float(w.logs[known[known >= w.end]].sum())
                 base = float(w.logs[known].sum()) + end - len(t) * unit
                 out.append((row, doc, held, part, len(t), len(known) + (w.ends > 0), base,
-                            tail - look_unit[t[t > w.end] - w.end - 1].sum(), list(rare), list(rare.values()), t.astype(kind).tobytes()))
-            r = pd.DataFrame(out, columns=["row", "doc_id", "held_out", "part", "n_tokens", "n_known", "base", "model", "rare", "times", "tokens"])
+                            tail - look_unit[t[t > w.end] - w.end - 1].sum(), b" ".join(unknown).decode() if unknown else None, t.astype(kind).tobytes()))
+            r = pd.DataFrame(out, columns=["row", "doc_id", "held_out", "part", "n_tokens", "n_known", "base", "model", "rare", "tokens"])
             yield r.astype({"doc_id": "Int64", "row": "int64", "part": "int32"})
 
     part = F.when(F.col("held_out"), -1).otherwise(F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts))).cast("int")
     given = rows.withColumns({"part": part, "row": F.monotonically_increasing_id()})
-    kept = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double, rare array<binary>, times array<long>, tokens binary, part int"
+    kept = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double, rare string, tokens binary, part int"
     path = shared_dir(spark, "tokens")
     given.mapInPandas(lean(encode), kept).write.partitionBy("part").parquet(path)
     kept = spark.read.schema(kept).parquet(path)
     vector = Gru.start(words.head_counts, words.look_counts).vector
 
     def fit(frames: Iterator[pd.DataFrame], start, warm: int) -> Iterator[pd.DataFrame]:
+        keep_freed()
         trainer, held, n = Trainer(Gru(start.value.copy(), side), warm=warm), [], 0
         for f in frames:
             for data in f["tokens"]:
@@ -419,6 +434,7 @@ def scored(docs: DataFrame, held_out, parts: int = 4, chunk: int = 2_000_000) ->
     final = spark.sparkContext.broadcast(vector)
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keep_freed()
         model = Gru(final.value, side)
         for f in together(frames):
             f = f.assign(doc_id=f["doc_id"].astype("Int64"), model=f["model"] + model.score([np.frombuffer(t, dtype=kind) for t in f["tokens"]]) / np.log(10))
@@ -426,8 +442,8 @@ def scored(docs: DataFrame, held_out, parts: int = 4, chunk: int = 2_000_000) ->
 
     done = kept.select("row", "doc_id", "held_out", "n_tokens", "n_known", "base", "model", "tokens")
     done = stored(done.mapInPandas(lean(score), "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double"), "scores")
-    rare = kept.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
-    rare = rare.join(counts, "word").groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("add"))
+    rare = kept.where("rare is not null").select("row", F.explode(F.split("rare", " ")).alias("word")).withColumn("word", F.col("word").cast("binary"))
+    rare = rare.join(counts, "word").groupBy("row").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("n") + 1)).alias("add"))
     done = done.join(rare, "row", "left")
     add = F.coalesce("add", F.lit(0.0))
     return done.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),

@@ -360,6 +360,15 @@ def test_gru_learns():
     assert m.score(texts[:2]).sum() > before / 3
 
 
+def test_gru_windows_grow_as_streams_end():
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(0, gru.END, n) for n in (20_000, *[100] * 300)]
+    t = gru.Trainer(gru.Gru.start(np.ones(gru.HEAD), np.ones(gru.LOOKS)))
+    t.train(texts)
+    assert t.tokens == sum(map(len, texts)) and t.steps < 100  # 625 windows of 32 before
+    assert np.isfinite(t.m.vector).all()
+
+
 # ---- 6: mixing
 
 @pytest.mark.parametrize("weights", [[1], [3, 1], [8, 6, 5, 4, 4, 3, 3, 2, 2, 1, 12], [1, 1, 1], [7, 5, 3, 2]])
