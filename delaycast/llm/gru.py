@@ -14,10 +14,11 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,49 +32,65 @@ HEAD = LEAST_SIDE * LEAST_SIDE  # words of the least model, of which the last is
 END = HEAD - 1
 LOOKS = 24
 HIDDEN = 16
+#: Rows whose class logits are at hand at once: so few that they stay in the processor's cache.
+ROWS_AT_ONCE = 1024
 #: Numbers of a slice of the parameters when tasks' results are averaged.
 SLICE = 16_384
 #: Words whose counts every task knows; the counts of all others come by a join.
 KNOWN_WORDS = 100_000
-COUNTED_AT_ONCE = 400_000
-_LATIN = {**dict.fromkeys(b"\xa7\xa8\xa9\xaa\xab\x80\x87\x88\x89\x8a", 1), **dict.fromkeys(b"\xa4\xb6\xbc\x9f\x84\x96\x9c", 2)}
-
-
-def words_of(text: str) -> list[bytes]:
-    """The words of a text, A to Z in lower case."""
-    return text.encode("utf-8", "replace").lower().split()
-
-
-def look(word: bytes) -> int:
-    """One of LOOKS classes: the word's first accent, how it ends, and whether it is long."""
-    accent = 0 if word.isascii() else next((_LATIN.get(b, 3) for a, b in zip(word, word[1:]) if a >= 0x80), 3)
-    last = word[-1:]
-    end = 0 if last.isalnum() or last >= b"\x80" else 1 if last in b".," else 2
-    return (accent * 3 + end) * 2 + (len(word) > 6)
-
-
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    """In place."""
-    x *= 0.5
-    np.tanh(x, out=x)
-    x *= 0.5
-    x += 0.5
-    return x
-
-
-def chosen(logits: np.ndarray, at: np.ndarray, back: bool = False):
-    """log softmax at one place of each row; with `back` also the slope of minus its sum by the logits. Logits are held to +-60."""
-    np.clip(logits, -60, 60, out=logits)
+#: Rows of counts that a task holds before it adds them up and hands them on, and rows of a batch of them.
+COUNTED_AT_ONCE, COUNTED_BATCH = 800_000, 50_000
+#: By byte: the accent of a character whose second byte it is, and the ending of a word whose last byte it is.
+_ACCENT = np.array([1 if b in b"\xa7\xa8\xa9\xaa\xab\x80\x87\x88\x89\x8a" else 2 if b in b"\xa4\xb6\xbc\x9f\x84\x96\x9c" else 3 for b in range(256)], dtype=np.int32)
+_ENDING = np.array([0 if bytes([b]).isalnum() or b >= 0x80 else 1 if b in b".," else 2 for b in range(256)], dtype=np.int32)
+
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, A to Z in lower case, one after the other; and where those of each text begin, with their number at the end."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words, edges = lists.flatten(), np.asarray(lists.offsets).astype(np.int64)
+    edges -= edges[0]
+    real = np.asarray(pc.binary_length(words)) > 0  # white space at an end leaves an empty word there
+    if not real.all():
+        words, edges = words.filter(pa.array(real)), np.concatenate(([0], np.cumsum(real)))[edges]
+    return words.cast(pa.binary()), edges
+
+
+def look(words: pa.Array) -> np.ndarray:
+    """One of LOOKS classes for each word: its first accent, how it ends, and whether it is long."""
+    if not len(words):
+        return np.empty(0, dtype=np.int32)
+    _, offsets, data = words.buffers()
+    edges = np.frombuffer(offsets, np.int32)[words.offset: words.offset + len(words) + 1].astype(np.int64)
+    byte = np.frombuffer(data, np.uint8)[edges[0]: edges[-1]]
+    edges -= edges[0]
+    accent = np.zeros(len(words), dtype=np.int32)
+    high = np.flatnonzero(byte >= 0x80)
+    of = np.searchsorted(edges, high, side="right") - 1
+    first = np.flatnonzero(np.diff(of, prepend=-1))
+    high, of = high[first], of[first]
+    inner = high + 1 < edges[of + 1]  # a byte of the same word follows
+    accent[of] = np.where(inner, _ACCENT[byte.take(high + 1, mode="clip")], 3)
+    return (accent * 3 + _ENDING[byte[edges[1:] - 1]]) * 2 + (np.diff(edges) > 6)
+
+
+def chosen(states: np.ndarray, weights: np.ndarray, at: np.ndarray, held: bool, back: bool):
+    """log softmax of states @ weights at one place of each row, the logits held to +-60 if they may pass it; with `back`
+    instead the slopes of minus its sum by the states (but the last, which is 1) and by the weights."""
+    logits = states @ weights
+    if held:
+        np.clip(logits, -60, 60, out=logits)
     places = np.arange(0, logits.size, logits.shape[1]) + at
-    picked = logits.ravel().take(places)
+    picked = None if back else logits.take(places)
     e = np.exp(logits, out=logits)
     total = e @ np.ones(e.shape[1], dtype=e.dtype)
-    out = picked - np.log(total)
     if not back:
-        return out
-    e /= total[:, None]
-    e.ravel()[places] -= 1
-    return out, e
+        return picked - np.log(total)
+    e.reshape(-1)[places] -= total
+    total = np.reciprocal(total, out=total)[:, None]
+    by_states = e @ weights[:-1].T
+    by_states *= total
+    return by_states, (states * total).T @ e
 
 
 class Gru:
@@ -109,48 +126,76 @@ class Gru:
         return m
 
     def step(self, x: np.ndarray, h: np.ndarray):
-        """One step: the new state, and what going back needs (gates, candidate state, sums from the state)."""
-        return self.moved(self.inputs.take(x, axis=0), h)
-
-    def moved(self, given: np.ndarray, h: np.ndarray):
-        """As `step`, from the rows of `inputs` of the tokens."""
-        held = h @ self.state
-        zr = sigmoid(given[:, : 2 * HIDDEN] + held[:, : 2 * HIDDEN])
-        n = np.tanh(given[:, 2 * HIDDEN:] + zr[:, HIDDEN:] * held[:, 2 * HIDDEN:])
-        return n + zr[:, :HIDDEN] * (h - n), zr, n, held
+        """One step: the new state, and the rest of `run`."""
+        *rest, h = self.run(x[None], h.T)
+        return h.T, *rest
+
+    def run(self, grid: np.ndarray, h: np.ndarray, same: np.ndarray | None = None):
+        """Steps of streams side by side, all by (step, number, stream): the states before each step, what going back
+        needs (gates, candidate states, their sums from the state), and the last state (number, stream). What comes into
+        a step is multiplied by `same`."""
+        (steps, width), hid, kind = grid.shape, HIDDEN, self.vector.dtype
+        sign = np.repeat(np.array([-1, 1], dtype=kind), [2 * hid, hid])  # the sigmoid of x is 1 / (1 + exp(-x))
+        inputs, state = self.inputs * sign, np.ascontiguousarray((self.state * sign).T)
+        given = np.ascontiguousarray(inputs.take(grid.ravel(), axis=0).reshape(steps, width, 3 * hid).transpose(0, 2, 1))
+        states, gates, new, held = (np.empty((steps, n, width), dtype=kind) for n in (hid, 2 * hid, hid, hid))
+        sums = np.empty((3 * hid, width), dtype=kind)
+        for s in range(steps):
+            now, zr, n = states[s], gates[s], new[s]
+            if same is None:
+                now[:] = h
+            else:
+                np.multiply(h, same[s], out=now)
+            np.matmul(state, now, out=sums)
+            np.add(given[s, : 2 * hid], sums[: 2 * hid], out=zr)
+            with np.errstate(over="ignore"):
+                np.exp(zr, out=zr)
+            zr += 1
+            np.reciprocal(zr, out=zr)
+            held[s] = sums[2 * hid:]
+            np.multiply(zr[hid:], sums[2 * hid:], out=n)
+            n += given[s, 2 * hid:]
+            np.tanh(n, out=n)
+            h = now - n
+            h *= zr[:hid]
+            h += n
+        return states, gates, new, held, h
 
     def outputs(self, states: np.ndarray, x: np.ndarray, back: bool = False):
-        """log P of each token x after each state; with `back` also the loss's slopes by the states and by the output parameters."""
+        """log P of each token x after each state; with `back` instead the loss's slopes by the states and by the output parameters."""
+        given = np.ones((len(states), HIDDEN + 1), dtype=states.dtype)
+        given[:, :HIDDEN] = states
+        most = np.abs(given).max(axis=0) if len(given) else given.sum(axis=0)
+        x = x.astype(np.int32)
         cls = np.where(x < self.head, x // self.side, self.side + x - self.head)
-        logits = states @ self.classes[:HIDDEN]
-        logits += self.classes[HIDDEN]
-        got = chosen(logits, cls, back)
-        out = (got[0] if back else got).astype(np.float64)
-        if back:
-            d_states = got[1] @ self.classes[:HIDDEN].T
-            d = {"classes": np.vstack([states.T @ got[1], got[1].sum(axis=0)]), "words": np.zeros_like(self.words)}
+        out = np.empty_like(states) if back else np.empty(len(x))
+        d = {"classes": np.zeros_like(self.classes), "words": np.zeros_like(self.words)}
+        held = bool((most @ np.abs(self.classes)).max() > 60)
+        for a in range(0, len(x), ROWS_AT_ONCE):
+            b = a + ROWS_AT_ONCE
+            got = chosen(given[a:b], self.classes, cls[a:b], held, back)
+            if back:
+                out[a:b] = got[0]
+                d["classes"] += got[1]
+            else:
+                out[a:b] = got
         order = np.argsort(cls.astype(np.int16), kind="stable")
         edges = np.searchsorted(cls.take(order), np.arange(self.side + 1)).tolist()
         order = order[: edges[-1]]  # the rows of a class lie side by side from here on
-        sorted_states, place = states.take(order, axis=0), x.take(order) % self.side
-        logs, slopes = np.empty(len(order)), np.empty_like(sorted_states)
+        given, place = given.take(order, axis=0), x.take(order) % self.side
+        inner = np.empty((len(order), *out.shape[1:]), dtype=out.dtype)
+        held = (np.einsum("k,ckw->cw", most, np.abs(self.words)).max(axis=1) > 60).tolist()
         for c, (a, b) in enumerate(zip(edges, edges[1:])):
             if a < b:
-                s, w = sorted_states[a:b], self.words[c]
-                logits = s @ w[:HIDDEN]
-                logits += w[HIDDEN]
-                got = chosen(logits, place[a:b], back)
-                logs[a:b] = got[0] if back else got
+                got = chosen(given[a:b], self.words[c], place[a:b], held[c], back)
                 if back:
-                    np.matmul(got[1], w[:HIDDEN].T, out=slopes[a:b])
-                    np.matmul(s.T, got[1], out=d["words"][c, :HIDDEN])
-                    got[1].sum(axis=0, out=d["words"][c, HIDDEN])
-        out[order] += logs
-        if back:
-            d_states[order] += slopes
-        return (out, d_states, d) if back else out
-
-    def score(self, texts: list[np.ndarray], lanes: int = 1024, window: int = 32) -> np.ndarray:
+                    inner[a:b], d["words"][c] = got
+                else:
+                    inner[a:b] = got
+        out[order] += inner
+        return (out, d) if back else out
+
+    def score(self, texts: list[np.ndarray], lanes: int = 1024, window: int = 16) -> np.ndarray:
         """Natural-log probability of each token sequence."""
         total = np.zeros(len(texts))
         order = np.argsort([-len(t) for t in texts], kind="stable")
@@ -160,21 +205,16 @@ class Gru:
             grid = np.zeros((sizes[0], len(rows)), dtype=np.int32)
             for j, i in enumerate(rows):
                 grid[: sizes[j], j] = texts[i]
-            active = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), side="right")  # sequences still running at each step
-            h, lanes_of = np.zeros((len(rows), HIDDEN), dtype=np.float32), np.arange(len(rows))
-            states, tokens, lane, held = [], [], [], 0
-            for s in range(sizes[0]):
-                n = active[s]
-                h, x = h[:n], grid[s, :n]
-                states.append(h)
-                tokens.append(x)
-                lane.append(lanes_of[:n])
-                h = self.step(x, h)[0]
-                held += n
-                if held >= lanes * window or s + 1 == sizes[0]:
-                    got = self.outputs(np.concatenate(states), np.concatenate(tokens))
-                    total[rows] += np.bincount(np.concatenate(lane), got, len(rows))
-                    states, tokens, lane, held = [], [], [], 0
+            h, t = np.zeros((HIDDEN, len(rows)), dtype=np.float32), 0
+            while t < sizes[0]:
+                on = int(np.searchsorted(-sizes, -t, side="left"))  # sequences longer than t
+                to = t + max(window, lanes * window // on)  # some lanes * window tokens
+                x = grid[t:to, :on]
+                states, *_, h = self.run(x, h[:, :on])
+                at = np.flatnonzero(np.arange(t, t + len(x))[:, None] < sizes[:on])
+                got = self.outputs(states.transpose(0, 2, 1).reshape(-1, HIDDEN).take(at, axis=0), x.ravel().take(at))
+                total[rows[:on]] += np.bincount(at % on, got, on)
+                t = to
         return total
 
 
@@ -212,57 +252,62 @@ class Trainer:
 
     def learn(self, grid: np.ndarray, fresh: np.ndarray, live: np.ndarray, h: np.ndarray, lanes: int = 0) -> np.ndarray:
         m, steps, width, hid = self.m, len(grid), grid.shape[1], HIDDEN
-        states, held, gates, new = (np.empty((steps, width, n), dtype=np.float32) for n in (hid, 3 * hid, 2 * hid, hid))
-        same = (~fresh).astype(np.float32)[:, :, None]
-        x = grid.ravel()
-        given = m.inputs.take(x, axis=0).reshape(steps, width, 3 * hid)
-        for s in range(steps):
-            np.multiply(h, same[s], out=states[s])
-            h, gates[s], new[s], held[s] = m.moved(given[s], states[s])
+        x, kind = grid.ravel(), self.m.vector.dtype
+        same = (~fresh).astype(kind)[:, None, :]
+        states, gates, new, held, h = m.run(grid, h.T, same)
         at = np.flatnonzero(live.ravel())
         n = len(at)
-        flat = states.reshape(-1, hid)
-        _, d_live, d = m.outputs(flat.take(at, axis=0), x.take(at), back=True)
+        flat = states.transpose(0, 2, 1).reshape(-1, hid)
+        d_live, d = m.outputs(flat.take(at, axis=0), x.take(at), back=True)
         d_out = np.zeros_like(flat)
         d_out[at] = d_live
-        d_out = d_out.reshape(states.shape)
-        z, r, alive = gates[:, :, :hid], gates[:, :, hid:], live.astype(np.float32)[:, :, None]
+        d_out = np.ascontiguousarray(d_out.reshape(steps, width, hid).transpose(0, 2, 1))
+        z, r, alive = gates[:, :hid], gates[:, hid:], live.astype(kind)[:, None, :]
         # slopes of the new state by the gates' sums; what the loop adds is the slope by the new state
-        by_z, by_n, by_r = (states - new) * z * (1 - z), (1 - z) * (1 - new * new), held[:, :, 2 * hid:] * r * (1 - r)
-        d_held, d_new = np.empty((steps, width, 3 * hid), dtype=np.float32), np.empty_like(states)
-        back, dh = np.ascontiguousarray(m.state.T), np.zeros((width, hid), dtype=np.float32)
+        by_z, by_n, by_r = (states - new) * z * (1 - z), (1 - z) * (1 - new * new), held * r * (1 - r)
+        d_held, d_new = np.empty((steps, 3 * hid, width), dtype=kind), np.empty_like(states)
+        dh, more = np.zeros((2, hid, width), dtype=kind)
         for s in range(steps - 1, -1, -1):
             dh *= alive[s]
             dn, g = d_new[s], d_held[s]
             np.multiply(dh, by_n[s], out=dn)
-            np.multiply(dh, by_z[s], out=g[:, :hid])
-            np.multiply(dn, by_r[s], out=g[:, hid: 2 * hid])
-            np.multiply(dn, r[s], out=g[:, 2 * hid:])
+            np.multiply(dh, by_z[s], out=g[:hid])
+            np.multiply(dn, by_r[s], out=g[hid: 2 * hid])
+            np.multiply(dn, r[s], out=g[2 * hid:])
             dh *= z[s]
-            dh += g @ back
+            dh += np.matmul(m.state, g, out=more)
             dh += d_out[s]
             dh *= same[s]
-        d_given = np.concatenate([d_held[:, :, : 2 * hid], d_new], axis=2)
         slope = Gru(np.zeros_like(m.vector), m.side)
-        slope.state[:] = flat.T @ d_held.reshape(-1, 3 * HIDDEN)
+        by_number = d_held.transpose(1, 0, 2).reshape(3 * hid, -1)
+        slope.state[:] = (by_number @ flat).T
+        by_number[2 * hid:] = d_new.transpose(1, 0, 2).reshape(hid, -1)
         order = np.argsort(x.astype(np.uint16) if len(m.inputs) <= 1 << 16 else x, kind="stable")
         changes = np.concatenate(([0], np.diff(x.take(order)) > 0))
         which = np.empty(len(x), dtype=np.int64)  # the place of each token among the different tokens
         which[order] = np.cumsum(changes)
         first = order[np.flatnonzero(np.concatenate(([1], changes[1:])))]
-        slope.inputs[x[first]] = np.stack([np.bincount(which, column) for column in np.ascontiguousarray(d_given.reshape(-1, 3 * hid).T)], axis=1)
+        slope.inputs[x[first]] = np.stack([np.bincount(which, column) for column in by_number], axis=1)
         slope.classes[:], slope.words[:] = d["classes"], d["words"]
-        g = slope.vector / ((lanes or self.lanes) * self.window)  # a window of a few streams' ends weighs little
+        g = slope.vector
+        g /= (lanes or self.lanes) * self.window  # a window of a few streams' ends weighs little
         g *= min(1, 1 / (np.sqrt(float(g @ g)) + 1e-9))
         self.steps += 1
         self.tokens += n
         self.first *= 0.9
-        self.first += 0.1 * g
+        self.first += np.multiply(g, 0.1, out=(held := np.empty_like(g)))
         self.second *= 0.999
-        self.second += 0.001 * (g * g)
+        np.multiply(g, g, out=held)
+        held *= 0.001
+        self.second += held
         rate = self.rate * min(1, self.steps / self.warm) / (1 + self.steps / 500)
-        m.vector -= rate * (self.first / (1 - 0.9**self.steps)) / (np.sqrt(self.second / (1 - 0.999**self.steps)) + 1e-7)
-        return h
+        np.sqrt(self.second, out=held)
+        held *= 1 / math.sqrt(1 - 0.999**self.steps)
+        held += 1e-7
+        np.divide(self.first, held, out=held)
+        held *= rate / (1 - 0.9**self.steps)
+        m.vector -= held
+        return h.T
 
 
 def side_of(distinct: int) -> int:
@@ -275,8 +320,9 @@ class Words:
 
     def __init__(self, top: list[tuple[bytes, int]], total: int, distinct: int, ends: int, looks: dict[int, tuple[int, int]], side: int):
         self.side, self.end = side, side * side - 1
-        self.rank = {w: i for i, (w, _) in enumerate(top)}
-        self.token_of = np.array([i if i < self.end else self.end + 1 + look(w) for i, (w, _) in enumerate(top)] + [-1], dtype=np.int32)
+        self.known = pa.array([w for w, _ in top], pa.binary())
+        self.token_of = np.concatenate([self.end + 1 + look(self.known), [-1]]).astype(np.int32)
+        self.token_of[: min(len(top), self.end)] = np.arange(min(len(top), self.end))
         self.logs = np.log10(np.array([c for _, c in top] + [0], dtype=np.float64) + 1)
         self.total, self.distinct, self.ends = total, distinct, ends
         self.look_total = np.array([sum(looks.get(i, (0, 0))) + 1 for i in range(LOOKS)], dtype=np.float64)
@@ -284,16 +330,26 @@ class Words:
         self.head_counts = np.array(counts + [0] * (self.end - len(counts)) + [ends], dtype=np.float64)
         self.look_counts = np.array([looks.get(i, (0, 0))[0] for i in range(LOOKS)], dtype=np.float64)
 
-    def tokens(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """The tokens of a text, with its end; the ranks of its known words (-1: not known); the words that are not."""
-        get = self.rank.get
-        ranks = np.fromiter(map(get, words, repeat(-1)), np.int32, len(words))
-        out = np.empty(len(words) + 1, dtype=np.int32)
-        out[:-1], out[-1] = self.token_of.take(ranks), self.end
-        unknown = np.flatnonzero(ranks < 0)
-        rare = [words[i] for i in unknown.tolist()]
-        out[unknown] = [self.end + 1 + look(w) for w in rare]
-        return out, ranks, rare
+    def tokens(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The token of each word, and its rank (-1: not known)."""
+        ranks = places(words, self.known)
+        out, unknown = self.token_of.take(ranks), np.flatnonzero(ranks < 0)
+        out[unknown] = self.end + 1 + look(words.take(pa.array(unknown)))
+        return out, ranks
+
+
+def places(words: pa.Array, among: pa.Array) -> np.ndarray:
+    """The place of each word in `among`; -1: it is not there."""
+    return np.asarray(pc.fill_null(pc.index_in(words, value_set=among), -1))
+
+
+def slices(batches: Iterator[pa.RecordBatch], most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that the texts of each have at most some `most` bytes, or it is a single row."""
+    for b in batches:
+        sizes = np.asarray(pc.fill_null(pc.binary_length(b.column("text")), 0)).astype(np.int64)
+        edges = np.flatnonzero(np.diff(np.cumsum(sizes) // most, prepend=-1)).tolist()
+        for i, j in zip(edges, [*edges[1:], len(b)]):
+            yield b.slice(i, j - i)
 
 
 def together(frames: Iterator[pd.DataFrame], rows: int = 8000) -> Iterator[pd.DataFrame]:
@@ -310,17 +366,22 @@ def together(frames: Iterator[pd.DataFrame], rows: int = 8000) -> Iterator[pd.Da
 
 def counted(texts: DataFrame) -> DataFrame:
     """word and n of all texts."""
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        c: Counter = Counter()
-        for f in frames:
-            for t in f["text"]:
-                c.update(words_of(t))
-                if len(c) > COUNTED_AT_ONCE:
-                    yield pd.DataFrame({"word": list(c), "n": list(c.values())})
-                    c = Counter()
-        yield pd.DataFrame({"word": list(c), "n": list(c.values())}, dtype="object").astype({"n": "int64"})
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for b in slices(batches):
+            n = pc.value_counts(words_of(b.column("text"))[0])
+            held.append(pa.table({"word": n.field("values"), "n": n.field("counts")}))
+            if sum(map(len, held)) > COUNTED_AT_ONCE:
+                yield from added(held)
+                held = []
+        if held:
+            yield from added(held)
+
+    def added(held: list[pa.Table]) -> list[pa.RecordBatch]:
+        sums = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
+        return sums.select(["word", "n"]).to_batches(max_chunksize=COUNTED_BATCH)
 
-    return texts.select("text").mapInPandas(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInArrow(lean(count), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
@@ -374,38 +435,46 @@ def scored(docs: DataFrame, held_out, parts: int = 4, chunk: int = 2_000_000) ->
     known = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     ends = train.count()
     top, side = frequent(counts, KNOWN_WORDS), side_of(known[1])
-    head = {w for w, _ in top[: side * side - 1]}
+    head = pa.array([w for w, _ in top[: side * side - 1]], pa.binary())
 
-    def by_look(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            f = f[[w not in head for w in f["word"]]]
-            yield pd.DataFrame({"look": [look(w) for w in f["word"]], "n": f["n"].to_numpy()}).astype({"look": "int32"})
+    def by_look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            b = b.filter(pa.array(places(b.column("word"), head) < 0))
+            yield pa.record_batch({"look": pa.array(look(b.column("word"))), "n": b.column("n")})
 
-    looks = counts.mapInPandas(by_look, "look int, n long").groupBy("look").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
+    looks = counts.mapInArrow(by_look, "look int, n long").groupBy("look").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
     words = Words(top, known[0] + ends, known[1] + (ends > 0), ends, {r["look"]: (r["n"], r["v"]) for r in looks}, side)
     shared = spark.sparkContext.broadcast(words)
     kind = np.uint16 if words.end + 1 + LOOKS <= 1 << 16 else np.int32  # token numbers are stored as bytes of this kind
 
-    def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
         unit, look_unit, end = np.log10(w.total + w.distinct + 1), np.log10(w.look_total), np.log10(w.ends + 1)
-        for f in frames:
-            out = []
-            for row, doc, held, part, text in zip(f["row"], f["doc_id"].astype("Int64"), f["held_out"], f["part"], f["text"]):
-                t, ranks, unknown = w.tokens(words_of(text))
-                known = ranks[ranks >= 0]
-                tail = float(w.logs[known[known >= w.end]].sum())
-                base = float(w.logs[known].sum()) + end - len(t) * unit
-                out.append((row, doc, held, part, len(t), len(known) + (w.ends > 0), base,
-                            tail - look_unit[t[t > w.end] - w.end - 1].sum(), b" ".join(unknown).decode() if unknown else None, t.astype(kind).tobytes()))
-            r = pd.DataFrame(out, columns=["row", "doc_id", "held_out", "part", "n_tokens", "n_known", "base", "model", "rare", "tokens"])
-            yield r.astype({"doc_id": "Int64", "row": "int64", "part": "int32"})
+        for b in slices(batches):
+            each, edges = words_of(b.column("text"))
+            t, ranks = w.tokens(each)
+            logs, tails = w.logs.take(ranks), np.flatnonzero(t > w.end)
+            tail = np.zeros(len(t))
+            tail[tails] = logs[tails] - look_unit[t[tails] - w.end - 1]
+            # with the end of each text, which adds to its sums on its own: no text is without a token
+            starts, sizes = edges[:-1] + np.arange(len(b)), np.diff(edges) + 1
+            t, logs, tail = (np.insert(x, edges[1:], last) for x, last in ((t, w.end), (logs, 0), (tail, 0)))
+            unknown = np.flatnonzero(ranks < 0)
+            n_known = sizes - 1 - np.diff(np.searchsorted(unknown, edges))
+            rare = pa.ListArray.from_arrays(np.searchsorted(unknown, edges).astype(np.int32), each.take(pa.array(unknown)))
+            rare = pc.if_else(pa.array(n_known < sizes - 1), pc.binary_join(rare, b" "), None)
+            data, cuts = pa.py_buffer(t.astype(kind)), np.append(starts, len(t)) * np.dtype(kind).itemsize
+            yield pa.record_batch({
+                "row": b.column("row"), "doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "n_tokens": sizes,
+                "n_known": n_known + (w.ends > 0), "base": np.add.reduceat(logs, starts) + end - sizes * unit, "model": np.add.reduceat(tail, starts),
+                "rare": rare.cast(pa.string()), "tokens": pa.Array.from_buffers(pa.binary(), len(b), [None, pa.py_buffer(cuts.astype(np.int32)), data]),
+                "part": b.column("part")})
 
     part = F.when(F.col("held_out"), -1).otherwise(F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts))).cast("int")
     given = rows.withColumns({"part": part, "row": F.monotonically_increasing_id()})
     kept = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double, rare string, tokens binary, part int"
     path = shared_dir(spark, "tokens")
-    given.mapInPandas(lean(encode), kept).write.partitionBy("part").parquet(path)
+    given.mapInArrow(lean(encode), kept).write.partitionBy("part").parquet(path)
     kept = spark.read.schema(kept).parquet(path)
     vector = Gru.start(words.head_counts, words.look_counts).vector
 

@@ -6,9 +6,11 @@ import itertools
 import math
 import random
 import re
+import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -369,6 +371,63 @@ def test_gru_windows_grow_as_streams_end():
     assert np.isfinite(t.m.vector).all()
 
 
+def test_lm_words_and_looks_without_a_call_for_each_word():
+    latin = {**dict.fromkeys(b"\xa7\xa8\xa9\xaa\xab\x80\x87\x88\x89\x8a", 1), **dict.fromkeys(b"\xa4\xb6\xbc\x9f\x84\x96\x9c", 2)}
+
+    def plain(word):
+        accent = 0 if word.isascii() else next((latin.get(b, 3) for a, b in zip(word, word[1:]) if a >= 0x80), 3)
+        end = 0 if word[-1:].isalnum() or word[-1] >= 0x80 else 1 if word[-1:] in b".," else 2
+        return (accent * 3 + end) * 2 + (len(word) > 6)
+
+    rng = random.Random(3)
+    texts = ["", " ", "\x1c A\x0bb\x85c\xa0d", "\u00e9 \u00c9t\u00e9, \u00fcber. \u6f22\u5b57! \r\n", "Abcdef abcdefg"]
+    texts += ["".join(rng.choices("aBz9.,!- \t\n\u00e9\u00df\u00fc\u00f1\u6f22\U0001f600", k=rng.randrange(80))) for _ in range(300)]
+    want = [t.encode().lower().split() for t in texts]
+    words, edges = gru.words_of(pa.array(texts))
+    assert [words[a:b].to_pylist() for a, b in zip(edges.tolist(), edges.tolist()[1:])] == want
+    assert gru.look(words).tolist() == [plain(w) for w in itertools.chain(*want)]
+    assert gru.look(words[5:]).tolist() == gru.look(words).tolist()[5:]
+    known = gru.Words([(b"w0", 9), (b"w1", 8)], 17, 2, 1, {}, gru.LEAST_SIDE)
+    calls, many = [], pa.array([" ".join(f"W{i}" for i in range(5000))] * 2)
+    sys.setprofile(lambda frame, event, arg: calls.append(frame) if event == "call" else None)
+    try:
+        each, edges = gru.words_of(many)
+        tokens, ranks = known.tokens(each)
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < 500  # one for each rare word before
+    assert edges.tolist() == [0, 5000, 10_000] and ranks.tolist() == [0, 1, *[-1] * 4998] * 2
+    assert tokens.tolist() == [i if i < 2 else known.end + 1 for i in range(5000)] * 2
+
+
+def test_lm_slices_keep_all_rows():
+    texts = ["a" * n for n in (0, 5, 30, 0, 3, 3, 50, 1)] + [None, "b"]
+    got = list(gru.slices(iter([pa.record_batch({"text": texts}), pa.record_batch({"text": pa.array([], pa.string())})]), most=10))
+    assert [t for b in got for t in b.column("text").to_pylist()] == texts and len(got) > 3 and all(len(b) for b in got)
+
+
+def test_gru_outputs_in_blocks_and_held(monkeypatch):
+    rng = np.random.default_rng(4)
+    m = gru.Gru.start(np.ones(gru.HEAD) * 5, np.ones(gru.LOOKS) * 50)
+    for size in (0.1, 40):  # logits of the second pass 60 and are held
+        m.classes[:], m.words[:] = rng.normal(0, size, m.classes.shape), rng.normal(0, size, m.words.shape)
+        states, x = rng.uniform(-1, 1, (100, gru.HIDDEN)).astype(np.float32), rng.integers(0, gru.HEAD + gru.LOOKS, 100)
+        whole, (by_state, d) = m.outputs(states, x), m.outputs(states, x, back=True)
+        logits = np.clip(states.astype(np.float64) @ m.classes[:-1] + m.classes[-1], -60, 60)
+        cls = np.where(x < gru.HEAD, x // gru.LEAST_SIDE, gru.LEAST_SIDE + x - gru.HEAD)
+        want = logits[np.arange(100), cls] - np.log(np.exp(logits).sum(axis=1))
+        inner = np.clip(np.einsum("nk,nkw->nw", states.astype(np.float64), m.words[np.minimum(cls, gru.LEAST_SIDE - 1), :-1]) + m.words[np.minimum(cls, gru.LEAST_SIDE - 1), -1], -60, 60)
+        want += np.where(x < gru.HEAD, inner[np.arange(100), x % gru.LEAST_SIDE] - np.log(np.exp(inner).sum(axis=1)), 0)
+        assert np.allclose(whole, want, rtol=1e-4, atol=1e-4)
+        monkeypatch.setattr(gru, "ROWS_AT_ONCE", 7)
+        assert np.allclose(m.outputs(states, x), whole, rtol=1e-5, atol=1e-5)
+        blocks = m.outputs(states, x, back=True)
+        monkeypatch.undo()
+        assert np.allclose(blocks[0], by_state, rtol=1e-3, atol=1e-3) and all(np.allclose(blocks[1][k], d[k], rtol=1e-3, atol=1e-3) for k in d)
+    empty = m.outputs(np.zeros((0, gru.HIDDEN), dtype=np.float32), np.zeros(0, dtype=int))
+    assert len(empty) == 0
+
+
 # ---- 6: mixing
 
 @pytest.mark.parametrize("weights", [[1], [3, 1], [8, 6, 5, 4, 4, 3, 3, 2, 2, 1, 12], [1, 1, 1], [7, 5, 3, 2]])
